@@ -55,15 +55,15 @@ def latency_summary(candles: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def latency_series(candles: DataFrame, approximate: bool = False) -> DataFrame:
+def latency_series(candles: DataFrame, approximate: bool = False, digits: int = 1) -> DataFrame:
     """Count, mean and p95 per minute of receipt."""
     rows = with_latency(candles).select(F.date_trunc("minute", "received_at").alias("minute"), "latency_ms")
     basic = rows.groupBy("minute").agg(
-        F.count(F.lit(1)).alias("msg_count"), F.round(F.avg("latency_ms"), 1).alias("avg_ms")
+        F.count(F.lit(1)).alias("msg_count"), F.round(F.avg("latency_ms"), digits).alias("avg_ms")
     )
     marks = _quantiles(rows, ["minute"], {"p95_ms": 0.95}, approximate)
     return basic.join(marks, "minute").select(
-        "minute", "msg_count", "avg_ms", F.round("p95_ms", 1).alias("p95_ms")
+        "minute", "msg_count", "avg_ms", F.round("p95_ms", digits).alias("p95_ms")
     )
 
 

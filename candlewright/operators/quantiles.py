@@ -30,7 +30,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles of ``value`` per group, equal to sorting the group and reading off the ranks.
 
-    Groups up to ``group_rows`` rows are ranked in a window. Larger ones never meet in one task:
+    Groups up to ``group_rows`` rows are evaluated whole. Larger ones never meet in one task:
     their values are counted per distinct value, the counts form a coarse histogram, and only the
     histogram buckets that hold a wanted rank are ordered. Nulls are left out. ``method`` is linear,
     nearest, lower, higher or midpoint.
@@ -44,9 +44,14 @@ def exact_quantiles(
     large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows)
     keys = F.broadcast(large.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(by)]))
     match = _same(by, {k: f"_t{i}" for i, k in enumerate(by)})
-    small = _rank_in_window(rows.join(keys, match, "left_anti"), by)
+    small = rows.join(keys, match, "left_anti")
+    if method == "linear":
+        small = small.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("_q"))
+        small = small.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    else:
+        small = _pick(_rank_in_window(small, by), by, probs, names, method)
     big = _rank_by_histogram(rows.join(keys, match, "left_semi"), by, probs, method)
-    return _pick(small, by, probs, names, method).unionByName(_pick(big, by, probs, names, method))
+    return small.unionByName(_pick(big, by, probs, names, method))
 
 
 def _same(by: Sequence[str], renamed: dict[str, str]) -> Column:
