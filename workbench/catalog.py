@@ -24,10 +24,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def nudge(digits: int) -> float:
+    """Moves short decimals off the rounding tie, where the last bit of a double would decide."""
+    return 1.37 * 10.0 ** -(digits + 2)
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+    return df.withColumns({c: F.round(F.col(c) + nudge(digits), digits) for c in columns})
 
 
 def r(digits: int, *columns: str) -> str:
     """The same rounding in SQL."""
-    return ", ".join(f"round({c}, {digits}) AS {c.split('.')[-1]}" for c in columns)
+    return ", ".join(f"round({c} + {nudge(digits)!r}::DOUBLE, {digits}) AS {c.split('.')[-1]}" for c in columns)
+
+
+def rx(digits: int, expression: str, name: str) -> str:
+    return f"round({expression} + {nudge(digits)!r}::DOUBLE, {digits}) AS {name}"

@@ -11,7 +11,7 @@ from candlewright.plans import flows
 from candlewright.schemas import STOCK_SIGNAL_COLUMNS
 from workbench import mapping as M
 from workbench import sqlparts as S
-from workbench.catalog import query, r, rounded
+from workbench.catalog import query, r, rounded, rx
 from workbench.stage import stage
 
 
@@ -27,12 +27,12 @@ def _(spark, d):
 
 @query("agg_2_sector_daily", f"""WITH {S.SECTOR}
 SELECT sector_key, date_key, {r(6, 'price_change_pct')}, {r(2, 'total_trade_value', 'total_market_cap')},
-       {r(9, 'avg_pe', 'avg_pb', 'avg_eps')}, stock_count FROM sector""")
+       {r(6, 'avg_pe', 'avg_pb', 'avg_eps')}, stock_count FROM sector""")
 def _(spark, d):
     s = stage(spark, d)
     out = sector_daily(s.fact_equity, s.dim_stock, s.dim_sector)
     return rounded(rounded(rounded(out, 6, "price_change_pct"), 2, "total_trade_value", "total_market_cap"),
-                   9, "avg_pe", "avg_pb", "avg_eps")
+                   6, "avg_pe", "avg_pb", "avg_eps")
 
 
 @query("agg_3_latest_revision", f"WITH {S.REVISED} SELECT * FROM latest")
@@ -131,7 +131,7 @@ for _name, _columns, _digits in (
     ("win_3_exponential_averages", ["ema_12", "ema_26"], 4),
     ("win_4_macd", ["macd"], 4),
     ("win_5_rsi_wilder", ["rsi_14"], 5),
-    ("win_9_typical_price", ["vwap"], 9),
+    ("win_9_typical_price", ["vwap"], 5),
 ):
     query(_name, _daily_sql(*_columns, digits=_digits))(_daily(*_columns, digits=_digits))
 
@@ -174,7 +174,7 @@ seeded AS (
     FROM x JOIN measured m ON m.symbol = x.symbol AND m.rn = x.rn + 1
   ) SELECT * FROM x
 )
-SELECT m.symbol, m.candle_time, round(CASE WHEN s.rn IS NULL THEN NULL WHEN s.l = 0 THEN 100.0 ELSE 100 - 100 / (1 + s.g / s.l) END, 5) AS rsi_seeded
+SELECT m.symbol, m.candle_time, {rx(5, 'CASE WHEN s.rn IS NULL THEN NULL WHEN s.l = 0 THEN 100.0 ELSE 100 - 100 / (1 + s.g / s.l) END', 'rsi_seeded')}
 FROM measured m LEFT JOIN seeded s ON s.symbol = m.symbol AND s.rn = m.rn""")
 def _(spark, d):
     out = I.candle_rsi_seeded(latest_revisions(M.revised_candles(spark, d)))
@@ -206,8 +206,8 @@ def _(spark, d):
 
 
 @query("win_11_sigma_bands", f"""WITH {S.REVISED} {S.SESSION}
-SELECT symbol, candle_time, round(vwap + 2 * coalesce(sigma, 0), 3) AS upper_band,
-       round(vwap - 2 * coalesce(sigma, 0), 3) AS lower_band FROM banded""")
+SELECT symbol, candle_time, {rx(3, 'vwap + 2 * coalesce(sigma, 0)', 'upper_band')},
+       {rx(3, 'vwap - 2 * coalesce(sigma, 0)', 'lower_band')} FROM banded""")
 def _(spark, d):
     out = I.sigma_bands(I.session_vwap(latest_revisions(M.revised_candles(spark, d)), session_only=True))
     return rounded(out.select("symbol", "candle_time", "upper_band", "lower_band"), 3, "upper_band", "lower_band")
@@ -220,11 +220,11 @@ def _(spark, d):
     return rounded(out.select("symbol", "candle_time", "volume_avg_20", "volume_spike"), 6, "volume_avg_20")
 
 
-@query("win_15_sector_median_pe", f"WITH {S.SIGNALS} SELECT symbol, trade_date, sector, {r(9, 'pe_median_sector')} FROM ready")
+@query("win_15_sector_median_pe", f"WITH {S.SIGNALS} SELECT symbol, trade_date, sector, {r(6, 'pe_median_sector')} FROM ready")
 def _(spark, d):
     s = stage(spark, d)
     out = flows.with_sector_median(s.equity.select("symbol", "trade_date", "pe"), s.dim_stock)
-    return rounded(out.select("symbol", "trade_date", "sector", "pe_median_sector"), 9, "pe_median_sector")
+    return rounded(out.select("symbol", "trade_date", "sector", "pe_median_sector"), 6, "pe_median_sector")
 
 
 @query("win_16_previous_macd", f"WITH {S.SIGNALS} SELECT symbol, trade_date, {r(4, 'macd_prev')} FROM ready")

@@ -13,7 +13,7 @@ from candlewright.sources import stream as ST
 from candlewright.streaming import detector
 from workbench import mapping as M
 from workbench import sqlparts as S
-from workbench.catalog import query, r, rounded
+from workbench.catalog import nudge, query, r, rounded, rx
 from workbench.stage import scratch
 
 EAGER = R.AlertConfig(sigma_k=1.0, rsi_overbought=55.0, rsi_oversold=45.0, volume_spike=2.0)
@@ -32,14 +32,14 @@ def tidy(alerts):
 ALERT_SQL = """SELECT candle_time AS alert_time, symbol, 'COMBINED' AS rule_name, alert_type,
  CASE WHEN alert_type IN ('COMBINED_PUMP_RISK', 'COMBINED_PANIC_SELL') THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
  close AS price,
- round(CASE WHEN alert_type IN ('COMBINED_UNUSUAL_VOLUME', 'COMBINED_VOLUME_BREAKOUT', 'COMBINED_VOLUME_BREAKDOWN') THEN volume_ratio ELSE rsi_14 END, 3) AS indicator_value,
+ round(CASE WHEN alert_type IN ('COMBINED_UNUSUAL_VOLUME', 'COMBINED_VOLUME_BREAKOUT', 'COMBINED_VOLUME_BREAKDOWN') THEN volume_ratio ELSE rsi_14 END + {n}, 3) AS indicator_value,
  CASE WHEN alert_type IN ('COMBINED_UNUSUAL_VOLUME', 'COMBINED_VOLUME_BREAKOUT', 'COMBINED_VOLUME_BREAKDOWN') THEN {spike}
       WHEN alert_type IN ('COMBINED_PUMP_RISK', 'COMBINED_OVERBOUGHT_BREAKOUT') THEN {high} ELSE {low} END AS threshold,
- round(CASE WHEN vwap > 0 THEN (close - vwap) / vwap * 100 ELSE 0 END, 3) AS deviation_pct"""
+ round(CASE WHEN vwap > 0 THEN (close - vwap) / vwap * 100 ELSE 0 END + {n}, 3) AS deviation_pct"""
 
 
 def alert_sql(high, low, spike, source, where="true"):
-    return ALERT_SQL.format(high=f"{high}::DOUBLE", low=f"{low}::DOUBLE", spike=f"{spike}::DOUBLE") + f" FROM {source} WHERE {where}"
+    return ALERT_SQL.format(high=f"{high}::DOUBLE", low=f"{low}::DOUBLE", spike=f"{spike}::DOUBLE", n=f"{nudge(3)!r}::DOUBLE") + f" FROM {source} WHERE {where}"
 
 
 @query("str_12_combined_rule", f"WITH {S.candidates(1, 55, 45, 2)} {alert_sql(55, 45, 2, 'candidates')}")
@@ -71,8 +71,8 @@ def _(spark, d):
 hits AS (SELECT *, CASE WHEN vwap > 0 AND sigma > 0 AND close > vwap + 2 * sigma THEN 'VWAP_BREAKOUT_UP'
   WHEN vwap > 0 AND sigma > 0 AND close < vwap - 2 * sigma THEN 'VWAP_BREAKDOWN' END AS alert_type FROM measured)
 SELECT candle_time AS alert_time, symbol, 'VWAP' AS rule_name, alert_type, 'WARNING' AS severity, close AS price,
-  round(vwap, 3) AS indicator_value, round(CASE WHEN alert_type = 'VWAP_BREAKDOWN' THEN vwap - 2 * sigma ELSE vwap + 2 * sigma END, 3) AS threshold,
-  round((close - vwap) / vwap * 100, 3) AS deviation_pct FROM hits WHERE alert_type IS NOT NULL""")
+  {rx(3, 'vwap', 'indicator_value')}, {rx(3, "CASE WHEN alert_type = 'VWAP_BREAKDOWN' THEN vwap - 2 * sigma ELSE vwap + 2 * sigma END", 'threshold')},
+  {rx(3, '(close - vwap) / vwap * 100', 'deviation_pct')} FROM hits WHERE alert_type IS NOT NULL""")
 def _(spark, d):
     cfg = R.AlertConfig()
     return tidy(R.evaluate_rules(enrich_candles(M.revised_candles(spark, d), cfg), [R.vwap_rule], cfg)).drop("message")
@@ -81,7 +81,7 @@ def _(spark, d):
 @query("str_9_vwap_rule_pct", f"""WITH {S.ENRICHED},
 hits AS (SELECT *, (close - vwap) / vwap * 100 AS dev FROM measured WHERE vwap > 0)
 SELECT candle_time AS alert_time, symbol, CASE WHEN dev > 1.5 THEN 'VWAP_BREAKOUT_UP' ELSE 'VWAP_BREAKDOWN' END AS alert_type,
-  round(dev, 3) AS deviation_pct FROM hits WHERE abs(dev) > 1.5""")
+  {rx(3, 'dev', 'deviation_pct')} FROM hits WHERE abs(dev) > 1.5""")
 def _(spark, d):
     cfg = R.AlertConfig(band_mode="pct")
     found = tidy(R.evaluate_rules(enrich_candles(M.revised_candles(spark, d), cfg), [R.vwap_rule], cfg))
@@ -123,7 +123,7 @@ def _(spark, d):
 
 @query("str_14_legacy_alerts", f"""WITH {S.ENRICHED}
 SELECT candle_time AS alert_time, symbol, CASE WHEN close > vwap + 2 * sigma THEN 'BREAKOUT_UP' ELSE 'BREAKDOWN' END AS alert_type,
-  close AS price, round(vwap, 3) AS vwap, round((close - vwap) / vwap * 100, 3) AS deviation_pct
+  close AS price, {r(3, 'vwap')}, {rx(3, '(close - vwap) / vwap * 100', 'deviation_pct')}
 FROM measured WHERE vwap > 0 AND sigma > 0 AND (close > vwap + 2 * sigma OR close < vwap - 2 * sigma)""")
 def _(spark, d):
     cfg = R.AlertConfig()
@@ -190,10 +190,17 @@ def _(spark, d):
     return ntz(ST.trade_stream(messages.unionByName(cut)), "received_at")
 
 
-def land(spark, messages, parts=4):
-    """Write messages as text files of successive time ranges; returns the folder."""
+def land(spark, messages, parts=3):
+    """Write messages as text files of successive time ranges, one after the other; returns the folder.
+
+    The file source takes files in the order of their age, as they would arrive.
+    """
     path = scratch(spark, "landing", uuid4().hex)
-    messages.repartitionByRange(parts, "candle_time").sortWithinPartitions("candle_time").select("value").write.text(path)
+    day = F.dayofmonth("candle_time")
+    for i in range(parts):
+        last = i == parts - 1
+        slice_ = messages.where((day > 31 * i / parts) & (F.lit(last) | (day <= 31 * (i + 1) / parts)))
+        slice_.coalesce(2).select("value").write.mode("append").text(path)
     return path
 
 
@@ -214,7 +221,7 @@ def _(spark, d):
     return ntz(spark.read.parquet(f"{out}/table"), "received_at")
 
 
-def _detect(spark, d, cfg, files_per_trigger=None, revised=False, parts=4):
+def _detect(spark, d, cfg, files_per_trigger=None, revised=False, parts=3):
     landing = land(spark, candle_messages(spark, d, revised), parts)
     out = scratch(spark, "alerts", uuid4().hex)
     stream = ST.candle_stream(ST.message_lines(spark, landing, files_per_trigger))
@@ -225,14 +232,14 @@ def _detect(spark, d, cfg, files_per_trigger=None, revised=False, parts=4):
 @query("str_5_stream_alerts")
 def _(spark, d):
     """Alerts of the stream, batch by batch, from the idempotent sink."""
-    out = _detect(spark, d, EAGER, files_per_trigger=1)
+    out = _detect(spark, d, EAGER, files_per_trigger=2)
     return tidy(spark.read.parquet(f"{out}/alerts_v2").drop("batch_id"))
 
 
 @query("str_5_stream_equals_replay", "SELECT 0::BIGINT AS missing, 0::BIGINT AS unexpected")
 def _(spark, d):
     """Whole-row differences between the streamed alerts and the batch replay of the same messages."""
-    out = _detect(spark, d, EAGER, files_per_trigger=1)
+    out = _detect(spark, d, EAGER, files_per_trigger=2)
     streamed = spark.read.parquet(f"{out}/alerts_v2").select("symbol", "alert_type", "alert_time", "severity", "message")
     stored = ST.candle_stream(candle_messages(spark, d).select("value"))
     replayed = replay_alerts(stored, EAGER).select("symbol", "alert_type", "alert_time", "severity", "message")
@@ -243,7 +250,7 @@ def _(spark, d):
 @query("str_4_stream_revisions_equal_replay", "SELECT 0::BIGINT AS missing, 0::BIGINT AS unexpected")
 def _(spark, d):
     """Candles sent twice collapse to their last revision inside one batch, as in the replay."""
-    out = _detect(spark, d, EAGER, files_per_trigger=1, revised=True)
+    out = _detect(spark, d, EAGER, files_per_trigger=2, revised=True)
     streamed = spark.read.parquet(f"{out}/alerts_v2").select("symbol", "alert_type", "alert_time", "message")
     stored = ST.candle_stream(candle_messages(spark, d, True).select("value"))
     replayed = replay_alerts(stored, EAGER).select("symbol", "alert_type", "alert_time", "message")
