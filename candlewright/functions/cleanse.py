@@ -157,6 +157,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     """
     named = [_col(c) for c in order]
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    if not named and not rest:
+        return df.distinct()
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*named, *rest))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 

@@ -101,6 +101,9 @@ def append_merge(
         return
     old = spark.read.option("mergeSchema", True).parquet(path)
     if parts:
+        # Partition values are read in the type of the new rows, so that "01" does not become 1.
+        types = [new.schema[f.name] if f.name in parts and f.name in new.columns else f for f in old.schema.fields]
+        old = spark.read.schema(StructType(types)).parquet(path)
         touched = new.select(*parts).distinct()
         old = old.join(touched, parts, "left_semi")
     merged = merge_rows(new, old, keys, order)
