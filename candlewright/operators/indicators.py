@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from candlewright.functions.text import round_exact
 from candlewright.operators.series import (
     block_window,
     blocks,
@@ -94,7 +95,7 @@ def rsi_simple(w: WindowSpec, delta: str = "_delta", period: int = 14) -> Column
     gain = F.sum(F.greatest(F.col(delta), F.lit(0.0))).over(frame) / period
     loss = F.sum(F.greatest(-F.col(delta), F.lit(0.0))).over(frame) / period
     value = F.when(loss == 0, F.lit(100.0)).when(gain == 0, F.lit(0.0)).otherwise(
-        F.round(100.0 - 100.0 / (1.0 + F.try_divide(gain, loss)), 2)
+        round_exact(100.0 - 100.0 / (1.0 + F.try_divide(gain, loss)), 2)
     )
     return F.when(F.count(delta).over(frame) == period, value)
 
@@ -115,7 +116,7 @@ def volume_ratio(w: WindowSpec, lookback: int = 20) -> Column:
     mean = F.avg("volume").over(frame)
     return F.when(
         (F.count("volume").over(frame) == lookback) & (mean > 0),
-        F.round(F.try_divide(F.col("volume").cast("double"), mean), 2),
+        round_exact(F.try_divide(F.col("volume").cast("double"), mean), 2),
     )
 
 

@@ -40,7 +40,7 @@ def archive(table: DataFrame, column: str, root: str, day: str | None = None, ov
     dated = rows.where(F.col(column).isNotNull()).withColumn("date", F.date_format(column, "yyyy-MM-dd"))
     if not overwrite:
         dated = dated.join(archived, "date", "left_anti")
-    spread = dated.repartition("date", F.pmod(F.xxhash64(*table.columns), F.lit(8))).sortWithinPartitions("date", column)
+    spread = dated.hint("rebalance", "date").sortWithinPartitions("date", column)
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root)
     if day is None:
         return plan

@@ -119,8 +119,8 @@ def append_merge(
 def _write(df: DataFrame, path: str, parts: list[str], sort: list[str]) -> None:
     """Overwrite the partitions present in ``df``, or the whole table by a swap."""
     if parts:
-        spread = df.repartition(*parts, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
-        spread.sortWithinPartitions(*sort).write.mode("overwrite").option(
+        # Rebalancing splits a partition that holds much and packs many small ones into one task.
+        df.hint("rebalance", *parts).sortWithinPartitions(*sort).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
         return
     staged = f"{path.rstrip('/')}__{uuid4().hex}"

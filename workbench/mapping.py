@@ -60,13 +60,17 @@ def bars(spark: SparkSession, d: str) -> DataFrame:
     return named(daily_bars(prints(spark, d), "seq"), spark, d)
 
 
-def index_bars(spark: SparkSession, d: str) -> DataFrame:
-    """Bars of one index per region over the prints of all its instruments."""
+def index_prints(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
+    """Prints of one index per region, and the column that orders them."""
     home = instruments(spark, d).select(F.col("sid").alias("symbol"), F.col("exchange").alias("_index"))
     rows = lookup_join(prints(spark, d), home, ["symbol"], "inner")
     ordered = (F.col("seq") * 1000 + F.pmod(F.col("symbol"), F.lit(1000))).cast("decimal(38,0)")
-    rows = rows.withColumn("seq", ordered).drop("symbol").withColumnRenamed("_index", "symbol")
-    return daily_bars(rows, "seq")
+    return rows.withColumn("seq", ordered).drop("symbol").withColumnRenamed("_index", "symbol"), "seq"
+
+
+def index_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Bars of one index per region over the prints of all its instruments."""
+    return daily_bars(*index_prints(spark, d))
 
 
 def raw_summary(spark: SparkSession, d: str) -> DataFrame:

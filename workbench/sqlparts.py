@@ -187,9 +187,9 @@ frames AS (
 ),
 measured AS MATERIALIZED (
   SELECT *,
-    CASE WHEN rn < 15 THEN NULL WHEN loss = 0 THEN 100.0 WHEN gain = 0 THEN 0.0 ELSE round(100 - 100 / (1 + gain / loss), 2) END AS rsi_14,
+    CASE WHEN rn < 15 THEN NULL WHEN loss = 0 THEN 100.0 WHEN gain = 0 THEN 0.0 ELSE CAST(format('{{:.2f}}', 100 - 100 / (1 + gain / loss)) AS DOUBLE) END AS rsi_14,
     CASE WHEN rn >= 14 AND loss <> 0 THEN 100 - 100 / (1 + gain / loss) END AS rsi_chart,
-    CASE WHEN prior_n = 20 AND prior_mean > 0 THEN round(volume / prior_mean, 2) END AS volume_ratio,
+    CASE WHEN prior_n = 20 AND prior_mean > 0 THEN CAST(format('{{:.2f}}', volume / prior_mean) AS DOUBLE) END AS volume_ratio,
     CASE WHEN coalesce(prior_mean, 1) > 0 THEN volume / coalesce(prior_mean, 1) ELSE 0 END AS volume_ratio_lenient,
     CASE WHEN rn >= 20 THEN mean_20 END AS volume_avg_20
   FROM frames
