@@ -50,24 +50,39 @@ def band_state(cfg: AlertConfig) -> Column:
     return F.when(known & up, "BREAKOUT").when(known & down, "BREAKDOWN").otherwise("IN_BAND")
 
 
-def _alert(rule: str, kind: Column, **columns: Column) -> Column:
-    """The alert of one rule as a struct, null where the rule is silent."""
-    fields = {
-        "alert_time": F.col("candle_time"), "symbol": F.col("symbol"), "rule_name": F.lit(rule),
-        "alert_type": kind, "price": F.col("close"), **columns,
-    }
-    return F.when(kind.isNotNull(), F.struct(*[fields[c].alias(c) for c in ALERT_COLUMNS]))
+@dataclass(frozen=True)
+class Rule:
+    """The alert type of a candle (null: silent) and the alert it then makes.
+
+    The type becomes a column of its own before the alert is built from it, which keeps the
+    expressions small. Types may refer to ``_band``, the state of the band.
+    """
+
+    name: str
+    kind: Column
+    fields: Callable[[Column], dict[str, Column]]
 
+    def alert(self, kind: Column) -> Column:
+        known = {
+            "alert_time": F.col("candle_time"), "symbol": F.col("symbol"), "rule_name": F.lit(self.name),
+            "alert_type": kind, "price": F.col("close"), **self.fields(kind),
+        }
+        return F.when(kind.isNotNull(), F.struct(*[known[c].alias(c) for c in ALERT_COLUMNS]))
 
-def evaluate_rules(df: DataFrame, rules: Sequence[Callable[[AlertConfig], Column]], cfg: AlertConfig) -> DataFrame:
+
+def evaluate_rules(df: DataFrame, rules: Sequence[Callable[[AlertConfig], Rule]], cfg: AlertConfig) -> DataFrame:
     """Alerts of all rules over candles with indicators, in one pass."""
-    found = F.filter(F.array(*[rule(cfg) for rule in rules]), lambda alert: alert.isNotNull())
-    return df.select(F.explode(found).alias("_alert")).select("_alert.*")
+    made = [rule(cfg) for rule in rules]
+    kinds = df.withColumn("_band", band_state(cfg)).withColumns({f"_kind_{i}": m.kind for i, m in enumerate(made)})
+    some = F.coalesce(*[F.col(f"_kind_{i}") for i in range(len(made))]).isNotNull()
+    alerts = F.array(*[m.alert(F.col(f"_kind_{i}")) for i, m in enumerate(made)])
+    found = F.filter(alerts, lambda alert: alert.isNotNull())
+    return kinds.where(some).select(F.explode(found).alias("_alert")).select("_alert.*")
 
 
-def vwap_rule(cfg: AlertConfig) -> Column:
+def vwap_rule(cfg: AlertConfig) -> Rule:
     """Price outside the band around the session vwap."""
-    state = band_state(cfg)
+    state = F.col("_band")
     up = state == "BREAKOUT"
     price, vwap, sigma = F.col("close"), F.col("vwap"), F.col("sigma")
     moved = deviation_pct(price, vwap)
@@ -87,13 +102,12 @@ def vwap_rule(cfg: AlertConfig) -> Column:
             F.concat(symbol, F.lit(f" dưới VWAP -{k}σ (giá "), fixed(price, 2), F.lit(" < band "), fixed(vwap - k * sigma, 2), F.lit(")"))
         )
     kind = F.when(state == "BREAKOUT", "VWAP_BREAKOUT_UP").when(state == "BREAKDOWN", "VWAP_BREAKDOWN")
-    return _alert(
-        "VWAP", kind, severity=F.lit("WARNING"), indicator_value=vwap, threshold=threshold,
-        deviation_pct=moved, message=message,
-    )
+    return Rule("VWAP", kind, lambda kind: dict(
+        severity=F.lit("WARNING"), indicator_value=vwap, threshold=threshold, deviation_pct=moved, message=message,
+    ))
 
 
-def rsi_rule(cfg: AlertConfig) -> Column:
+def rsi_rule(cfg: AlertConfig) -> Rule:
     """Relative strength beyond its thresholds; the extremes are critical."""
     rsi = F.col("rsi_14")
     high = rsi >= cfg.rsi_overbought
@@ -101,29 +115,27 @@ def rsi_rule(cfg: AlertConfig) -> Column:
     note = F.when(extreme, " (cực đoan!)").otherwise("")
     side = F.when(high, " — quá mua").otherwise(" — quá bán")
     kind = F.when(rsi >= cfg.rsi_overbought, "RSI_OVERBOUGHT").when(rsi <= cfg.rsi_oversold, "RSI_OVERSOLD")
-    return _alert(
-        "RSI", kind,
+    return Rule("RSI", kind, lambda kind: dict(
         severity=F.when(extreme, "CRITICAL").otherwise("WARNING"),
         indicator_value=rsi,
         threshold=F.when(high, F.lit(cfg.rsi_overbought)).otherwise(F.lit(cfg.rsi_oversold)),
         deviation_pct=F.lit(0.0),
         message=F.concat(F.col("symbol"), F.lit(" RSI="), fixed(rsi, 1), side, note),
-    )
+    ))
 
 
-def volume_rule(cfg: AlertConfig) -> Column:
+def volume_rule(cfg: AlertConfig) -> Rule:
     """Volume far above the mean of the previous bars."""
     ratio = F.col("volume_ratio")
     extreme = ratio >= cfg.volume_extreme
     note = F.when(extreme, " (cực đoan!)").otherwise("")
-    return _alert(
-        "VOLUME_SPIKE", F.when(ratio >= cfg.volume_spike, "VOLUME_SPIKE"),
+    return Rule("VOLUME_SPIKE", F.when(ratio >= cfg.volume_spike, "VOLUME_SPIKE"), lambda kind: dict(
         severity=F.when(extreme, "CRITICAL").otherwise("WARNING"),
         indicator_value=ratio,
         threshold=F.lit(cfg.volume_spike),
         deviation_pct=F.lit(0.0),
         message=F.concat(F.col("symbol"), F.lit(" KL đột biến "), fixed(ratio, 1), F.lit("x trung bình"), note),
-    )
+    ))
 
 
 def combined_type(state: Column, rsi: Column, ratio: Column, cfg: AlertConfig) -> Column:
@@ -171,23 +183,27 @@ def combined_message(kind: Column, symbol: Column, rsi: Column, ratio: Column) -
     return out
 
 
-def combined_rule(cfg: AlertConfig) -> Column:
-    """The ordered matrix of band state, strength and volume."""
-    rsi, ratio = F.col("rsi_14"), F.col("volume_ratio")
-    kind = combined_type(band_state(cfg), rsi, ratio, cfg)
+def combined_fields(kind: Column, rsi: Column, ratio: Column, price: Column, vwap: Column, cfg: AlertConfig) -> dict[str, Column]:
+    """Severity, indicator, threshold, deviation and message of a combined alert."""
     by_volume = kind.isin("COMBINED_UNUSUAL_VOLUME", "COMBINED_VOLUME_BREAKOUT", "COMBINED_VOLUME_BREAKDOWN")
     high = kind.isin("COMBINED_PUMP_RISK", "COMBINED_OVERBOUGHT_BREAKOUT")
-    return _alert(
-        "COMBINED", kind,
+    return dict(
         severity=combined_severity(kind),
         indicator_value=F.when(by_volume, ratio).otherwise(rsi),
         threshold=F.when(by_volume, F.lit(cfg.volume_spike))
         .when(high, F.lit(cfg.rsi_overbought)).otherwise(F.lit(cfg.rsi_oversold)),
-        deviation_pct=deviation_pct(F.col("close"), F.col("vwap")),
+        deviation_pct=deviation_pct(price, vwap),
         message=combined_message(kind, F.col("symbol"), rsi, ratio),
     )
 
 
+def combined_rule(cfg: AlertConfig) -> Rule:
+    """The ordered matrix of band state, strength and volume."""
+    rsi, ratio = F.col("rsi_14"), F.col("volume_ratio")
+    kind = combined_type(F.col("_band"), rsi, ratio, cfg)
+    return Rule("COMBINED", kind, lambda kind: combined_fields(kind, rsi, ratio, F.col("close"), F.col("vwap"), cfg))
+
+
 def legacy_alerts(alerts: DataFrame) -> DataFrame:
     """Alerts of the vwap rule in the shape of the older table."""
     return alerts.where(F.col("rule_name") == "VWAP").select(

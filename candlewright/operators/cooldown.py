@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewright.session import pinned
+
 _HOUR = 3_600_000_000
 
 
@@ -43,7 +45,8 @@ def apply_cooldown(
         raise ValueError("the cooldown must be between a microsecond and an hour")
     key = list(key)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    timed = alerts.withColumn("_t", micros)
+    # Read three times below; alerts are few beside the candles they come from.
+    timed = pinned(alerts.withColumn("_t", micros))
     hours = (
         timed.select(*key, "_t").distinct().withColumn("_h", F.expr(f"_t div {_HOUR}"))
         .groupBy(*key, "_h").agg(F.array_sort(F.collect_list("_t")).alias("_ts"))

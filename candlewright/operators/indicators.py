@@ -90,12 +90,12 @@ def candle_blocks(candles: DataFrame, halo: int, key: Sequence[str] = ("symbol",
 
 
 def rsi_simple(w: WindowSpec, delta: str = "_delta", period: int = 14) -> Column:
-    """RSI over plain means of the last ``period`` deltas, two decimals."""
+    """RSI over plain means of the last ``period`` deltas, not yet rounded."""
     frame = w.rowsBetween(-(period - 1), 0)
     gain = F.sum(F.greatest(F.col(delta), F.lit(0.0))).over(frame) / period
     loss = F.sum(F.greatest(-F.col(delta), F.lit(0.0))).over(frame) / period
     value = F.when(loss == 0, F.lit(100.0)).when(gain == 0, F.lit(0.0)).otherwise(
-        round_exact(100.0 - 100.0 / (1.0 + F.try_divide(gain, loss)), 2)
+        100.0 - 100.0 / (1.0 + F.try_divide(gain, loss))
     )
     return F.when(F.count(delta).over(frame) == period, value)
 
@@ -111,12 +111,12 @@ def rsi_rolling(w: WindowSpec, delta: str = "_delta", period: int = 14) -> Colum
 
 
 def volume_ratio(w: WindowSpec, lookback: int = 20) -> Column:
-    """Volume against the mean of the previous ``lookback`` bars, two decimals."""
+    """Volume against the mean of the previous ``lookback`` bars, not yet rounded."""
     frame = w.rowsBetween(-lookback, -1)
     mean = F.avg("volume").over(frame)
     return F.when(
         (F.count("volume").over(frame) == lookback) & (mean > 0),
-        round_exact(F.try_divide(F.col("volume").cast("double"), mean), 2),
+        F.try_divide(F.col("volume").cast("double"), mean),
     )
 
 
@@ -129,21 +129,24 @@ def volume_ratio_lenient(w: WindowSpec, lookback: int = 20) -> Column:
 def candle_indicators(candles: DataFrame) -> DataFrame:
     """rsi_14, rsi_chart, volume_ratio, volume_ratio_lenient, volume_avg_20 and volume_spike.
 
-    ``candles`` holds one row per (symbol, candle_time); a hot symbol is spread over its blocks.
+    ``candles`` holds one row per (symbol, candle_time), numbered already if it carries ``_pos``;
+    a hot symbol is spread over its blocks.
     """
-    cut = candle_blocks(candles, halo=64)
+    cut = blocks(candles, 64) if "_pos" in candles.columns else candle_blocks(candles, halo=64)
     w = block_window(["symbol"])
     stepped = cut.withColumn("_delta", F.col("close") - F.lag("close").over(w))
     out = stepped.withColumns({
-        "rsi_14": rsi_simple(w),
+        "_rsi": rsi_simple(w),
+        "_ratio": volume_ratio(w),
         "rsi_chart": rsi_rolling(w),
-        "volume_ratio": volume_ratio(w),
         "volume_ratio_lenient": volume_ratio_lenient(w),
         "volume_avg_20": simple_average("volume", 20, w),
-    }).withColumn(
-        "volume_spike", F.coalesce(F.col("volume") >= F.col("volume_avg_20") * 3.0, F.lit(False))
-    )
-    return drop_halo(out).drop("_delta")
+    })
+    return drop_halo(out).withColumns({
+        "rsi_14": round_exact(F.col("_rsi"), 2),
+        "volume_ratio": round_exact(F.col("_ratio"), 2),
+        "volume_spike": F.coalesce(F.col("volume") >= F.col("volume_avg_20") * 3.0, F.lit(False)),
+    }).drop("_delta", "_rsi", "_ratio")
 
 
 def candle_rsi_seeded(candles: DataFrame, period: int = 14) -> DataFrame:
@@ -181,6 +184,7 @@ def session_vwap(
     session_only: bool = False,
     open_time: str = "09:00:00",
     close_time: str = "14:45:00",
+    number: bool = False,
 ) -> DataFrame:
     """Running volume-weighted price and deviation per (symbol, local day).
 
@@ -194,8 +198,9 @@ def session_vwap(
     order = ["candle_time"] + (["received_at"] if "received_at" in candles.columns else [])
     summed = running_totals(
         candles.withColumn("session_date", F.to_date("candle_time")),
-        ["symbol", "session_date"], order, hour_of("candle_time"),
+        ["symbol"], order, hour_of("candle_time"),
         {"_v": volume, "_pv": price * volume, "_p2v": price * price * volume},
+        within=["session_date"], number=number,
     )
     vwap = F.when(F.col("_v") > 0, F.try_divide(F.col("_pv"), F.col("_v")))
     spread = F.try_divide(F.col("_p2v"), F.col("_v"))

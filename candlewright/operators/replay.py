@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
-from candlewright.functions.alert_rules import AlertConfig, combined_rule, evaluate_rules
+from candlewright.functions.alert_rules import AlertConfig, Rule, combined_rule, evaluate_rules
 from candlewright.operators.bars import latest_revisions
 from candlewright.operators.cooldown import apply_cooldown
 from candlewright.operators.indicators import candle_indicators, session_vwap
@@ -14,14 +14,14 @@ from candlewright.operators.indicators import candle_indicators, session_vwap
 
 def enrich_candles(candles: DataFrame, cfg: AlertConfig = AlertConfig()) -> DataFrame:
     """Final revisions with session vwap, sigma, rsi_14 and volume_ratio."""
-    with_vwap = session_vwap(latest_revisions(candles), True, cfg.session_open, cfg.session_close)
-    return candle_indicators(with_vwap)
+    latest = latest_revisions(candles)
+    return candle_indicators(session_vwap(latest, True, cfg.session_open, cfg.session_close, number=True))
 
 
 def replay_alerts(
     candles: DataFrame,
     cfg: AlertConfig = AlertConfig(),
-    rules: Sequence[Callable[[AlertConfig], Column]] = (combined_rule,),
+    rules: Sequence[Callable[[AlertConfig], Rule]] = (combined_rule,),
 ) -> DataFrame:
     """Alerts that would have fired, had each candle arrived once in its final revision."""
     found = evaluate_rules(enrich_candles(candles, cfg), rules, cfg)

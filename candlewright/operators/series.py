@@ -110,21 +110,31 @@ def running_totals(
     order: Sequence[str],
     bucket: Column,
     totals: Mapping[str, Column],
+    within: Sequence[str] = (),
+    number: bool = False,
 ) -> DataFrame:
-    """Running sums from the start of each key to the current row, in two levels."""
+    """Running sums from the start of each (key, within) to the current row, in two levels.
+
+    Only the rows of one bucket meet in a task; the sums of earlier buckets are added from one small
+    row per bucket. ``number`` also adds ``_pos``, the position inside ``key``, from the same pass.
+    """
+    group = [*key, *within, "_bucket"]
     tagged = df.withColumn("_bucket", bucket)
-    sums = tagged.groupBy(*key, "_bucket").agg(*[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()])
-    earlier = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(
-        *key, "_bucket",
-        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in totals],
-    )
-    inner = (
-        Window.partitionBy(*key, "_bucket").orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = tagged.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()]
     )
-    return (
-        tagged.join(base, [*key, "_bucket"])
-        .withColumns({n: F.col(f"_b_{n}") + F.coalesce(F.sum(c).over(inner), F.lit(0)) for n, c in totals.items()})
-        .drop("_bucket", *[f"_b_{n}" for n in totals])
+
+    def before(scope: Sequence[str], column: str) -> Column:
+        w = Window.partitionBy(*scope).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(w), F.lit(0))
+
+    base = sums.select(
+        *group, before(key, "_n").alias("_base"),
+        *[before([*key, *within], f"_s_{n}").alias(f"_b_{n}") for n in totals],
     )
+    inner = Window.partitionBy(*group).orderBy(*order)
+    upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = {n: F.col(f"_b_{n}") + F.coalesce(F.sum(c).over(upto), F.lit(0)) for n, c in totals.items()}
+    if number:
+        added[_POS] = F.col("_base") + F.row_number().over(inner) - 1
+    return tagged.join(base, group).withColumns(added).drop("_bucket", "_base", *[f"_b_{n}" for n in totals])

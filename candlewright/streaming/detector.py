@@ -17,8 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from candlewright.functions.alert_rules import (
     AlertConfig,
-    combined_message,
-    combined_severity,
+    combined_fields,
     critical_feed,
     legacy_alerts,
 )
@@ -170,19 +169,11 @@ def detect_alerts(candles: DataFrame, cfg: AlertConfig = AlertConfig()) -> DataF
 
 
 def shape_alerts(raised: DataFrame, cfg: AlertConfig) -> DataFrame:
-    """Severity, indicator, threshold, deviation and message of raised alerts."""
-    kind, rsi, ratio, vwap = F.col("alert_type"), F.col("rsi"), F.col("ratio"), F.col("vwap")
-    by_volume = kind.isin("COMBINED_UNUSUAL_VOLUME", "COMBINED_VOLUME_BREAKOUT", "COMBINED_VOLUME_BREAKDOWN")
-    high = kind.isin("COMBINED_PUMP_RISK", "COMBINED_OVERBOUGHT_BREAKOUT")
-    return raised.withColumns({
-        "rule_name": F.lit("COMBINED"),
-        "severity": combined_severity(kind),
-        "indicator_value": F.when(by_volume, ratio).otherwise(rsi),
-        "threshold": F.when(by_volume, F.lit(cfg.volume_spike))
-        .when(high, F.lit(cfg.rsi_overbought)).otherwise(F.lit(cfg.rsi_oversold)),
-        "deviation_pct": F.when(vwap > 0, F.try_divide(F.col("price") - vwap, vwap) * 100).otherwise(0.0),
-        "message": combined_message(kind, F.col("symbol"), rsi, ratio),
-    }).select(*ALERT_COLUMNS)
+    """Raised alerts in the shape of the alert table."""
+    fields = combined_fields(
+        F.col("alert_type"), F.col("rsi"), F.col("ratio"), F.col("price"), F.col("vwap"), cfg
+    )
+    return raised.withColumns({"rule_name": F.lit("COMBINED"), **fields}).select(*ALERT_COLUMNS)
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None):
