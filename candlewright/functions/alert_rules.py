@@ -76,8 +76,7 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Callable[[AlertConfig], Rule]]
     kinds = df.withColumn("_band", band_state(cfg)).withColumns({f"_kind_{i}": m.kind for i, m in enumerate(made)})
     some = F.coalesce(*[F.col(f"_kind_{i}") for i in range(len(made))]).isNotNull()
     alerts = F.array(*[m.alert(F.col(f"_kind_{i}")) for i, m in enumerate(made)])
-    found = F.filter(alerts, lambda alert: alert.isNotNull())
-    return kinds.where(some).select(F.explode(found).alias("_alert")).select("_alert.*")
+    return kinds.where(some).select(F.explode(alerts).alias("_alert")).where("_alert IS NOT NULL").select("_alert.*")
 
 
 def vwap_rule(cfg: AlertConfig) -> Rule:
