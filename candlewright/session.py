@@ -28,14 +28,22 @@ def build_session(app_name: str = "candlewright", **options: str) -> SparkSessio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the cluster; pick one only when none is named (local runs)."""
+    """Use the shared folder named by the cluster; only a single-machine session may go without one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="candlewright-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables of this session lie."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so that every later branch sees the same rows."""
     ensure_checkpoint_dir(df.sparkSession)

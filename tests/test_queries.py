@@ -20,14 +20,14 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query(spark, con, name):
     line = compare(spark, con, DIR, name)
     assert line.startswith(("ok", "rows")), line
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
 def test_flagship(spark):
