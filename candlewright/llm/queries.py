@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewright.llm import quality_rules, sql
+from candlewright.llm import line_dedup, quality_rules, secret_scan, sql, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,43 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+#: Rules of the url query, and the parts of a host that label a page as unwanted in training.
+URL_RULES = (
+    url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/"),
+)
+UNWANTED_HOSTS = ("spam-farm", "cheap-pills", "casino-win", "free-bets")
+
+
+def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    at = pages.select(url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    labelled = at.withColumn("label", F.col("host").rlike("(^|[.])(" + "|".join(UNWANTED_HOSTS) + ")[.]").cast("int"))
+    return url_filter.judged(pages, URL_RULES, url_filter.train(labelled))
+
+
+def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, d, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def op7_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.scanned(table(spark, d, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.STRONG))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judged(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op10_quality_rules,)}
-ORACLES: dict[str, str] = {"op10_quality_rules": sql.OP10}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_url_filter, op5_line_dedup, op7_secret_scan, op10_quality_rules)}
+ORACLES: dict[str, str] = {"op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
