@@ -168,9 +168,9 @@ def _stripped(batches, text_at: int, drop_at: int, min_chars: int):
             total = (text or "").count("\n") + 1
             if drop.is_valid:
                 unwanted = set(drop.as_py())
-                kept = [x for x in text.split("\n") if line_key(x, min_chars) not in unwanted]
+                kept = [x for x in (text or "").split("\n") if line_key(x, min_chars) not in unwanted]
                 lost = total - len(kept)
-                text = "\n".join(kept)
+                text = "\n".join(kept) if lost else text
             texts.append(text)
             counts.append(total)
             gone.append(lost)
