@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import line_dedup, quality_rules, secret_scan, sql, url_filter
+from candlewright.llm import line_dedup, quality_rules, secret_scan, sql, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    warc.write_archive(table(spark, d, "pages"), folder)
+    return warc.read_archive(spark, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 #: Rules of the url query, and the parts of a host that label a page as unwanted in training.
 URL_RULES = (
     url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
@@ -54,5 +60,5 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_url_filter, op5_line_dedup, op7_secret_scan, op10_quality_rules)}
-ORACLES: dict[str, str] = {"op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op5_line_dedup, op7_secret_scan, op10_quality_rules)}
+ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}

@@ -44,3 +44,8 @@ marked AS (SELECT rid, keyed.doc_id, line, i, keeper IS NOT NULL AND keyed.doc_i
 SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY rid, doc_id"""
+
+OP1 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, row_number() OVER () AS rid FROM pages),
+r AS (SELECT *, page_id IS NOT NULL AND strlen(h) >= 100 AND row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST, rid) > 1 AS again, min(page_id) OVER (PARTITION BY h) AS head FROM p)
+SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest, if(again, 'revisit', 'response') AS record_type, if(again, head, NULL) AS refers_to FROM r"""
