@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import line_dedup, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import line_dedup, near_dedup, quality_rules, secret_scan, sql, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,11 +54,15 @@ def op7_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.grouped(table(spark, d, "documents"), width=3, percent=85)
+
+
 def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judged(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op5_line_dedup, op7_secret_scan, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op5_line_dedup, op7_secret_scan, op8_near_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
