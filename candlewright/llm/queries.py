@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import line_dedup, near_dedup, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import decontaminate, line_dedup, near_dedup, quality_rules, secret_scan, sql, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.judged(pages, URL_RULES, url_filter.train(labelled))
 
 
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, d, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
@@ -64,5 +68,5 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op5_line_dedup, op7_secret_scan, op8_near_dedup, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op4_decontamination, op5_line_dedup, op7_secret_scan, op8_near_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
