@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import decontaminate, line_dedup, near_dedup, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import decontaminate, line_dedup, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.encoded(table(spark, d, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     found = secret_scan.scanned(table(spark, d, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.STRONG))
@@ -68,5 +72,5 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op4_decontamination, op5_line_dedup, op7_secret_scan, op8_near_dedup, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
