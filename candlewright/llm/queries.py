@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import decontaminate, line_dedup, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import decontaminate, line_dedup, lm_score, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,11 +66,15 @@ def op8_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.grouped(table(spark, d, "documents"), width=3, percent=85)
 
 
+def op9_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return lm_score.scored(table(spark, d, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judged(table(spark, d, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
