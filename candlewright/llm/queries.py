@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import decontaminate, line_dedup, lm_score, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import decontaminate, license_scan, line_dedup, lm_score, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.judged(pages, URL_RULES, url_filter.train(labelled))
 
 
+def op3_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.notices(table(spark, d, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -76,5 +80,5 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
