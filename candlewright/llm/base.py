@@ -31,10 +31,12 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+_27, _30, _31 = np.uint64(27), np.uint64(30), np.uint64(31)
+_FIRST, _SECOND = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
-    """Bijective mixing of 64-bit words (the finaliser of splitmix64), for hashing and counter-based random numbers."""
-    x = np.asarray(x, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+    """Bijective mixing of an array of unsigned 64-bit words (the finaliser of splitmix64), for hashing and counter-based random numbers."""
+    x = (x ^ (x >> _30)) * _FIRST
+    x = (x ^ (x >> _27)) * _SECOND
+    return x ^ (x >> _31)

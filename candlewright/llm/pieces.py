@@ -37,11 +37,12 @@ from pyspark.sql import functions as F
 from candlewright.llm.base import mixed
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 MARK = "▁"
 #: Stand-ins that no valid text holds: for a mark in the text itself, and between words.
 OWN_MARK, BETWEEN = "\ud800", "\ud801"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+REMEMBERED = 60_000
 BYTES = 1 << 30  # arcs from here on stand for a character written as bytes
 
 
@@ -65,22 +66,26 @@ class Vocabulary:
             self.automaton.add_word(self.pieces[i], i)
         self.automaton.make_automaton()
         self.lengths = np.array([len(p) for p in self.pieces])
+        self.met: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # lattices of words, see _remember
+        # A byte below 128 is a character of its own; the others come in runs.
+        self.written = [chr(self.bytes_of[i]) if i in self.bytes_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
+        self.in_run = np.array([self.bytes_of.get(i, 0) > 127 for i in range(size)])
         self.single = {self.pieces[i] for i in plain if len(self.pieces[i]) == 1}
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of any segmentation; the mark that begins every text goes."""
-        if not ids:
-            return ""
+        runs = self.in_run[ids]
+        if not runs.any():
+            return "".join(map(self.written.__getitem__, ids.tolist()))[1:]
         out, pending = [], bytearray()
-        for i in ids:
-            byte = self.bytes_of.get(i)
-            if byte is not None:
-                pending.append(byte)
+        for i, held in zip(ids.tolist(), runs.tolist()):
+            if held:
+                pending.append(self.bytes_of[i])
                 continue
             if pending:
                 out.append(pending.decode(errors="replace"))
                 pending = bytearray()
-            out.append(self.pieces[i].replace(MARK, " "))
+            out.append(self.written[i])
         out.append(pending.decode(errors="replace"))
         return "".join(out)[1:]
 
@@ -107,58 +112,52 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """The lattices of distinct words. Nodes are places in the joined words; arcs are pieces, sorted by the node they leave."""
+    """The lattices of distinct words. Nodes are places in the joined words; arcs are pieces, sorted by the node they leave, likely ones first."""
 
     def __init__(self, words: list[str], v: Vocabulary):
         self.v = v
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        old = [w for w in words if w in v.met]
+        new = [w for w in words if w not in v.met]
+        place = {w: i for i, w in enumerate(old + new)}
+        self.word = np.fromiter((place[w] for w in words), np.int64, len(words))
+        lengths = np.fromiter(map(len, old + new), np.int64, len(words))
         self.first = np.cumsum(lengths + 1) - lengths - 1  # first node per word
-        joined = BETWEEN.join(words) + BETWEEN
-        size = len(joined)
-        found = np.fromiter(chain.from_iterable(v.automaton.iter(joined)), np.int64).reshape(-1, 2)
-        end, piece = found[:, 0] + 1, found[:, 1]
-        n = v.lengths[piece]
-        unknown = [(p, c) for c in set(joined) - v.single - {BETWEEN} for p in _places(joined, c)]
-        self.characters = sorted({c for _, c in unknown})
-        code = {c: BYTES + k for k, c in enumerate(self.characters)}
-        raw = [MARK.encode() if c == OWN_MARK else c.encode() for c in self.characters]
-        self.byte_runs = [[v.byte_ids[b] for b in r] for r in raw]
-        at = np.array([p for p, _ in unknown], np.int64)
-        start = np.r_[end - n, at]
-        self.end, self.piece = np.r_[end, at + 1], np.r_[piece, np.array([code[c] for _, c in unknown], np.int64)]
-        log = np.r_[v.log[piece], np.array([v.byte_log * len(self.byte_runs[code[c] - BYTES]) for _, c in unknown], np.float64)]
-        # Log mass of all ways from a node to the end of its word, nearest nodes first.
-        stop = np.repeat(self.first + lengths, lengths + 1)
-        far = stop[start] - start
-        order = np.lexsort((start, far))
-        mass = np.full(size + 1, -np.inf)
-        mass[self.first + lengths] = 0.0
-        s, e, g = start[order], self.end[order], log[order]
-        bounds = np.searchsorted(far[order], np.arange(1, (int(far.max()) if len(far) else 0) + 2))
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            heads = np.flatnonzero(np.r_[True, s[a + 1:b] != s[a:b - 1]]) if b > a else []
-            if b > a:
-                mass[s[a:b][heads]] = np.logaddexp.reduceat(g[a:b] + mass[e[a:b]], heads)
-        order = np.argsort(start, kind="stable")
-        self.start, self.end, self.piece, log = start[order], self.end[order], self.piece[order], log[order]
-        self.log = np.minimum(log + mass[self.end] - mass[self.start], 0.0)  # of the arc, given its node
-        self.arcs = np.searchsorted(self.start, np.arange(size + 2))  # first arc per node
-        last = self.arcs[self.start + 1] - 1
-        sums = np.cumsum(np.exp(self.log))
-        within = sums - np.where(self.arcs[self.start] > 0, sums[self.arcs[self.start] - 1], 0.0)
-        within[last] = 1.0
-        self.keys = self.start + within
-        self.stop = np.zeros(size + 1, bool)
+        shift = int(lengths[:len(old)].sum()) + len(old)
+        start, end, piece, log, self.characters, self.byte_runs = _arcs(new, v, self.first[len(old):] - shift, lengths[len(old):])
+        packed = [v.met[w] for w in old]
+        sizes = np.fromiter((len(x[1]) for x in packed), np.int64, len(packed))
+        known = np.concatenate([x[0] for x in packed]) if packed else np.zeros(0, np.int64)
+        base = np.repeat(self.first[:len(old)], sizes)
+        self.start = np.r_[(known >> 32 & 0xFFFF) + base, start + shift]
+        self.end = np.r_[(known >> 48) + base, end + shift]
+        self.piece = np.r_[known & 0x7FFFFFFF, piece]
+        self.log = np.concatenate([*[x[1] for x in packed], log])
+        self.p = np.exp(self.log)
+        nodes = int(lengths.sum()) + len(words)
+        self.arcs = np.r_[0, np.cumsum(np.bincount(self.start, minlength=nodes + 1))]  # first arc per node
+        self.last = np.zeros(len(self.start), bool)
+        self.last[self.arcs[self.start] - 1] = True
+        self.last[self.arcs[self.start + 1] - 1] = True
+        self.stop = np.zeros(nodes + 1, bool)
         self.stop[self.first + lengths] = True
         self.counts = np.where(self.piece >= BYTES, np.array([len(r) for r in self.byte_runs] + [1])[np.minimum(np.maximum(self.piece - BYTES, 0), len(self.byte_runs))], 1)
+        _remember(new, v, start, end, piece, log, self.first[len(old):] - shift)
 
     def sample(self, word: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A free sample per occurrence of a word: all arcs one after another, and how many each occurrence has."""
-        node, active, steps = self.first[word], np.arange(len(word)), []
+        node, active, steps = self.first[self.word[word]], np.arange(len(word)), []
         sizes = np.zeros(len(word), np.int64)
         while len(active):
-            u = uniform(seeds[active] + np.uint64(len(steps) * 0x9E3779B9))
-            arc = np.searchsorted(self.keys, node + u, side="right")
+            left = uniform(seeds[active] + np.uint64(len(steps) * 0x9E3779B9))
+            arc = self.arcs[node]
+            some = np.arange(len(arc))
+            while len(some):  # from the likeliest arc on, until the random number is used up
+                at = arc[some]
+                rest = left[some] - self.p[at]
+                go = (rest >= 0) & ~self.last[at]
+                some = some[go]
+                left[some] = rest[go]
+                arc[some] += 1
             steps.append((active, arc))
             sizes[active] += 1
             node = self.end[arc]
@@ -181,6 +180,48 @@ class Lattice:
         return out.astype(np.int32)
 
 
+def _arcs(words: list[str], v: Vocabulary, first: np.ndarray, lengths: np.ndarray):
+    """Arcs of new words: start, end, piece, log probability given the start; and the characters that become bytes."""
+    joined = "".join(w + BETWEEN for w in words)
+    found = np.fromiter(chain.from_iterable(v.automaton.iter(joined)), np.int64).reshape(-1, 2)
+    end, piece = found[:, 0] + 1, found[:, 1]
+    unknown = [(p, c) for c in set(joined) - v.single - {BETWEEN} for p in _places(joined, c)]
+    characters = sorted({c for _, c in unknown})
+    code = {c: BYTES + k for k, c in enumerate(characters)}
+    runs = [[v.byte_ids[b] for b in (MARK if c == OWN_MARK else c).encode()] for c in characters]
+    at = np.array([p for p, _ in unknown], np.int64)
+    start = np.r_[end - v.lengths[piece], at]
+    log = np.r_[v.log[piece], np.array([v.byte_log * len(runs[code[c] - BYTES]) for _, c in unknown], np.float64)]
+    end, piece = np.r_[end, at + 1], np.r_[piece, np.array([code[c] for _, c in unknown], np.int64)]
+    # Log mass of all ways from a node to the end of its word, nearest nodes first.
+    far = np.repeat(first + lengths, lengths + 1)[start] - start
+    order = np.lexsort((start, far))
+    mass = np.full(len(joined) + 1, -np.inf)
+    mass[first + lengths] = 0.0
+    s, e, g = start[order], end[order], log[order]
+    bounds = np.searchsorted(far[order], np.arange(1, (int(far.max()) if len(far) else 0) + 2))
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        if b > a:
+            heads = np.flatnonzero(np.r_[True, s[a + 1:b] != s[a:b - 1]])
+            mass[s[a:b][heads]] = np.logaddexp.reduceat(g[a:b] + mass[e[a:b]], heads)
+    log = np.minimum(log + mass[end] - mass[start], 0.0)
+    order = np.lexsort((-log, start))
+    return start[order], end[order], piece[order], log[order], characters, runs
+
+
+def _remember(words: list[str], v: Vocabulary, start, end, piece, log, first) -> None:
+    """Keep the lattices of short words for later batches, a bounded number of them."""
+    if len(v.met) >= REMEMBERED:
+        return
+    bounds = np.searchsorted(start, np.r_[first, first[-1:] + len(words[-1]) + 1 if words else 0])
+    packed = piece | start - np.repeat(first, np.diff(bounds)) << 32 | end - np.repeat(first, np.diff(bounds)) << 48
+    odd = np.add.reduceat(piece >= BYTES, bounds[:-1]) if len(piece) else []
+    for i in range(min(len(words), REMEMBERED - len(v.met))):
+        if len(words[i]) <= 64 and not odd[i]:
+            a, b = bounds[i], bounds[i + 1]
+            v.met[words[i]] = packed[a:b].copy(), log[a:b].copy()
+
+
 def _places(text: str, c: str) -> list[int]:
     return [m.start() for m in re.finditer(re.escape(c), text)]
 
@@ -188,11 +229,11 @@ def _places(text: str, c: str) -> list[int]:
 def log_rest(log: np.ndarray) -> np.ndarray:
     """log(1 - exp(log)), minus infinity where nothing is left."""
     with np.errstate(divide="ignore"):
-        return np.where(log > -0.7, np.log(-np.expm1(np.minimum(log, 0.0))), np.log1p(-np.exp(log)))
+        return np.log(-np.expm1(log))
 
 
 #: The greatest Gumbel value of a 52-bit uniform number; decisions looked at together.
-HIGHEST, STEP = 37.0, 256
+HIGHEST, STEP = 37.0, 400
 
 
 class _Sample:
@@ -204,7 +245,7 @@ class _Sample:
         self.log = float(log.sum())
         # Sets that begin ever later have ever less mass. Those whose mass can't reach the best value so far with the
         # highest random number, whatever they hold, are never opened nor second: the search stops there.
-        before, parts, best = float(log[:branch].sum()), [], []
+        before, parts, best = float(log[:branch].sum()), [], np.zeros(0)
         for a in range(branch, len(arcs), STEP):
             some = log[a:a + STEP]
             rest = log_rest(some)
@@ -219,8 +260,8 @@ class _Sample:
             loose = np.cumsum(some) - some + before + rest - np.log(-np.log(noise))
             parts.append(loose)
             before += float(some.sum())
-            best = sorted([*best, *loose.tolist()], reverse=True)[:needed]
-            if before + HIGHEST < best[-1]:
+            best = np.sort(np.concatenate([best, loose]))[-needed:]
+            if len(best) == needed and before + HIGHEST < best[0]:
                 break
         loose = np.concatenate(parts) if parts else np.zeros(0)
         with np.errstate(invalid="ignore"):
@@ -243,15 +284,16 @@ def row_seed(doc: int | None, seed: int) -> int:
 
 def segmentations(texts: list[str], seeds: list[int], k: int, v: Vocabulary) -> list[list[tuple[np.ndarray, float, float]]]:
     """Per text up to ``k`` distinct segmentations in the order drawn: (ids, log probability, inclusion score)."""
-    index: dict[str, int] = {}
-    coded, begins = [], [0]
+    words: list[str] = []
+    begins = [0]
     for text in texts:
-        coded += [index.setdefault(w, len(index)) for w in words_of(text)]
-        begins.append(len(coded))
-    if not coded:
+        words += words_of(text)
+        begins.append(len(words))
+    if not words:
         return [[(np.zeros(0, np.int32), 0.0, 1.0)] for _ in texts]
+    index = {w: i for i, w in enumerate(dict.fromkeys(words))}
     lattice = Lattice(list(index), v)
-    word, sizes = np.array(coded), np.diff(begins)
+    word, sizes = np.fromiter(map(index.__getitem__, words), np.int64, len(words)), np.diff(begins)
     base = mixed(np.repeat(np.array(seeds, np.uint64), sizes) + ragged(np.zeros(len(sizes), np.int64), sizes).astype(np.uint64))
     samples: list[list[_Sample]] = [[] for _ in texts]
     for draw in range(k):
@@ -320,7 +362,7 @@ def _encoded(batches, k: int, seed: int, path: str):
                 chars += len(texts[-1])
             own = docs[a:a + len(texts)]
             drawn = segmentations(texts, [row_seed(d, seed) for d in own], k, v)
-            flat = [(d, i, ids, log, share, v.decode(ids.tolist()) == t) for d, t, samples in zip(own, texts, drawn) for i, (ids, log, share) in enumerate(samples)]
+            flat = [(d, i, ids, log, share, v.decode(ids) == t) for d, t, samples in zip(own, texts, drawn) for i, (ids, log, share) in enumerate(samples)]
             lengths = np.array([len(r[2]) for r in flat])
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(np.concatenate([r[2] for r in flat]), pa.int32()))
             column = lambda i, kind: pa.array([r[i] for r in flat], kind)
@@ -340,7 +382,7 @@ def encoded(documents: DataFrame, k: int = 2, seed: int = 0, path: str = VOCABUL
 def _decoded(batches, path: str):
     v = vocabulary(path)
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([v.decode(x.as_py() or []) for x in batch.columns[-1]], pa.string())], ["doc_id", "sample", "text"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([v.decode(np.array(x.as_py() or [], np.int64)) for x in batch.columns[-1]], pa.string())], ["doc_id", "sample", "text"])
 
 
 def decoded(segmented: DataFrame, path: str = VOCABULARY) -> DataFrame:
