@@ -1,7 +1,7 @@
 """Cooldown of alerts: after one fires, the same kind stays silent for a while.
 
 Which alert fires depends on the last one that fired, so the series of a key is a chain. It is cut
-into hours: for an hour, only the moments at which the key may become free again inside its first
+into hours, or into slots as long as the cooldown where that is longer: for a slot, only the moments at which the key may become free again inside its first
 seconds matter, and for each of those the hour is folded on its own. The short list of outcomes per
 hour is then chained across neighbouring hours, and only where an hour can be affected by the one
 before it.
@@ -41,18 +41,19 @@ def apply_cooldown(
 ) -> DataFrame:
     """Alerts that fire: the first of a key, then each at least ``seconds`` after the last fired."""
     wait = int(seconds * 1_000_000)
-    if not 0 < wait <= _HOUR:
-        raise ValueError("the cooldown must be between a microsecond and an hour")
+    if wait <= 0:
+        return alerts
+    slot = max(_HOUR, wait)
     key = list(key)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     # Read three times below; alerts are few beside the candles they come from.
     timed = pinned(alerts.withColumn("_t", micros))
     hours = (
-        timed.select(*key, "_t").distinct().withColumn("_h", F.expr(f"_t div {_HOUR}"))
+        timed.select(*key, "_t").distinct().withColumn("_h", F.floor(F.col("_t") / slot))
         .groupBy(*key, "_h").agg(F.array_sort(F.collect_list("_t")).alias("_ts"))
     )
-    opening = F.col("_h") * _HOUR + wait
-    releases = F.array_append(F.filter("_ts", lambda t: t < F.col("_h") * _HOUR + wait), opening)
+    opening = F.col("_h") * slot + wait
+    releases = F.array_append(F.filter("_ts", lambda t: t < F.col("_h") * slot + wait), opening)
     outcomes = hours.withColumn(
         "_out",
         F.transform(releases, lambda r: F.struct(

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.text import round_exact
 from candlewright.operators.series import (
+    BLOCK_ROWS,
     block_window,
     blocks,
     drop_halo,
     ema_columns,
-    ema_plan,
     positions,
     running_totals,
 )
@@ -44,17 +44,14 @@ def typical_price() -> Column:
 
 
 def daily_indicators(bars: DataFrame, include_vwap: bool = True) -> DataFrame:
-    """All indicators of the daily tables in one pass.
+    """All indicators of the daily tables.
 
-    ``bars`` holds one row per (symbol, trade_date), so a symbol is bounded by the calendar and one
-    shuffle by symbol serves every window; blocks only keep the recurrence weights finite.
+    ``bars`` holds one row per (symbol, trade_date), so a symbol is bounded by the calendar and may be windowed whole.
     """
     key = ["symbol"]
-    halo, size = ema_plan([SPAN_12, SPAN_26, WILDER])
-    cut = blocks(positions(bars, key, ["trade_date"]), halo, size)
-    w = block_window(key)
+    w = Window.partitionBy(*key).orderBy("trade_date")
     previous = F.lag("close").over(w)
-    stepped = cut.withColumns({
+    stepped = positions(bars, key, ["trade_date"]).withColumns({
         "price_change_pct": change_pct(F.col("close"), previous),
         "_delta": F.col("close") - previous,
         "sma_20": simple_average("close", 20, w),
@@ -75,18 +72,17 @@ def daily_indicators(bars: DataFrame, include_vwap: bool = True) -> DataFrame:
     })
     if include_vwap:
         out = out.withColumn("vwap", typical_price())
-    out = drop_halo(out).drop("_delta", "_gain", "_loss", "_avg_gain", "_avg_loss")
-    return out.withColumnRenamed("volume", "total_volume")
+    return out.drop("_pos", "_delta", "_gain", "_loss", "_avg_gain", "_avg_loss").withColumnRenamed("volume", "total_volume")
 
 
 def hour_of(column: str) -> Column:
     return F.date_trunc("hour", F.col(column))
 
 
-def candle_blocks(candles: DataFrame, halo: int, key: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Candles in overlapping blocks; any frame up to ``halo`` rows back is complete inside one."""
+def candle_positions(candles: DataFrame, key: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Candles numbered within their symbol."""
     order = ["candle_time"] + (["received_at"] if "received_at" in candles.columns else [])
-    return blocks(positions(candles, key, order, hour_of("candle_time")), halo)
+    return positions(candles, key, order, hour_of("candle_time"))
 
 
 def rsi_simple(w: WindowSpec, delta: str = "_delta", period: int = 14) -> Column:
@@ -126,20 +122,23 @@ def volume_ratio_lenient(w: WindowSpec, lookback: int = 20) -> Column:
     return F.when(mean > 0, F.try_divide(F.col("volume").cast("double"), mean)).otherwise(0.0)
 
 
-def candle_indicators(candles: DataFrame) -> DataFrame:
+def candle_indicators(candles: DataFrame, period: int = 14, lookback: int = 20) -> DataFrame:
     """rsi_14, rsi_chart, volume_ratio, volume_ratio_lenient, volume_avg_20 and volume_spike.
 
     ``candles`` holds one row per (symbol, candle_time), numbered already if it carries ``_pos``;
-    a hot symbol is spread over its blocks.
+    a hot symbol is spread over its blocks, which overlap by the longest frame. ``rsi_14`` keeps its name
+    whatever the period.
     """
-    cut = blocks(candles, 64) if "_pos" in candles.columns else candle_blocks(candles, halo=64)
+    halo = max(period + 1, lookback, 20)
+    numbered = candles if "_pos" in candles.columns else candle_positions(candles)
+    cut = blocks(numbered, halo, max(BLOCK_ROWS, 8 * halo))
     w = block_window(["symbol"])
     stepped = cut.withColumn("_delta", F.col("close") - F.lag("close").over(w))
     out = stepped.withColumns({
-        "_rsi": rsi_simple(w),
-        "_ratio": volume_ratio(w),
-        "rsi_chart": rsi_rolling(w),
-        "volume_ratio_lenient": volume_ratio_lenient(w),
+        "_rsi": rsi_simple(w, period=period),
+        "_ratio": volume_ratio(w, lookback),
+        "rsi_chart": rsi_rolling(w, period=period),
+        "volume_ratio_lenient": volume_ratio_lenient(w, lookback),
         "volume_avg_20": simple_average("volume", 20, w),
     })
     return drop_halo(out).withColumns({
@@ -152,31 +151,21 @@ def candle_indicators(candles: DataFrame) -> DataFrame:
 def candle_rsi_seeded(candles: DataFrame, period: int = 14) -> DataFrame:
     """Add rsi_seeded: Wilder smoothing whose first average is the plain mean of ``period`` deltas."""
     alpha = 1.0 / period
-    halo, size = ema_plan([alpha])
-    order = ["candle_time"] + (["received_at"] if "received_at" in candles.columns else [])
-    cut = blocks(positions(candles, ["symbol"], order, hour_of("candle_time")), halo, size)
+    cut = blocks(candle_positions(candles), period + 1, max(BLOCK_ROWS, 8 * period))
     w = block_window(["symbol"])
     frame = w.rowsBetween(-(period - 1), 0)
     stepped = cut.withColumn("_delta", F.col("close") - F.lag("close").over(w))
-    mean_gain = F.avg(F.greatest(F.col("_delta"), F.lit(0.0))).over(frame)
-    mean_loss = F.avg(F.greatest(-F.col("_delta"), F.lit(0.0))).over(frame)
+    up, down = F.greatest(F.col("_delta"), F.lit(0.0)), F.greatest(-F.col("_delta"), F.lit(0.0))
     pos = F.col("_pos")
     seeded = stepped.withColumns({
-        "_gain": F.when(pos == period, mean_gain).when(pos > period, F.greatest(F.col("_delta"), F.lit(0.0))),
-        "_loss": F.when(pos == period, mean_loss).when(pos > period, F.greatest(-F.col("_delta"), F.lit(0.0))),
+        name: F.when(F.col("_delta").isNotNull(), F.when(pos == period, F.avg(step).over(frame)).when(pos > period, step))
+        for name, step in (("_gain", up), ("_loss", down))
     })
     smoothed = ema_columns(
-        seeded.withColumns({
-            "_gain": F.when(F.col("_delta").isNotNull(), F.col("_gain")),
-            "_loss": F.when(F.col("_delta").isNotNull(), F.col("_loss")),
-        }),
-        ["symbol"], {"_avg_gain": ("_gain", alpha), "_avg_loss": ("_loss", alpha)},
-    )
-    out = smoothed.withColumn(
-        "rsi_seeded",
-        F.when(pos >= period, rsi_from_averages(F.col("_avg_gain"), F.col("_avg_loss"))),
+        drop_halo(seeded, keep_positions=True), ["symbol"], {"_avg_gain": ("_gain", alpha), "_avg_loss": ("_loss", alpha)}
     )
-    return drop_halo(out).drop("_delta", "_gain", "_loss", "_avg_gain", "_avg_loss")
+    out = smoothed.withColumn("rsi_seeded", F.when(pos >= period, rsi_from_averages(F.col("_avg_gain"), F.col("_avg_loss"))))
+    return out.drop("_pos", "_delta", "_gain", "_loss", "_avg_gain", "_avg_loss")
 
 
 def session_vwap(

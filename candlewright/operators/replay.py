@@ -15,7 +15,8 @@ from candlewright.operators.indicators import candle_indicators, session_vwap
 def enrich_candles(candles: DataFrame, cfg: AlertConfig = AlertConfig()) -> DataFrame:
     """Final revisions with session vwap, sigma, rsi_14 and volume_ratio."""
     latest = latest_revisions(candles)
-    return candle_indicators(session_vwap(latest, True, cfg.session_open, cfg.session_close, number=True))
+    summed = session_vwap(latest, True, cfg.session_open, cfg.session_close, number=True)
+    return candle_indicators(summed, cfg.rsi_period, cfg.volume_lookback)
 
 
 def replay_alerts(

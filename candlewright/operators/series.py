@@ -66,42 +66,70 @@ def block_window(key: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*key, _BLOCK).orderBy(_POS)
 
 
-def drop_halo(df: DataFrame) -> DataFrame:
-    return df.where(_CORE).drop(_BLOCK, _CORE, _POS)
+def drop_halo(df: DataFrame, keep_positions: bool = False) -> DataFrame:
+    return df.where(_CORE).drop(_BLOCK, _CORE, *([] if keep_positions else [_POS]))
 
 
-def ema_halo(alpha: float) -> int:
-    """Rows after which an older value weighs less than 2**-60, i.e. below double precision."""
-    return math.ceil(60 * math.log(2) / -math.log1p(-alpha))
-
-
-def ema_plan(alphas: Sequence[float]) -> tuple[int, int]:
-    """(halo, block size) for which all weights stay finite in a double."""
-    halo = max(ema_halo(a) for a in alphas)
-    size = min(BLOCK_ROWS, int(650 / max(-math.log1p(-a) for a in alphas)) - halo)
-    if size < halo:
-        raise ValueError("smoothing factors lie too far apart for one pass; use one call for each")
-    return halo, size
+def _span(alpha: float) -> int:
+    """Values after which the weight (1 - alpha)**n is e**-600: far below double precision, and its inverse still finite."""
+    return max(1, int(600 / -math.log1p(-alpha)))
 
 
 def ema_columns(df: DataFrame, key: Sequence[str], specs: Mapping[str, tuple[str, float]]) -> DataFrame:
     """Recursive averages y[t] = (1-a) y[t-1] + a x[t], seeded by the first non-null value.
 
-    ``specs`` maps an output name to (value column, alpha); ``df`` comes from ``blocks``. Inside a
-    block the recurrence is a running sum of x[j] (1-a)**-j, scaled back by (1-a)**j; the overlap of
-    ``ema_halo`` rows replaces the value carried in from earlier blocks. A null value repeats the
-    previous average.
+    ``specs`` maps an output name to (value column, alpha); ``df`` carries ``_pos``. A null value repeats the previous
+    average; before the first value the average is null. Nothing is cut: the rows of a key are dealt into buckets by
+    position, a bucket yields its count n of values and its end s, as if it began at zero, and the true end follows from
+    y -> (1-a)**n y + s. These one-row buckets are chained by the same rule in a window over their counts, and what a
+    bucket starts from is joined back. Any number of nulls and any smoothing factor in (0, 1) will do.
     """
-    running = block_window(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = min(BLOCK_ROWS, *[_span(a) for _, a in specs.values()])
+    bucketed = df.withColumn("_bucket", F.expr(f"{_POS} div {size}"))
+    inside = Window.partitionBy(*key, "_bucket").orderBy(_POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     values = sorted({value for value, _ in specs.values()})
-    counted = df.withColumns({f"_n_{v}": F.count(v).over(running) for v in values})
-    out = {}
+    counted = bucketed.withColumns({f"_n_{v}": F.count(v).over(inside) for v in values})
+    parts = {}
     for name, (value, alpha) in specs.items():
-        age, x = F.col(f"_n_{value}") - 1, F.col(value)
-        weight = F.when(age == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-        decay = F.lit(1.0 - alpha)
-        out[name] = F.sum(x * weight * F.pow(decay, -age)).over(running) * F.pow(decay, age)
-    return counted.withColumns(out).drop(*[f"_n_{v}" for v in values])
+        n, decay = F.col(f"_n_{value}"), F.lit(1.0 - alpha)
+        parts[f"_s_{name}"] = F.coalesce(F.sum(alpha * F.col(value) * F.pow(decay, -n)).over(inside) * F.pow(decay, n), F.lit(0.0))
+    summed = counted.withColumns(parts)
+    ends = summed.groupBy(*key, "_bucket").agg(
+        *[F.max(f"_n_{v}").alias(f"_c_{v}") for v in values],
+        *[F.min_by(v, F.when(F.col(v).isNotNull(), F.col(_POS))).alias(f"_f_{v}") for v in values],
+        *[F.max_by(f"_s_{name}", _POS).alias(f"_e_{name}") for name in specs],
+    )
+    # One row per bucket from here: a key has as many as its rows over ``size``.
+    along = Window.partitionBy(*key).orderBy("_bucket")
+    upto, before = along.rowsBetween(Window.unboundedPreceding, Window.currentRow), along.rowsBetween(Window.unboundedPreceding, -1)
+    chained = ends.withColumns({f"_t_{v}": F.sum(f"_c_{v}").over(upto) for v in values} | {
+        f"_seed_{v}": F.first(f"_f_{v}", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for v in values
+    })
+    carried = {}
+    for name, (value, alpha) in specs.items():
+        decay, total = F.lit(1.0 - alpha), F.col(f"_t_{value}")
+        group = f"_g_{name}"
+        chained = chained.withColumn(group, F.floor(total / _span(alpha)))
+        local = total - F.col(group) * _span(alpha)
+        same = Window.partitionBy(*key, group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        chained = chained.withColumn(f"_l_{name}", F.sum(F.col(f"_e_{name}") * F.pow(decay, -local)).over(same) * F.pow(decay, local))
+        # Of earlier groups only the last still weighs anything: the one before it ends more than a span of values back.
+        closes = F.coalesce(F.lead(group).over(along) > F.col(group), F.lit(False))
+        chained = chained.withColumns({f"_pl_{name}": F.when(closes, F.col(f"_l_{name}")), f"_pt_{name}": F.when(closes, total)})
+        older = F.last(f"_pl_{name}", ignorenulls=True).over(before) * F.pow(decay, total - F.last(f"_pt_{name}", ignorenulls=True).over(before))
+        end = F.col(f"_l_{name}") + F.coalesce(older, F.lit(0.0)) + F.pow(decay, total) * F.col(f"_seed_{value}")
+        carried[f"_y_{name}"] = F.when(F.coalesce(F.lag(f"_t_{value}").over(along), F.lit(0)) == 0, F.col(f"_seed_{value}")).otherwise(F.lag(end).over(along))
+    starts = chained.withColumns(carried).select(
+        *key, "_bucket", *carried, *[(F.col(f"_t_{v}") - F.col(f"_c_{v}")).alias(f"_b_{v}") for v in values]
+    )
+    out = {
+        name: F.when(
+            F.col(f"_n_{value}") + F.col(f"_b_{value}") > 0,
+            F.col(f"_s_{name}") + F.pow(F.lit(1.0 - alpha), F.col(f"_n_{value}")) * F.col(f"_y_{name}"),
+        ) for name, (value, alpha) in specs.items()
+    }
+    scratch = [f"_n_{v}" for v in values] + [f"_b_{v}" for v in values] + [*parts, *carried, "_bucket"]
+    return summed.join(starts, [*key, "_bucket"]).withColumns(out).drop(*scratch)
 
 
 def running_totals(

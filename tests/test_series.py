@@ -11,7 +11,7 @@ from candlewright.functions.text import fixed, round_exact
 from candlewright.operators import indicators as I
 from candlewright.operators.cooldown import apply_cooldown
 from candlewright.operators.quantiles import exact_quantiles
-from candlewright.operators.series import blocks, ema_halo, ema_plan, positions, running_totals
+from candlewright.operators.series import blocks, ema_columns, positions, running_totals
 
 START = datetime(2020, 1, 1)
 
@@ -97,11 +97,18 @@ def test_blocks_repeat_exactly_the_halo(spark):
         blocks(df, halo=30, size=20)
 
 
-def test_ema_plan_keeps_weights_finite():
-    halo, size = ema_plan([2 / 13, 2 / 27, 1 / 14])
-    assert halo == ema_halo(1 / 14) and (1 - 2 / 13) ** -(halo + size) < 1e300
-    with pytest.raises(ValueError):
-        ema_plan([0.9, 0.001])
+@pytest.mark.parametrize("alpha", [1 / 14, 2 / 201, 0.9, 1e-5])
+def test_averages_of_sparse_series(spark, alpha):
+    """Long runs of nulls at both ends and inside, over many buckets."""
+    rng = random.Random(3)
+    values = [rng.uniform(1, 900) if 700 < i < 1700 or i > 1700 and i % 200 == 0 else None for i in range(6000)]
+    df = spark.createDataFrame([("A", i, v) for i, v in enumerate(values)] + [("B", i, None) for i in range(3)], "symbol string, _pos long, x double")
+    got = {(r["symbol"], r["_pos"]): r["y"] for r in ema_columns(df, ["symbol"], {"y": ("x", alpha), "z": ("x", 0.5)}).collect()}
+    y = None
+    for i, v in enumerate(values):
+        y = v if y is None else y if v is None else (1 - alpha) * y + alpha * v
+        assert got["A", i] == (None if y is None else pytest.approx(y, rel=1e-9)), i
+    assert all(got["B", i] is None for i in range(3))
 
 
 def test_running_totals_and_numbers(spark):
