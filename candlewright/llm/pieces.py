@@ -23,10 +23,8 @@ from __future__ import annotations
 import random
 import re
 from functools import lru_cache
-from itertools import chain
 from math import exp
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -43,9 +41,17 @@ MARK = "▁"
 OWN_MARK, BETWEEN = "\ud800", "\ud801"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 REMEMBERED = 60_000
+FACTOR = 0x5851F42D4C957F2D  # odd, so that it has an inverse
 BYTES = 1 << 30  # arcs from here on stand for a character written as bytes
 
 
+def prefixes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and factors that give the hash of any part: (sums[b] - sums[a]) * factors[a], modulo 2**64."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    powers, inverse = (np.cumprod(np.r_[np.uint64(1), np.full(len(codes), b, np.uint64)]) for b in (FACTOR, pow(FACTOR, -1, 1 << 64)))
+    return np.r_[np.uint64(0), np.cumsum(mixed(codes) * powers[:-1])], inverse
+
+
 class Vocabulary:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -61,11 +67,14 @@ class Vocabulary:
         with np.errstate(divide="ignore"):
             self.log = np.log(weight / weight.sum())
         self.byte_log = float(self.log[self.byte_ids[0]])
-        self.automaton = ahocorasick.Automaton()
-        for i in plain:
-            self.automaton.add_word(self.pieces[i], i)
-        self.automaton.make_automaton()
         self.lengths = np.array([len(p) for p in self.pieces])
+        sums, back = prefixes("".join(self.pieces[i] for i in plain))
+        ends = np.cumsum(self.lengths[plain])
+        hashes = (sums[ends] - sums[ends - self.lengths[plain]]) * back[ends - self.lengths[plain]]
+        order = np.argsort(hashes)
+        self.hashes, self.hashed = hashes[order], np.array(plain)[order]
+        self.known = np.zeros(1 << 20, bool)  # a first look before the search
+        self.known[hashes >> np.uint64(44)] = True
         self.met: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # lattices of words, see _remember
         # A byte below 128 is a character of its own; the others come in runs.
         self.written = [chr(self.bytes_of[i]) if i in self.bytes_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
@@ -183,8 +192,18 @@ class Lattice:
 def _arcs(words: list[str], v: Vocabulary, first: np.ndarray, lengths: np.ndarray):
     """Arcs of new words: start, end, piece, log probability given the start; and the characters that become bytes."""
     joined = "".join(w + BETWEEN for w in words)
-    found = np.fromiter(chain.from_iterable(v.automaton.iter(joined)), np.int64).reshape(-1, 2)
-    end, piece = found[:, 0] + 1, found[:, 1]
+    sums, back = prefixes(joined)
+    stop = np.repeat(first + lengths, lengths + 1)
+    at, ends, found = np.arange(len(joined)), [], []
+    for n in range(1, int(min(lengths.max(initial=0), v.lengths.max())) + 1):
+        at = at[stop[at] - at >= n]
+        hashed = (sums[at + n] - sums[at]) * back[at]
+        some = np.flatnonzero(v.known[hashed >> np.uint64(44)])
+        place = np.minimum(np.searchsorted(v.hashes, hashed[some]), len(v.hashes) - 1)
+        hit = (v.hashes[place] == hashed[some]) & (v.lengths[v.hashed[place]] == n)
+        ends.append(at[some[hit]] + n)
+        found.append(v.hashed[place[hit]])
+    end, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ends, found))
     unknown = [(p, c) for c in set(joined) - v.single - {BETWEEN} for p in _places(joined, c)]
     characters = sorted({c for _, c in unknown})
     code = {c: BYTES + k for k, c in enumerate(characters)}
@@ -194,7 +213,7 @@ def _arcs(words: list[str], v: Vocabulary, first: np.ndarray, lengths: np.ndarra
     log = np.r_[v.log[piece], np.array([v.byte_log * len(runs[code[c] - BYTES]) for _, c in unknown], np.float64)]
     end, piece = np.r_[end, at + 1], np.r_[piece, np.array([code[c] for _, c in unknown], np.int64)]
     # Log mass of all ways from a node to the end of its word, nearest nodes first.
-    far = np.repeat(first + lengths, lengths + 1)[start] - start
+    far = stop[start] - start
     order = np.lexsort((start, far))
     mass = np.full(len(joined) + 1, -np.inf)
     mass[first + lengths] = 0.0
