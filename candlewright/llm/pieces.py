@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from candlewright.llm.base import mixed
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 21
 MARK = "▁"
 #: Stand-ins that no valid text holds: for a mark in the text itself, and between words.
 OWN_MARK, BETWEEN = "\ud800", "\ud801"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-REMEMBERED = 60_000
+REMEMBERED = 120_000
 FACTOR = 0x5851F42D4C957F2D  # odd, so that it has an inverse
 BYTES = 1 << 30  # arcs from here on stand for a character written as bytes
 
@@ -125,18 +125,20 @@ class Lattice:
 
     def __init__(self, words: list[str], v: Vocabulary):
         self.v = v
-        old = [w for w in words if w in v.met]
-        new = [w for w in words if w not in v.met]
-        place = {w: i for i, w in enumerate(old + new)}
-        self.word = np.fromiter((place[w] for w in words), np.int64, len(words))
-        lengths = np.fromiter(map(len, old + new), np.int64, len(words))
+        packed = list(map(v.met.get, words))
+        new = [w for w, x in zip(words, packed) if x is None]
+        packed = [x for x in packed if x is not None]
+        old = len(packed)
+        fresh = np.fromiter(map(v.met.__contains__, words), bool, len(words)) == 0
+        self.word = np.where(fresh, old + np.cumsum(fresh) - 1, np.cumsum(~fresh) - 1)  # words met before come first
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        lengths = np.r_[lengths[~fresh], lengths[fresh]]
         self.first = np.cumsum(lengths + 1) - lengths - 1  # first node per word
-        shift = int(lengths[:len(old)].sum()) + len(old)
-        start, end, piece, log, self.characters, self.byte_runs = _arcs(new, v, self.first[len(old):] - shift, lengths[len(old):])
-        packed = [v.met[w] for w in old]
+        shift = int(lengths[:old].sum()) + old
+        start, end, piece, log, self.characters, self.byte_runs = _arcs(new, v, self.first[old:] - shift, lengths[old:])
         sizes = np.fromiter((len(x[1]) for x in packed), np.int64, len(packed))
         known = np.concatenate([x[0] for x in packed]) if packed else np.zeros(0, np.int64)
-        base = np.repeat(self.first[:len(old)], sizes)
+        base = np.repeat(self.first[:old], sizes)
         self.start = np.r_[(known >> 32 & 0xFFFF) + base, start + shift]
         self.end = np.r_[(known >> 48) + base, end + shift]
         self.piece = np.r_[known & 0x7FFFFFFF, piece]
@@ -150,7 +152,7 @@ class Lattice:
         self.stop = np.zeros(nodes + 1, bool)
         self.stop[self.first + lengths] = True
         self.counts = np.where(self.piece >= BYTES, np.array([len(r) for r in self.byte_runs] + [1])[np.minimum(np.maximum(self.piece - BYTES, 0), len(self.byte_runs))], 1)
-        _remember(new, v, start, end, piece, log, self.first[len(old):] - shift)
+        _remember(new, v, start, end, piece, log, self.first[old:] - shift)
 
     def sample(self, word: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A free sample per occurrence of a word: all arcs one after another, and how many each occurrence has."""
@@ -224,6 +226,8 @@ def _arcs(words: list[str], v: Vocabulary, first: np.ndarray, lengths: np.ndarra
             heads = np.flatnonzero(np.r_[True, s[a + 1:b] != s[a:b - 1]])
             mass[s[a:b][heads]] = np.logaddexp.reduceat(g[a:b] + mass[e[a:b]], heads)
     log = np.minimum(log + mass[end] - mass[start], 0.0)
+    # A node with one way on: its log probability is zero, whatever the sums above were rounded to.
+    log[np.bincount(start, minlength=len(joined) + 1)[start] == 1] = 0.0
     order = np.lexsort((-log, start))
     return start[order], end[order], piece[order], log[order], characters, runs
 
@@ -252,15 +256,15 @@ def log_rest(log: np.ndarray) -> np.ndarray:
 
 
 #: The greatest Gumbel value of a 52-bit uniform number; decisions looked at together.
-HIGHEST, STEP = 37.0, 400
+HIGHEST, STEP = 37.0, 200
 
 
 class _Sample:
     """A drawn segmentation of one text: its arcs and value, and the sets that remain beside it."""
 
     def __init__(self, lattice: Lattice, arcs: np.ndarray, sizes: np.ndarray, value: float, branch: int, barred: tuple[int, ...], salt: int, needed: int):
-        self.arcs, self.sizes, self.value, self.branch, self.barred = arcs, sizes, value, branch, barred
-        log = lattice.log[arcs]
+        self.arcs, self.sizes, self.branch, self.barred = arcs, sizes, branch, barred
+        log = lattice.log.take(arcs)
         self.log = float(log.sum())
         # Sets that begin ever later have ever less mass. Those whose mass can't reach the best value so far with the
         # highest random number, whatever they hold, are never opened nor second: the search stops there.
@@ -268,13 +272,10 @@ class _Sample:
         for a in range(branch, len(arcs), STEP):
             some = log[a:a + STEP]
             rest = log_rest(some)
-            leaves = lattice.start[arcs[a:a + STEP]]
-            options = lattice.arcs[leaves + 1] - lattice.arcs[leaves]
-            rest[options == 1] = -np.inf
             if a == branch and barred:
-                shut = [*barred, int(arcs[branch])]
+                shut, leaves = [*barred, int(arcs[branch])], int(lattice.start[arcs[branch]])
                 left = 1.0 - float(np.exp(lattice.log[shut]).sum())
-                rest[0] = np.log(left) if len(shut) < options[0] and left > 0 else -np.inf
+                rest[0] = np.log(left) if len(shut) < lattice.arcs[leaves + 1] - lattice.arcs[leaves] and left > 0 else -np.inf
             noise = uniform(np.arange(salt + a, salt + a + len(some), dtype=np.uint64))
             loose = np.cumsum(some) - some + before + rest - np.log(-np.log(noise))
             parts.append(loose)
@@ -283,8 +284,7 @@ class _Sample:
             if len(best) == needed and before + HIGHEST < best[0]:
                 break
         loose = np.concatenate(parts) if parts else np.zeros(0)
-        with np.errstate(invalid="ignore"):
-            self.sets = np.where(np.isneginf(loose), -np.inf, -np.logaddexp(-value, -loose))
+        self.sets = -np.logaddexp(-value, -loose)  # minus infinity stays so
         self.best()
 
     def best(self) -> None:
