@@ -163,13 +163,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, the one with the smallest row hash: a hash aggregate for fixed-width columns."""
+def one_per_key(df: DataFrame, keys: Sequence[str], newest: str | None = None) -> DataFrame:
+    """One row per key, combined before the shuffle: the last by ``newest`` where there is such a column, then by the other columns."""
     rest = [c for c in df.columns if c not in keys]
-    # Null flags join the hash because a null by itself leaves it unchanged.
-    row = F.xxhash64(*rest, *[F.col(c).isNull() for c in rest])
-    picked = df.withColumn("_row", row).groupBy(*keys).agg(*[F.min_by(c, "_row").alias(c) for c in rest])
-    return picked.select(*df.columns)
+    if not rest:
+        return df.distinct()
+    order = [newest, *[c for c in rest if c != newest]] if newest in rest else rest
+    # max() of a struct compares field by field, nulls first.
+    best = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def normalise_summary(df: DataFrame) -> DataFrame:

@@ -43,14 +43,14 @@ def _quantiles(df: DataFrame, by: Sequence[str], names: dict[str, float], approx
 
 
 def latency_summary(candles: DataFrame, approximate: bool = False) -> DataFrame:
-    """Count, mean, p50, p95, p99, min and max of the latency over all rows."""
-    rows = with_latency(candles).select(F.lit(1).alias("_all"), "latency_ms")
-    basic = rows.groupBy("_all").agg(
+    """Count, mean, p50, p95, p99, min and max of the latency over all rows; one row also where there are none."""
+    rows = with_latency(candles).select("latency_ms")
+    basic = rows.agg(
         F.count(F.lit(1)).alias("total"), F.round(F.avg("latency_ms"), 1).alias("avg_ms"),
         F.min("latency_ms").cast("double").alias("min_ms"), F.max("latency_ms").cast("double").alias("max_ms"),
-    )
-    marks = _quantiles(rows, ["_all"], {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, approximate)
-    return basic.join(marks, "_all").select(
+    ).withColumn("_all", F.lit(1))
+    marks = _quantiles(rows, [], {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}, approximate).withColumn("_all", F.lit(1))
+    return basic.join(marks, "_all", "left").select(
         "total", "avg_ms", *[F.round(c, 1).alias(c) for c in ("p50_ms", "p95_ms", "p99_ms")], "min_ms", "max_ms"
     )
 
@@ -62,7 +62,7 @@ def latency_series(candles: DataFrame, approximate: bool = False, digits: int =
         F.count(F.lit(1)).alias("msg_count"), F.round(F.avg("latency_ms"), digits).alias("avg_ms")
     )
     marks = _quantiles(rows, ["minute"], {"p95_ms": 0.95}, approximate)
-    return basic.join(marks, "minute").select(
+    return basic.join(marks, "minute", "left").select(
         "minute", "msg_count", "avg_ms", F.round("p95_ms", digits).alias("p95_ms")
     )
 

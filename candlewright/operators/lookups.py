@@ -50,7 +50,8 @@ def unique_lookup(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
 def join_summary(bars: DataFrame, summary: DataFrame) -> DataFrame:
     """Bars with the fundamentals of the same symbol and day where there are any."""
     present = [m for m in SUMMARY_METRICS if m in summary.columns]
-    slim = one_per_key(summary.select("symbol", "trade_date", *present), ["symbol", "trade_date"])
+    stamp = ["ingested_at"] if "ingested_at" in summary.columns else []
+    slim = one_per_key(summary.select("symbol", "trade_date", *present, *stamp), ["symbol", "trade_date"], "ingested_at").drop(*stamp)
     joined = bars.join(slim, ["symbol", "trade_date"], "left")
     for metric in SUMMARY_METRICS:
         if metric not in present:

@@ -7,16 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PER_OCTAVE = 4096
-GROUP_ROWS = 1_000_000
+from candlewright.session import pinned
 
-
-def _bucket(x: Column) -> Column:
-    """Order-preserving coarse bucket of a double: its exponent and leading mantissa bits."""
-    size = F.abs(x)
-    exponent = F.floor(F.log2(size))
-    place = (exponent + 1100) * _PER_OCTAVE + F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * _PER_OCTAVE)
-    return F.when(x == 0, F.lit(0).cast("bigint")).when(x > 0, place).otherwise(-place)
+METHODS = ("linear", "nearest", "lower", "higher", "midpoint")
 
 
 def exact_quantiles(
@@ -26,39 +19,38 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     method: str = "linear",
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Quantiles of ``value`` per group, equal to sorting the group and reading off the ranks.
 
-    Groups up to ``group_rows`` rows are evaluated whole. Larger ones never meet in one task:
-    their values are counted per distinct value, the counts form a coarse histogram, and only the
-    histogram buckets that hold a wanted rank are ordered. Nulls are left out. ``method`` is linear,
-    nearest, lower, higher or midpoint.
+    The distinct values of all groups, with their counts, are range-partitioned by group and value, so a large
+    group spreads over many tasks wherever its values lie. Ranks are running counts inside a partition plus the counts of
+    the partitions before, one small row per partition and group. Nulls and NaN are left out; infinities are values.
+    Without ``by`` there is always one row.
     """
+    if method not in METHODS:
+        raise ValueError(f"unknown quantile method {method!r}; known are {', '.join(METHODS)}")
     by = list(by)
     x = F.col(value).cast("double")
-    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    if not by:
-        return _pick(_rank_by_histogram(rows, by, probs, method), by, probs, names, method)
-    # Not more groups than rows / group_rows can be large, so their keys are few.
-    large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows)
-    keys = F.broadcast(large.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(by)]))
-    match = _same(by, {k: f"_t{i}" for i, k in enumerate(by)})
-    small = rows.join(keys, match, "left_anti")
-    if method == "linear":
-        small = small.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("_q"))
-        small = small.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    else:
-        small = _pick(_rank_in_window(small, by), by, probs, names, method)
-    big = _rank_by_histogram(rows.join(keys, match, "left_semi"), by, probs, method)
-    return small.unionByName(_pick(big, by, probs, names, method))
-
-
-def _same(by: Sequence[str], renamed: dict[str, str]) -> Column:
-    condition = F.lit(True)
-    for k in by:
-        condition = condition & F.col(k).eqNullSafe(F.col(renamed[k]))
-    return condition
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(by)], x.alias("_x"))
+    keys = [f"_g{i}" for i in range(len(by))]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    # Pinned, because both branches below must see the same partitions.
+    ranged = pinned(counted.repartitionByRange(parts, *keys, "_x").withColumn("_part", F.spark_partition_id()))
+    spans = ranged.groupBy(*keys, "_part").agg(F.sum("_c").alias("_n"))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = spans.withColumns({"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_total": F.sum("_n").over(whole)})
+    renamed = {k: f"_r{k}" for k in [*keys, "_part"]}
+    same = F.lit(True)
+    for k, other in renamed.items():
+        same = same & F.col(k).eqNullSafe(F.col(other))
+    upto = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (
+        ranged.join(placed.drop("_n").withColumnsRenamed(renamed), same).drop(*renamed.values())
+        .withColumn("_end", F.col("_before") + F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c"))
+    )
+    return _pick(ranked, keys, probs, names, method).select(*[F.col(k).alias(n) for k, n in zip(keys, by)], *names)
 
 
 def _ranks(p: float, method: str) -> tuple[Column, Column, Column]:
@@ -75,42 +67,7 @@ def _ranks(p: float, method: str) -> tuple[Column, Column, Column]:
     return low, high, F.when(low == high, F.lit(0.0)).otherwise(share)
 
 
-def _rank_in_window(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    whole = Window.partitionBy(*by)
-    return rows.withColumns({
-        "_start": F.row_number().over(whole.orderBy("_x")).cast("bigint") - 1,
-        "_total": F.count(F.lit(1)).over(whole),
-    }).withColumn("_end", F.col("_start") + 1)
-
-
-def _rank_by_histogram(rows: DataFrame, by: Sequence[str], probs: Sequence[float], method: str) -> DataFrame:
-    counted = rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", _bucket(F.col("_x")))
-    # At most one row per bucket and group: bounded by the exponent range, not by the data.
-    histogram = counted.groupBy(*by, "_b").agg(F.sum("_c").alias("_c"))
-    whole = Window.partitionBy(*by)
-    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    placed = histogram.withColumns({
-        "_before": F.coalesce(F.sum("_c").over(before), F.lit(0)),
-        "_total": F.sum("_c").over(whole),
-    })
-    wanted = F.lit(False)
-    for p in probs:
-        for rank in _ranks(p, method)[:2]:
-            wanted = wanted | ((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")))
-    keys = [*by, "_b"]
-    renamed = {k: f"_u{i}" for i, k in enumerate(keys)}
-    targets = placed.where(wanted).drop("_c").withColumnsRenamed(renamed)
-    upto = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        counted.join(targets, _same(keys, renamed)).drop(*renamed.values())
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(upto))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-    )
-
-
-def _pick(
-    ranked: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str], method: str
-) -> DataFrame:
+def _pick(ranked: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str], method: str) -> DataFrame:
     picks, blend = [], []
     for i, (p, name) in enumerate(zip(probs, names)):
         low, high, share = _ranks(p, method)
@@ -119,5 +76,6 @@ def _pick(
             picks.append(F.max(F.when(inside, F.col("_x"))).alias(f"_{tag}{i}"))
         picks.append(F.max(share).alias(f"_w{i}"))
         low_x, high_x = F.col(f"_l{i}"), F.col(f"_h{i}")
-        blend.append((low_x + (high_x - low_x) * F.col(f"_w{i}")).alias(name))
+        # Equal ends first: the difference of two infinities is no number.
+        blend.append(F.when(low_x == high_x, low_x).otherwise(low_x + (high_x - low_x) * F.col(f"_w{i}")).alias(name))
     return ranked.groupBy(*by).agg(*picks).select(*by, *blend)

@@ -24,13 +24,14 @@ from candlewright.schemas import (
 
 
 def clean_summary(raw: DataFrame) -> DataFrame:
-    """Fundamentals per (symbol, trade_date): typed, trimmed, one row per key."""
+    """Fundamentals per (symbol, trade_date): typed, trimmed, one row per key, the one ingested last."""
     require_columns(raw, ["symbol", "date"], "summary table")
     typed = with_date(raw, "date", "trade_date").select(
-        clean_symbol("symbol").alias("symbol"), "trade_date", *metric_columns(raw, SUMMARY_METRICS)
+        clean_symbol("symbol").alias("symbol"), "trade_date", *metric_columns(raw, SUMMARY_METRICS),
+        *([F.col("ingested_at").cast("string").alias("ingested_at")] if "ingested_at" in raw.columns else []),
     )
     named = typed.where(F.col("symbol").isNotNull() & F.col("trade_date").isNotNull())
-    return one_per_key(named, ["symbol", "trade_date"])
+    return one_per_key(named, ["symbol", "trade_date"], "ingested_at").drop("ingested_at")
 
 
 def equity_indicators(bars: DataFrame, summary: DataFrame | None = None) -> DataFrame:

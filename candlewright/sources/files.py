@@ -31,6 +31,8 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
         if not fs.rename(target, aside):
             raise OSError(f"cannot move {path} aside")
     if not fs.rename(new, target):
+        if fs.exists(aside):
+            fs.rename(aside, target)  # the older table stays
         raise OSError(f"cannot move {staged} to {path}")
     fs.delete(aside, True)
 

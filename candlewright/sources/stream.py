@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from candlewright.schemas import CANDLE_MESSAGE, TRADE_MESSAGE
 
+BROKEN = "_broken"
+
 
 def message_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """JSON lines dropped into a folder, as a stream of ``value``."""
@@ -26,8 +28,10 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str
 
 
 def parse_messages(lines: DataFrame, schema: StructType, needed: list[str]) -> DataFrame:
-    """Typed rows of JSON messages; a message that is broken or lacks a needed field is skipped."""
-    parsed = lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("_m")).select("_m.*")
+    """Typed rows of JSON messages; a message that is broken, holds a value of another type or lacks a needed field is skipped."""
+    checked = StructType([*schema.fields, StructField(BROKEN, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    parsed = lines.select(F.from_json("value", checked, options).alias("_m")).select("_m.*").where(F.col(BROKEN).isNull()).drop(BROKEN)
     for column in needed:
         parsed = parsed.where(F.col(column).isNotNull())
     return parsed

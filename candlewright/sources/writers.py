@@ -51,16 +51,21 @@ def common_columns(new: DataFrame, old: DataFrame) -> list[str]:
     return [c for c in new.columns if c in old.columns]
 
 
-def merge_rows(new: DataFrame, old: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """New and old rows over their common columns, one per key, new before old.
+def merge_rows(new: DataFrame, old: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), union: bool = False, transform=None) -> DataFrame:
+    """New and old rows over their common columns, or all columns with ``union``, one per key, new before old.
+
+    ``transform`` changes the rows before keys are compared, so keys that it makes equal meet.
 
     ``order`` ranks rows of the same side. Each key is limited to one row per map task before the
     shuffle, so repeated copies of a key do not meet in one task.
     """
-    columns = common_columns(new, old)
-    both = new.select(*columns).withColumn("_side", F.lit(0)).unionByName(
-        old.select(*columns).withColumn("_side", F.lit(1))
-    )
+    if not union:
+        shared = common_columns(new, old)
+        new, old = new.select(*shared), old.select(*shared)
+    both = new.withColumn("_side", F.lit(0)).unionByName(old.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    if transform is not None:
+        both = transform(both)
+    columns = [c for c in both.columns if c != "_side"]
     rest = [F.col(c).asc_nulls_last() for c in columns if c not in keys]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_side", *order, *rest))
     return both.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_side")
@@ -87,33 +92,49 @@ def append_merge(
 ) -> None:
     """Merge new rows into a table, the new row winning per key.
 
-    With partitions only the affected ones are read and overwritten. With ``guard`` nothing is
-    written if an existing key would vanish. An empty frame changes nothing.
+    The new rows are written aside once and read from there. With partitions only the affected ones are read, by their
+    values, and overwritten. Columns: those in common; with ``guard`` all of either side. Where a partitioned table
+    loses or gains a column, all of its partitions are rewritten, so that they keep one schema. With ``guard`` nothing is
+    written if an existing key would vanish. ``transform`` keeps the columns that it is given. An empty frame changes nothing.
     """
     spark = new.sparkSession
-    if new.isEmpty():
-        return
     parts = list(partition_by)
     sort = [*parts, *[k for k in keys if k not in parts]]
-    if not exists(spark, path):
-        fresh = merge_rows(new, new.limit(0), keys, order)
-        _write(fresh if transform is None else transform(fresh), path, parts, sort)
-        return
-    old = spark.read.option("mergeSchema", True).parquet(path)
-    if parts:
-        # Partition values are read in the type of the new rows, so that "01" does not become 1.
-        types = [new.schema[f.name] if f.name in parts and f.name in new.columns else f for f in old.schema.fields]
-        old = spark.read.schema(StructType(types)).parquet(path)
-        touched = new.select(*parts).distinct()
-        old = old.join(touched, parts, "left_semi")
-    merged = merge_rows(new, old, keys, order)
-    if transform is not None:
-        merged = transform(merged)
-    if guard:
-        lost = lost_keys(old, merged, keys)
-        if not lost.isEmpty():
-            raise KeyLossError(f"merge into {path} would lose keys, e.g. {lost.first()}")
-    _write(merged, path, parts, sort)
+    staged = f"{path.rstrip('/')}__{uuid4().hex}"
+    new.write.parquet(staged)
+    try:
+        new = spark.read.schema(new.schema).parquet(staged)
+        if new.isEmpty():
+            return
+        if not exists(spark, path):
+            _write(merge_rows(new, new.limit(0), keys, order, transform=transform), path, parts, sort)
+            return
+        # All partitions have one schema, see above: no need to open every file for it.
+        old = spark.read.option("mergeSchema", not parts).parquet(path)
+        if parts:
+            # Partition values are read in the type of the new rows, so that "01" does not become 1.
+            types = [new.schema[f.name] if f.name in parts and f.name in new.columns else f for f in old.schema.fields]
+            old = spark.read.schema(StructType(types)).parquet(path)
+            alike = set(new.columns) == set(old.columns) or guard and set(new.columns) <= set(old.columns)
+            if alike:
+                # One row per partition of the new rows; as literals they prune the listing of the old ones.
+                touched = new.select(*parts).distinct().collect()
+                for p in parts:
+                    old = old.where(F.col(p).isin([r[p] for r in touched if r[p] is not None]) | (F.col(p).isNull() if any(r[p] is None for r in touched) else F.lit(False)))
+                old = old.join(new.select(*parts).distinct(), parts, "left_semi") if len(parts) > 1 else old
+        merged = merge_rows(new, old, keys, order, union=guard, transform=transform)
+        if guard:
+            lost = lost_keys(old, merged, keys)
+            if not lost.isEmpty():
+                raise KeyLossError(f"merge into {path} would lose keys, e.g. {lost.first()}")
+        if parts and not alike:
+            whole = f"{path.rstrip('/')}__{uuid4().hex}"
+            _write(merged, whole, parts, sort)
+            swap_in(spark, whole, path)
+        else:
+            _write(merged, path, parts, sort)
+    finally:
+        delete(spark, staged)
 
 
 def _write(df: DataFrame, path: str, parts: list[str], sort: list[str]) -> None:

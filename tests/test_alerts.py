@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewright.functions import alert_rules as R
-from candlewright.operators.replay import replay_alerts
+from candlewright.operators.cooldown import apply_cooldown
+from candlewright.operators.replay import enrich_candles, replay_alerts
 from candlewright.sources import stream as ST
 from candlewright.streaming import detector
 
@@ -56,7 +57,7 @@ def test_stream_and_column_rules_agree(spark):
         for rsi in (None, 10.0, 50.0, 90.0):
             for ratio in (None, 1.0, 4.0):
                 got = alerts(spark, R.combined_rule, close=price, rsi_14=rsi, volume_ratio=ratio)
-                assert detector.alert_type(price, 10.0, 1.0, rsi, ratio, cfg) == (got[0]["alert_type"] if got else None)
+                assert detector.combined_kind(detector.band_side(price, 10.0, 1.0, cfg), rsi, ratio, cfg) == (got[0]["alert_type"] if got else None)
 
 
 def test_revision_replaces_its_contribution():
@@ -66,9 +67,72 @@ def test_revision_replaces_its_contribution():
     assert s.band("2024-01-02")[0] == pytest.approx(25.0)
     assert detector._Session(s.saved()).band("2024-01-02") == s.band("2024-01-02")
     s.add_to_session(9, "2024-01-03", 7.0, 1.0)
+    s.add_to_session(2, "2024-01-02", 30.0, 5.0)  # a late revision of yesterday
+    assert s.band("2024-01-02")[0] == pytest.approx(30.0) and s.band("2024-01-03")[0] == 7.0
+    s.add_to_session(20, "2024-01-04", 8.0, 1.0)
+    s.add_to_session(3, "2024-01-02", 1.0, 1.0)  # that session is over
     assert s.band("2024-01-02") == (None, None) and s.band("2024-01-03")[0] == 7.0
 
 
+class _State:
+    """What a keyed state offers, without a stream."""
+
+    def __init__(self):
+        self.value, self.hasTimedOut, self.timeout = None, False, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def setTimeoutTimestamp(self, ms):
+        self.timeout = ms
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+    def remove(self):
+        self.value = None
+
+
+def test_an_idle_symbol_loses_its_state():
+    import pandas as pd
+
+    step, state = detector._on_candles(R.AlertConfig(), ["COMBINED"], 2.0), _State()
+    row = {"symbol": "A", "candle_time": datetime(2024, 1, 2, 10), "t": 1, "r": 1, "day": "2024-01-02", "inside": True, "typical": 5.0, "close": 5.0, "volume": 1.0, "warm": False}
+    assert not list(step(("A",), iter([pd.DataFrame([row])]), state))
+    assert state.exists and state.timeout == 7_200_000 + 0
+    state.hasTimedOut = True
+    assert not list(step(("A",), iter([]), state)) and not state.exists
+
+
+def test_single_rules_reach_the_older_table_and_warm_up_is_silent(spark, tmp_path):
+    cfg = R.AlertConfig(sigma_k=1.0, rsi_period=5, volume_lookback=8, rsi_overbought=55.0, rsi_oversold=45.0, volume_spike=2.0, cooldown_seconds=7200)
+    rules = (R.vwap_rule, R.rsi_rule, R.volume_rule, R.combined_rule)
+    parsed = ST.candle_stream(messages(spark).select("value")).cache()
+    cut = datetime(2024, 1, 2, 11)
+    stored, landing, out = str(tmp_path / "stored"), str(tmp_path / "in"), str(tmp_path / "out")
+    parsed.where(F.col("candle_time") < F.lit(cut)).coalesce(1).write.parquet(stored)
+    messages(spark).where(F.col("candle_time") >= F.lit(cut)).select("value").coalesce(1).write.text(landing)
+    warm = spark.readStream.schema(parsed.schema).parquet(stored)
+    stream = ST.candle_stream(ST.message_lines(spark, landing))
+    detector.sink_alerts(detector.detect_alerts(stream, cfg, rules, warm), out, f"{out}/checkpoint").awaitTermination()
+    columns = ["alert_time", "symbol", "rule_name", "alert_type", "severity", "message"]
+    got = sorted(map(tuple, spark.read.parquet(f"{out}/alerts_v2").select(*columns).collect()))
+    found = R.evaluate_rules(enrich_candles(parsed, cfg), rules, cfg).where(F.col("alert_time") >= F.lit(cut))
+    want = sorted(map(tuple, apply_cooldown(found, cfg.cooldown_seconds).select(*columns).collect()))
+    assert got == want and len({g[2] for g in got}) == 4
+    older = spark.read.parquet(f"{out}/alerts").collect()
+    assert len(older) == sum(g[2] == "VWAP" for g in got) > 0
+
+
+@pytest.mark.parametrize("text", ['{"symbol":"B","time":1,"close":"abc"}', '{"symbol":"B","time":1,"close":5.0,"volume":7', '{"symbol":"B","time":"x","close":5.0}', "", "[]"])
+def test_broken_messages_are_skipped(spark, text):
+    lines = spark.createDataFrame([(text,), ('{"symbol":"A","time":1,"close":5.0}',)], "value string")
+    assert [r["symbol"] for r in ST.candle_stream(lines).collect()] == ["A"]
+
+
 def messages(spark, n=260):
     start = datetime(2024, 1, 2, 9, 0)
     rows = []

@@ -173,22 +173,43 @@ def test_cooldown_matches_a_fold_on_long_chains(spark, gap):
     assert got == fires([(r[2] - START).total_seconds() for r in rows], 300)
 
 
-@pytest.mark.parametrize("group_rows", [1, 1000])
 @pytest.mark.parametrize("method", ["linear", "nearest", "lower", "higher", "midpoint"])
-def test_exact_quantiles_both_ways(spark, method, group_rows):
+def test_exact_quantiles(spark, method):
     import numpy as np
 
     rng = random.Random(5)
     data = {g: [rng.choice([0.0, -1.5, 3.25]) if rng.random() < 0.4 else rng.gauss(0, 10.0 ** rng.randint(-3, 6)) for _ in range(n)]
             for g, n in (("a", 101), ("b", 40), (None, 1))}
     df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs] + [("a", None)], "g string, v double")
-    got = exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.95], ["p", "q", "r"], method, group_rows=group_rows).collect()
+    got = exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.95], ["p", "q", "r"], method).collect()
     assert len(got) == 3
     for r in got:
         want = np.quantile(data[r["g"]], [0.1, 0.5, 0.95], method=method)
         assert [r["p"], r["q"], r["r"]] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_of_extremes_and_of_nothing(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 1e308, 1.797e308, -inf, inf, inf)], "v double")
+    row = exact_quantiles(df, [], "v", [0.0, 0.5, 1.0], ["a", "b", "c"], "lower").first()
+    assert tuple(row) == (-inf, 3.0, inf)
+    assert tuple(exact_quantiles(df.where("v < 1e307 OR v > 1.7e308"), [], "v", [1.0], ["m"]).first()) == (inf,)
+    assert exact_quantiles(df.limit(0), [], "v", [0.5], ["m"]).collect() == [(None,)]
+    with pytest.raises(ValueError):
+        exact_quantiles(df, [], "v", [0.5], ["m"], True)
+    stamps = spark.range(20000).select((F.col("id") * 100000 + 1.7e15).alias("v"))
+    assert exact_quantiles(stamps, [], "v", [0.25], ["q"]).first()["q"] == 1.7e15 + 4999.75 * 100000
+
+
+@pytest.mark.parametrize("seconds", [7200, 0])
+def test_cooldowns_of_any_length(spark, seconds):
+    rng = random.Random(2)
+    times = sorted({rng.randint(0, 200000) for _ in range(300)})
+    df = spark.createDataFrame([("A", "x", START + timedelta(seconds=t)) for t in times], "symbol string, alert_type string, alert_time timestamp")
+    got = sorted((r["alert_time"] - START).total_seconds() for r in apply_cooldown(df, seconds).collect())
+    assert got == fires(times, seconds)
+
+
 def test_exact_rounding_follows_the_binary_value(spark):
     rng = random.Random(9)
     values = [43.125, 2.675, 2.075, 0.5, 1.5, 2.5, 99.995, 1e-9, 0.0, 31.9999999999, 12345.65] + [rng.uniform(0, 2000) for _ in range(300)]

@@ -159,6 +159,57 @@ def test_key_choice_is_never_loose():
         writers.dedup_keys(["symbol"], ["id"], ["symbol", "day"])
 
 
+def table_of(spark, columns, *rows):
+    return spark.createDataFrame(list(rows), columns)
+
+
+@pytest.mark.parametrize("parts", [[], ["y"]])
+def test_merged_columns_are_the_same_in_all_partitions(spark, tmp_path, parts):
+    """Columns in common without a guard, all of them with it, in touched and untouched partitions."""
+    old = table_of(spark, "k string, y string, v int, old_only int", ("A", "01", 1, 5), ("B", "02", 2, 6))
+    new = table_of(spark, "k string, y string, v int, new_only int", ("A", "01", 9, 7), ("C", "01", 3, 8))
+    for guard, columns in ((False, ["k", "v", "y"]), (True, ["k", "new_only", "old_only", "v", "y"])):
+        path = str(tmp_path / f"t{guard}")
+        writers.append_merge(old, path, ["k"], parts, guard=guard)
+        writers.append_merge(new, path, ["k"], parts, guard=guard)
+        got = spark.read.parquet(path)
+        assert sorted(got.columns) == columns
+        assert sorted((r["k"], r["v"]) for r in got.collect()) == [("A", 9), ("B", 2), ("C", 3)]
+        if guard:
+            assert {r["k"]: (r["old_only"], r["new_only"]) for r in got.collect()} == {"A": (None, 7), "B": (6, None), "C": (None, 8)}
+
+
+def test_keys_are_compared_after_the_transform(spark, tmp_path):
+    path, tidy = str(tmp_path / "t"), lambda df: df.withColumn("k", F.upper(F.trim("k")))
+    writers.append_merge(table_of(spark, "k string, v int", ("A", 1), ("b", 4)), path, ["k"], transform=tidy)
+    writers.append_merge(table_of(spark, "k string, v int", (" a", 2)), path, ["k"], transform=tidy)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("A", 2), ("B", 4)]
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.append_merge(table_of(spark, "k string, y string, v int", ("A", "01", 1), ("B", "02", 2)), path, ["k", "y"], ["y"])
+    broken = next((tmp_path / "t" / "y=02").glob("*.parquet"))
+    broken.write_bytes(b"unreadable")
+    writers.append_merge(table_of(spark, "k string, y string, v int", ("A", "01", 5)), path, ["k", "y"], ["y"])
+    assert broken.read_bytes() == b"unreadable"
+
+
+def test_newest_summary_row_wins(spark):
+    from candlewright.functions.cleanse import one_per_key
+
+    df = table_of(spark, "s string, ingested_at string, pe double", ("A", "2024-01-01", 9.0), ("A", "2024-01-03", 1.0), ("A", None, 99.0), ("B", None, None))
+    got = sorted(map(tuple, one_per_key(df, ["s"], "ingested_at").collect()))
+    assert got == [("A", "2024-01-03", 1.0), ("B", None, None)]
+
+
+def test_latency_of_nothing_is_one_row(spark):
+    from candlewright.operators.latency import latency_summary
+
+    none = spark.createDataFrame([], "symbol string, candle_time timestamp, received_at timestamp")
+    assert [(r["total"], r["p50_ms"]) for r in latency_summary(none).collect()] == [(0, None)]
+
+
 def test_guard_treats_null_keys_as_equal(spark):
     old = spark.createDataFrame([("A", None), ("B", 1)], "k string, n int")
     assert writers.lost_keys(old, old, ["k", "n"]).isEmpty()

@@ -74,7 +74,7 @@ def index_bars(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Fundamentals per instrument and day, missing on every fourth day of the month."""
+    """Fundamentals per instrument and day, missing on every fourth day of the month (1, 5, 9 and so on)."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
     day = F.to_date("l_shipdate")
     figures = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("symbol"), day.alias("trade_date")).agg(
@@ -84,7 +84,7 @@ def raw_summary(spark: SparkSession, d: str) -> DataFrame:
     )
     year = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(-252, -1)
     ranged = figures.withColumns({"high_52w": F.max("_high").over(year), "low_52w": F.min("_low").over(year)})
-    kept = ranged.where(F.dayofmonth("trade_date") % 4 != 0)
+    kept = ranged.where(F.dayofmonth("trade_date") % 4 != 1)
     return named(kept, spark, d).select(
         "symbol", F.date_format("trade_date", "yyyy-MM-dd").alias("date"), "high_52w", "low_52w", "eps",
         "market_cap", F.try_divide("_price", "eps").alias("pe"), (F.col("_price") / 2000).alias("pb"),

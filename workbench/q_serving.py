@@ -1,7 +1,5 @@
 """Served queries over the published star."""
 
-from dataclasses import replace
-
 from candlewright.operators import latency as T
 from candlewright.plans import serving as Q
 from candlewright.schemas import STOCK_SIGNAL_COLUMNS
@@ -106,13 +104,12 @@ for _side, _gainers, _order in (("gainers", True, "DESC"), ("losers", False, "AS
         return rounded(Q.top_movers(stage(spark, d).star, _gainers), 6, "price_change_pct")
 
     def _sectors(spark, d, _gainers=_gainers):
-        star = replace(stage(spark, d).star, sector=stage(spark, d).fact_sector.where("total_market_cap > 0"))
-        return rounded(rounded(Q.top_sectors(star, _gainers), 6, "price_change_pct"), 2, "total_market_cap", "total_trade_value")
+        return rounded(rounded(Q.top_sectors(stage(spark, d).star, _gainers), 6, "price_change_pct"), 2, "total_market_cap", "total_trade_value")
 
     query(f"qry_10_top_{_side}", f"""WITH {S.EQUITY} SELECT symbol, close, {r(6, 'price_change_pct')} FROM equity
 WHERE {LATEST} AND price_change_pct IS NOT NULL ORDER BY equity.price_change_pct {_order}, symbol LIMIT 10""")(_movers)
     query(f"qry_11_top_sector_{_side}", f"""WITH {S.SECTOR} SELECT n_name AS sector, {r(6, 'price_change_pct')}, {r(2, 'total_market_cap', 'total_trade_value')}
-FROM sector JOIN nation ON n_nationkey = sector_key WHERE date_key = (SELECT max(date_key) FROM sector WHERE total_market_cap > 0) AND price_change_pct IS NOT NULL
+FROM sector JOIN nation ON n_nationkey = sector_key WHERE date_key = (SELECT max(date_key) FROM sector) AND price_change_pct IS NOT NULL
 ORDER BY sector.price_change_pct {_order}, n_name LIMIT 5""")(_sectors)
 
 

@@ -59,7 +59,7 @@ ranged AS (
 summary AS MATERIALIZED (
   SELECT symbol, trade_date, high_52w, low_52w, CAST(NULL AS DOUBLE) AS beta, eps, CAST(NULL AS DOUBLE) AS bvps,
          market_cap, CASE WHEN eps <> 0 THEN p / eps END AS pe, p / 2000 AS pb, roe, dividend_yield
-  FROM ranged WHERE day(trade_date) % 4 <> 0
+  FROM ranged WHERE day(trade_date) % 4 <> 1
 )"""
 EQUITY = BARS + INDICATORS + SUMMARY + """,
 equity AS MATERIALIZED (
