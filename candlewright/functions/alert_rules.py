@@ -86,6 +86,7 @@ def vwap_rule(cfg: AlertConfig) -> Rule:
     price, vwap, sigma = F.col("close"), F.col("vwap"), F.col("sigma")
     moved = deviation_pct(price, vwap)
     symbol = F.col("symbol")
+    # Message texts, here and in the rules below.
     if cfg.band_mode == "pct":
         threshold = F.lit(cfg.threshold_pct)
         message = F.when(up, F.concat(symbol, F.lit(" breakout ↑ VWAP +"), fixed(moved, 1), F.lit("%"))).otherwise(
