@@ -1,9 +1,11 @@
 """Copies of benchmark items in documents, exact, edited or paraphrased (operator 4).
 
-1. The n-grams of the items are counted over all documents; each item keeps the rarer half of its own that occur as
-   seeds. Rarity is a rank within the item, so an item that leaked a thousand times still has seeds.
-2. A document that holds a seed of an item is aligned with it around the seed by Smith-Waterman on words (match 2,
-   mismatch -1, gap -1). The score over that of a perfect copy is the similarity; from ``THRESHOLD`` on it is a leak.
+1. The seeds of an item are its pairs of words at most two apart. Where two of them stand at most two apart in a document
+   as well, they are a hit. An alignment of M words whose errors cost E scores 2 M - E; each of its M - 1 steps that is
+   no hit costs 2 or more, so a score of R takes at least R / 2 - 1 hits, all within 3 n - R words for an item of n.
+2. Every stretch with that many hits is aligned with the item by Smith-Waterman on words (match 2, mismatch -1, gap -1).
+   The score over that of a perfect copy is the similarity; from ``THRESHOLD`` on it is a leak. The hits only spare
+   alignments that can't reach the threshold: what is found is what aligning all documents with all items would find.
 
 Items are taken in blocks of at most about ``BLOCK_CHARS`` characters, so what is sent to the tasks is bounded; every
 block meets all documents, and texts are never shuffled. Memory per task: one document, one block, and one row of
@@ -17,7 +19,8 @@ an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
+from itertools import repeat
 from math import ceil
 
 import numpy as np
@@ -27,10 +30,12 @@ from pyspark.sql import functions as F
 
 from candlewright.llm.base import saved
 
-GRAM, MIN_WORDS, MIN_SEEDS = 3, 5, 12
+MIN_WORDS = 5
 MATCH, MISS, GAP = 2, -1, 1
 THRESHOLD = 0.5
 BLOCK_CHARS = 8 << 20
+NEAR = (1, 2)  # how far apart the words of a seed stand
+HITS = 1 << 20  # looked at together
 WORD = re.compile(r"\w+")
 
 
@@ -38,10 +43,6 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def grams(words: list[str]):
-    return zip(*(words[k:] for k in range(GRAM)))
-
-
 def _row(item: int, window: np.ndarray, above: np.ndarray, slope: np.ndarray) -> np.ndarray:
     here = np.maximum(above[:-1] + np.where(window == item, MATCH, MISS), above[1:] - GAP)
     here = np.maximum.accumulate(np.maximum(here, 0) + slope) - slope
@@ -66,45 +67,70 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     return score, j - back, j
 
 
-def _seed_counts(batches, seeds):
-    known, counts = seeds.value, Counter()
-    for batch in batches:
-        for text in batch.column(0):
-            counts.update(known.intersection(grams(words_of(text.as_py()))))
-    keys = list(counts)
-    yield pa.RecordBatch.from_arrays([pa.array([" ".join(k) for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())], ["gram", "n"])
-
-
 class Block:
     """Items with their seeds, sent to every task."""
 
-    def __init__(self, items: list[tuple[int | None, list[str]]], counts: dict[tuple, int]):
+    def __init__(self, items: list[tuple[int | None, list[str]]], threshold: float):
         self.vocabulary: dict[str, int] = {}
         self.ids = [i for i, _ in items]
         self.words = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]) for _, ws in items]
-        self.seeds: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, ws) in enumerate(items):
-            places = [(counts.get(g, 0), g, at) for at, g in enumerate(grams(ws))]
-            rare = sorted({(c, g) for c, g, _ in places if c})
-            rare = {g for _, g in rare[:max(MIN_SEEDS, ceil(len(rare) / 2))]}
-            for _, g, at in places:
-                if g in rare:
-                    self.seeds[g].append((k, at))
-        self.seeds = dict(self.seeds)
-        self.grams = frozenset(self.seeds)
-
-    def windows(self, words: list[str]) -> dict[int, list[list[int]]]:
-        """Per item with a seed in the document: the stretches in which a copy around the seeds would lie."""
+        sizes = np.array([len(ws) for ws in self.words], np.int64)
+        score = MATCH * threshold * sizes - 1e-6
+        self.hits = np.maximum(1, np.ceil(score / MATCH - 1)).astype(np.int64)  # hits that a leak has at least, per item
+        self.span = np.ceil(3 * sizes - score).astype(np.int64)  # words of a document that a leak covers at most
+        pairs = [np.stack([self.key(ws[:-d], ws[d:]), np.full(len(ws) - d, k)]) for k, ws in enumerate(self.words) for d in NEAR if len(ws) > d]
+        seeds = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1), axis=1)
+        self.keys, self.first, self.times = np.unique(seeds[0], return_index=True, return_counts=True)
+        self.owners = seeds[1]
+
+    def key(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return a.astype(np.int64) << 32 | b
+
+    def coded(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
+
+    def windows(self, coded: np.ndarray, begin: int = 0) -> dict[int, list[list[int]]]:
+        """Per item that may have a copy in the document: the stretches in which it would lie."""
         found: dict[int, list[list[int]]] = defaultdict(list)
-        for p, g in enumerate(grams(words)):
-            for k, at in self.seeds.get(g, ()):
-                size = len(self.words[k])
-                a, b = max(0, p - at - size // 2 - 4), min(len(words), p - at + size + size // 2 + 4)
-                spans = found[k]
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = max(b, spans[-1][1])
-                else:
-                    spans.append([a, b])
+        known = np.flatnonzero(coded >= 0)
+        if not len(self.keys) or len(known) < 2:
+            return found
+        at, which = [], []
+        for step in NEAR:  # among known words a partner is at most ``step`` further
+            a, b = known[:-step], known[step:]
+            for far in NEAR[step - 1:]:
+                here = a[b - a == far]
+                key = self.key(coded[here], coded[here + far])
+                seed = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[seed] == key
+                at.append(here[hit])
+                which.append(seed[hit])
+        place, seed = np.concatenate(at), np.concatenate(which)
+        if not len(place):
+            return found
+        times = self.times[seed]
+        total, reach = int(times.sum()), int(self.span.max())
+        if total > HITS and len(coded) > 4 * reach:  # halves that share what one copy can cover
+            half = len(coded) // 2
+            for part, start in ((coded[:half + reach], begin), (coded[half:], begin + half)):
+                for k, spans in self.windows(part, start).items():
+                    found[k] += spans
+            return found
+        owner = self.owners[np.repeat(self.first[seed] - (np.cumsum(times) - times), times) + np.arange(total)]
+        both = np.unique(owner * (len(coded) + 1) + np.repeat(place, times))  # by item and place, each place once
+        owner, place = np.divmod(both, len(coded) + 1)
+        last = np.arange(len(owner)) + self.hits[owner] - 1
+        inside = np.flatnonzero(last < len(owner))
+        last = last[inside]
+        inside, last = (x[(owner[last] == owner[inside]) & (place[last] - place[inside] < self.span[owner[inside]])] for x in (inside, last))
+        for k, p, q in zip(owner[inside].tolist(), place[inside].tolist(), place[last].tolist()):
+            span = int(self.span[k])
+            a, b = begin + max(0, q + 1 - span), begin + min(len(coded), p + span)
+            spans = found[k]
+            if spans and a <= spans[-1][1]:
+                spans[-1][1] = max(b, spans[-1][1])
+            else:
+                spans.append([a, b])
         return found
 
 
@@ -117,10 +143,8 @@ def _leaks(batches, block, threshold: float):
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(text.as_py())
-            if not block.grams.intersection(grams(words)):
-                continue
-            coded = np.array([block.vocabulary.get(w, -1) for w in words])
-            for k, spans in block.windows(words).items():
+            coded = block.coded(words)
+            for k, spans in block.windows(coded).items():
                 item = block.words[k]
                 best = max((align(item, coded[a:b]) + (a,) for a, b in spans), key=lambda x: x[0])
                 similarity = best[0] / (MATCH * len(item))
@@ -140,10 +164,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about BLOCK_CHARS characters
         block = sorted(((r["item_id"], ws) for r in rows if len(ws := words_of(r["text"])) >= MIN_WORDS), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        all_seeds = spark.sparkContext.broadcast(frozenset(g for _, ws in block for g in grams(ws)))
-        counted = texts.select("text").mapInArrow(lambda x, s=all_seeds: _seed_counts(x, s), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        counts = {tuple(r["gram"].split(" ")): r["n"] for r in counted.collect()}  # one row per n-gram of the block at most
-        ready = spark.sparkContext.broadcast(Block(block, counts))
+        ready = spark.sparkContext.broadcast(Block(block, threshold))
         part = saved(texts.mapInArrow(lambda x, s=ready: _leaks(x, s, threshold), LEAKS), "leaks")
         found = part if found is None else found.unionAll(part)
     return found

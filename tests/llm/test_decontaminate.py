@@ -82,3 +82,35 @@ def test_empty(spark):
     docs = documents(spark, [(1, "a b c d e f g h")])
     bench = spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string")
     assert D.leaks(docs.limit(0), bench).count() == 0 and D.leaks(docs, bench.limit(0)).count() == 0 and D.leaks(docs, bench).count() == 1
+
+
+@pytest.mark.parametrize("edit", ["every fifth replaced", "every third replaced", "one put after every second"])
+def test_edited_beside_exact(spark, edit):
+    """An exact copy in the corpus doesn't hide an edited one, nor does an edit that leaves no three words in a row."""
+    item = [f"w{i}" for i in range(40)]
+    copy = {
+        "every fifth replaced": [f"y{i}" if i % 5 == 4 else w for i, w in enumerate(item)],
+        "every third replaced": [f"y{i}" if i % 3 == 2 else w for i, w in enumerate(item)],
+        "one put after every second": [x for i, w in enumerate(item) for x in ([w, f"y{i}"] if i % 2 else [w])],
+    }[edit]
+    around = lambda ws: " ".join([f"a{i}" for i in range(30)] + ws + [f"b{i}" for i in range(30)])
+    rows = [(1, around(item)), (2, around(copy)), (3, around([]))]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r["similarity"] for r in D.leaks(documents(spark, rows), bench).collect()}
+    assert got == {1: 1.0, 2: plain_score(item, copy) / 80} and got[2] >= D.THRESHOLD
+
+
+def test_hits_in_parts(spark, monkeypatch):
+    """Long texts with many hits are cut in halves; nothing is lost at the cut."""
+    rng = random.Random(6)
+    item = [rng.choice(WORDS[:24]) for _ in range(20)]
+    block = D.Block([(1, item)], D.THRESHOLD)
+    for _ in range(20):
+        text = [rng.choice(WORDS[:24]) for _ in range(600)]
+        text[at:at + 20] = edited(rng, item, 0.2) if (at := rng.randrange(600)) else item
+        coded = block.coded(text)
+        best = []
+        for hits in (1 << 20, 1):
+            monkeypatch.setattr(D, "HITS", hits)
+            best.append(max((D.align(block.words[0], coded[a:b])[0] for a, b in block.windows(coded)[0]), default=0))
+        assert best[0] == best[1] == (score if (score := plain_score(item, text)) >= 20 else best[0])
