@@ -11,8 +11,12 @@ Items are taken in blocks of at most about ``BLOCK_CHARS`` characters, so what i
 block meets all documents, and texts are never shuffled. Memory per task: one document, one block, and one row of
 an alignment.
 
-Defined cases: null or empty texts hold no item; items of fewer than ``MIN_WORDS`` words match nothing; equal items
-each get their rows; repeated documents give repeated rows; a document without id keeps a null id; empty tables give
+Words are runs of word characters; in scripts without spaces every character is a word, of half the weight of another.
+An item of fewer than ``MIN_WORDS`` words (by weight) is a leak only where it stands alone, as whole lines or sentences.
+From there on an alignment also has to score as much as ``LEAST_WORDS`` words, or all of a shorter item: no phrase of
+three words makes a leak.
+
+Defined cases: null or empty texts hold no item; items without words match nothing; equal items each get their rows; repeated documents give repeated rows; a document without id keeps a null id; empty tables give
 an empty result; other columns are not read.
 """
 
@@ -30,17 +34,44 @@ from pyspark.sql import functions as F
 
 from candlewright.llm.base import saved
 
-MIN_WORDS = 5
+MIN_WORDS, LEAST_WORDS = 5, 6
 MATCH, MISS, GAP = 2, -1, 1
 THRESHOLD = 0.5
 BLOCK_CHARS = 8 << 20
 NEAR = (1, 2)  # how far apart the words of a seed stand
 HITS = 1 << 20  # looked at together
 WORD = re.compile(r"\w+")
+#: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+CHARACTER = re.compile(f"[{UNSPACED}]")
+WORD_OR_CHARACTER = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
+#: What a line or sentence ends with.
+EDGE = re.compile("[\n\r\x0b\x0c\x85\u2028\u2029.!?:;|…。！？：；｡।]")
+
+
+def pattern_of(low: str) -> re.Pattern:
+    return WORD if low.isascii() or not CHARACTER.search(low) else WORD_OR_CHARACTER
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    low = (text or "").lower()
+    return pattern_of(low).findall(low)
+
+
+def weight(words: list[str]) -> float:
+    return len(words) - sum(len(w) == 1 and bool(CHARACTER.match(w)) for w in words) / 2
+
+
+def standing_alone(text: str, size: int, starts: list[int]) -> int | None:
+    """The first of the word places at which ``size`` words fill whole lines or sentences of a text."""
+    low = text.lower()
+    spans = [m.span() for m in pattern_of(low).finditer(low)]
+    for at in starts:
+        before = at == 0 or EDGE.search(low, spans[at - 1][1], spans[at][0])
+        after = at + size == len(spans) or EDGE.search(low, spans[at + size - 1][1], spans[at + size][0])
+        if before and after:
+            return at
+    return None
 
 
 def _row(item: int, window: np.ndarray, above: np.ndarray, slope: np.ndarray) -> np.ndarray:
@@ -74,11 +105,16 @@ class Block:
         self.vocabulary: dict[str, int] = {}
         self.ids = [i for i, _ in items]
         self.words = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]) for _, ws in items]
-        sizes = np.array([len(ws) for ws in self.words], np.int64)
-        score = MATCH * threshold * sizes - 1e-6
+        sizes, weights = np.array([len(ws) for ws in self.words], np.int64), np.array([weight(ws) for _, ws in items])
+        least = np.minimum(MATCH * sizes, MATCH * LEAST_WORDS * sizes / np.maximum(weights, 1))
+        self.least = np.maximum(MATCH * threshold * sizes, least) - 1e-6
+        score = self.least
+        self.short: dict[int, list[int]] = defaultdict(list)  # items that have to stand alone, by their first word
+        for k in np.flatnonzero(weights < MIN_WORDS).tolist():
+            self.short[int(self.words[k][0])].append(k)
         self.hits = np.maximum(1, np.ceil(score / MATCH - 1)).astype(np.int64)  # hits that a leak has at least, per item
         self.span = np.ceil(3 * sizes - score).astype(np.int64)  # words of a document that a leak covers at most
-        pairs = [np.stack([self.key(ws[:-d], ws[d:]), np.full(len(ws) - d, k)]) for k, ws in enumerate(self.words) for d in NEAR if len(ws) > d]
+        pairs = [np.stack([self.key(ws[:-d], ws[d:]), np.full(len(ws) - d, k)]) for k, ws in enumerate(self.words) if weights[k] >= MIN_WORDS for d in NEAR]
         seeds = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1), axis=1)
         self.keys, self.first, self.times = np.unique(seeds[0], return_index=True, return_counts=True)
         self.owners = seeds[1]
@@ -89,6 +125,20 @@ class Block:
     def coded(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
 
+    def alone(self, coded: np.ndarray, text: str) -> list[tuple[int, int]]:
+        """(item, place) of short items that stand alone in the text."""
+        found = []
+        for word in set(self.short).intersection(coded.tolist()) if self.short else ():
+            at = np.flatnonzero(coded == word)
+            for k in self.short[word]:
+                item = self.words[k]
+                here = at[at <= len(coded) - len(item)]
+                for i in range(1, len(item)):
+                    here = here[coded[here + i] == item[i]]
+                if len(here) and (place := standing_alone(text, len(item), here.tolist())) is not None:
+                    found.append((k, place))
+        return found
+
     def windows(self, coded: np.ndarray, begin: int = 0) -> dict[int, list[list[int]]]:
         """Per item that may have a copy in the document: the stretches in which it would lie."""
         found: dict[int, list[list[int]]] = defaultdict(list)
@@ -144,18 +194,19 @@ def _leaks(batches, block, threshold: float):
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(text.as_py())
             coded = block.coded(words)
+            rows += [(doc, block.ids[k], 1.0, at, at + len(block.words[k])) for k, at in block.alone(coded, text.as_py() or "")]
             for k, spans in block.windows(coded).items():
                 item = block.words[k]
                 best = max((align(item, coded[a:b]) + (a,) for a, b in spans), key=lambda x: x[0])
                 similarity = best[0] / (MATCH * len(item))
-                if similarity >= threshold:
+                if similarity >= threshold and best[0] >= block.least[k]:
                     rows.append((doc, block.ids[k], similarity, best[3] + best[1], best[3] + best[2]))
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [f.split()[0] for f in LEAKS.split(", ")])
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, item_id, similarity, first_word, end_word) of every copy, the words counted as runs of word characters."""
+    """(doc_id, item_id, similarity, first_word, end_word) of every copy, the words counted as ``words_of`` cuts them."""
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
@@ -163,7 +214,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     found = None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about BLOCK_CHARS characters
-        block = sorted(((r["item_id"], ws) for r in rows if len(ws := words_of(r["text"])) >= MIN_WORDS), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        block = sorted(((r["item_id"], ws) for r in rows if (ws := words_of(r["text"]))), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         ready = spark.sparkContext.broadcast(Block(block, threshold))
         part = saved(texts.mapInArrow(lambda x, s=ready: _leaks(x, s, threshold), LEAKS), "leaks")
         found = part if found is None else found.unionAll(part)

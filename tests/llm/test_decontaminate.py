@@ -114,3 +114,22 @@ def test_hits_in_parts(spark, monkeypatch):
             monkeypatch.setattr(D, "HITS", hits)
             best.append(max((D.align(block.words[0], coded[a:b])[0] for a, b in block.windows(coded)[0]), default=0))
         assert best[0] == best[1] == (score if (score := plain_score(item, text)) >= 20 else best[0])
+
+
+def test_short_and_unspaced_items(spark):
+    """Each item with what is a copy of it and what is not."""
+    cases = {
+        1: ("Is it late?", ["Q: is it late? Yes.", "one\nIs it late\ntwo"], ["is it late in the day", "it is late"]),
+        2: ("Paris", ["The town: Paris.", "paris"], ["we saw Paris and Rome"]),
+        3: ("one of the most wanted", ["it is one of the most wanted things"], ["one of the least known", "the most wanted man"]),
+        4: ("he came as soon as possible", ["and he came as soon as possible too"], ["as soon as it rained", "do it as soon as possible"]),
+        5: ("wood fire makes the old house warm tonight", ["a wood fire makes the old house very warm tonight"], ["the old house stood there", "a wood fire makes smoke"]),
+        6: ("我们明天早上在学校门口见面然后一起去图书馆", ["他说我们明天早上在学校门口碰面然后一起去图书馆。", "我们明天早上在学校门口见面然后一起去图书馆"], ["我们明天早上在家里", "他们一起去图书馆看书"]),
+        7: ("东京都", ["在哪里？东京都。"], ["他住在东京都内"]),
+        8: ("これはとても古い本です", ["「これはとても古い本です」と言った"], ["これはとても新しい本です"]),
+    }
+    assert D.words_of("ab 東京 é2") == ["ab", "東", "京", "é2"]
+    bench = spark.createDataFrame([(i, c[0]) for i, c in cases.items()], "item_id long, text string")
+    rows = [(100 * i + j, t) for i, (_, yes, no) in cases.items() for j, t in enumerate(yes + [None, ""] + no)]
+    got = {(r["doc_id"], r["item_id"]) for r in D.leaks(documents(spark, rows), bench).collect()}
+    assert got == {(100 * i + j, i) for i, (_, yes, _) in cases.items() for j in range(len(yes))}
