@@ -74,26 +74,31 @@ def standing_alone(text: str, size: int, starts: list[int]) -> int | None:
     return None
 
 
-def _row(item: int, window: np.ndarray, above: np.ndarray, slope: np.ndarray) -> np.ndarray:
-    here = np.maximum(above[:-1] + np.where(window == item, MATCH, MISS), above[1:] - GAP)
-    here = np.maximum.accumulate(np.maximum(here, 0) + slope) - slope
-    return np.r_[0, here]
-
-
 def _best(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """Score of the best local alignment, and where it ends in item and window."""
-    row, slope, best = np.zeros(len(window) + 1, np.int64), GAP * np.arange(len(window)), (0, 0, 0)
-    for i, word in enumerate(item):
-        row = _row(word, window, row, slope)
+    row, here, left = np.zeros(len(window) + 1, np.int32), np.empty(len(window), np.int32), np.empty(len(window), np.int32)
+    slope, best = GAP * np.arange(len(window), dtype=np.int32), (0, 0, 0)
+    for i, word in enumerate(item.tolist()):
+        np.multiply(window == word, np.int32(MATCH - MISS), out=here)
+        here += row[:-1]
+        here += np.int32(MISS)
+        np.subtract(row[1:], np.int32(GAP), out=left)
+        np.maximum(here, left, out=here)
+        np.maximum(here, 0, out=here)
+        here += slope
+        np.maximum.accumulate(here, out=left)
+        np.subtract(left, slope, out=row[1:])
         j = int(row.argmax())
         if row[j] > best[0]:
             best = (int(row[j]), i + 1, j)
     return best
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
-    """Smith-Waterman: score, and the span of the window that the best alignment covers."""
+def align(item: np.ndarray, window: np.ndarray, least: float = 0) -> tuple[int, int, int]:
+    """Smith-Waterman: score, and the span of the window that the best alignment covers; no span below ``least``."""
     score, i, j = _best(item, window)
+    if score < least:
+        return score, j, j
     _, _, back = _best(item[:i][::-1], window[:j][::-1])
     return score, j - back, j
 
@@ -167,7 +172,8 @@ class Block:
                     found[k] += spans
             return found
         owner = self.owners[np.repeat(self.first[seed] - (np.cumsum(times) - times), times) + np.arange(total)]
-        both = np.unique(owner * (len(coded) + 1) + np.repeat(place, times))  # by item and place, each place once
+        both = np.sort(owner * (len(coded) + 1) + np.repeat(place, times))
+        both = both[np.append(True, both[1:] != both[:-1])]  # by item and place, each place once
         owner, place = np.divmod(both, len(coded) + 1)
         last = np.arange(len(owner)) + self.hits[owner] - 1
         inside = np.flatnonzero(last < len(owner))
@@ -197,7 +203,7 @@ def _leaks(batches, block, threshold: float):
             rows += [(doc, block.ids[k], 1.0, at, at + len(block.words[k])) for k, at in block.alone(coded, text.as_py() or "")]
             for k, spans in block.windows(coded).items():
                 item = block.words[k]
-                best = max((align(item, coded[a:b]) + (a,) for a, b in spans), key=lambda x: x[0])
+                best = max((align(item, coded[a:b], block.least[k]) + (a,) for a, b in spans), key=lambda x: x[0])
                 similarity = best[0] / (MATCH * len(item))
                 if similarity >= threshold and best[0] >= block.least[k]:
                     rows.append((doc, block.ids[k], similarity, best[3] + best[1], best[3] + best[2]))
