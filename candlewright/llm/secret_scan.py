@@ -26,8 +26,9 @@ SCOPE = 300
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: Any access key, hexadecimal run or weak value lies within such a run.
+#: Any access key, hexadecimal run or weak value lies within such a run; weak values are its parts between signs of equality.
 LONG = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+VALUE = re.compile(r"([A-Za-z0-9+/_-]{16,})(?:={1,2}(?![A-Za-z0-9+/_-]))?")
 IDENTIFIER = re.compile(r"(?=[0-9]*[A-Z])(?=[A-Z]*[0-9])[A-Z0-9]{16,}")
 OPAQUE = re.compile(r"(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])[A-Za-z0-9+/_-]{24,}={0,2}")
 NAMED = re.compile(r"""(?:client|account|access|tenant|user|project)[_-]?(?:key[_-]?)?(?:id|name)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,})""", re.I | re.A)
@@ -51,10 +52,11 @@ def parts_of(text: str) -> list[tuple[str, int, int]]:
         a, b = run.span()
         found += [("access", *m.span()) for m in ACCESS.finditer(text, a, b)]
         found += [("hex", *m.span()) for m in HEX.finditer(text, a, b)]
-        if m := IDENTIFIER.fullmatch(text, a, b):
-            weak.append(("identifier", *m.span()))
-        elif m := OPAQUE.fullmatch(text, a, b):
-            weak.append(("opaque", *m.span()))
+        for part in VALUE.finditer(text, a, b):
+            if m := IDENTIFIER.fullmatch(text, *part.span(1)):
+                weak.append(("identifier", *m.span()))
+            elif m := OPAQUE.fullmatch(text, *part.span()):
+                weak.append(("opaque", *m.span()))
     if "id" in low or "name" in low:
         weak += [("identifier", *m.span(1)) for m in NAMED.finditer(text)]
     if "://" in low or ".amazonaws.com" in low or ".internal" in low or ".local" in low:

@@ -153,6 +153,22 @@ def test_secret_links(spark):
     assert secret_scan.scanned(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_secret_name_value_pairs(spark):
+    """Values right after a sign of equality, as in env files, connection strings and urls."""
+    opaque, identifier = "wJalrXUtnFEMIK7MDENGbPxRfiCYzzEXAMPLE", "ABCD1234EFGH5678"
+    rows = [
+        (1, f"AccountName=shop17;AccountKey={opaque}=="), (2, f"AWS_ACCESS={identifier}\nSIGNING_KEY={opaque}"), (3, f"SIGNING_KEY={opaque}"),
+        (4, f"https://x.internal/?a={identifier}&sig={opaque}="), (5, f"AWS_ACCESS={identifier}"), (6, f"a={identifier}=b={opaque}=c"), (7, f"={identifier} =={opaque}==="),
+    ]
+    texts = dict(rows)
+    got = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"]:s["end"]]) for s in r["spans"] if s["kind"] != "endpoint"] for r in secret_scan.scanned(documents(spark, rows)).collect()}
+    pair = [("identifier", identifier), ("opaque", opaque)]
+    assert got == {
+        1: [("identifier", "shop17"), ("opaque", opaque + "==")], 2: pair, 3: [], 4: [pair[0], ("opaque", opaque + "=")], 5: [],
+        6: pair, 7: [pair[0], ("opaque", opaque + "==")],
+    }
+
+
 # urls
 
 def plain_url(url):
