@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import decontaminate, license_scan, line_dedup, lm_score, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm.base import ascii_lower
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,5 +81,14 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules)}
-ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10}
+def op11_merkle(spark: SparkSession, d: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_of(text=ascii_lower(F.col("text"))))
+    m = merkle.manifest(table(spark, d, "documents"), {"tampered": tampered})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return merkle.proofs(m).select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.proof_text(F.col("path"))).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules, op11_merkle)}
+ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10, "op11_merkle": sql.OP11}

