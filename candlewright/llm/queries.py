@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, url_filter, warc
+from candlewright.llm import decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, token_store, url_filter, warc
 from candlewright.llm.base import ascii_lower
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,5 +91,13 @@ def op11_merkle(spark: SparkSession, d: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules, op11_merkle)}
+def op12_token_store(spark: SparkSession, d: str) -> DataFrame:
+    folder = token_store.new_folder(spark)
+    token_store.write_tokens(table(spark, d, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_tokens(spark, folder).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules, op11_merkle, op12_token_store)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10, "op11_merkle": sql.OP11}
