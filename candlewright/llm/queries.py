@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, token_store, url_filter, warc
-from candlewright.llm.base import ascii_lower
+from candlewright.llm import alignment, decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, token_store, url_filter, warc
+from candlewright.llm.base import ascii_lower, saved
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,5 +99,12 @@ def op12_token_store(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules, op11_merkle, op12_token_store)}
+def op13_alignment(spark: SparkSession, d: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    rows = alignment.aligned(table(spark, d, "documents"), *paths)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return alignment.linked(saved(rows.withColumn("groups_sha256", digest).drop("groups"), "alignment"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules, op11_merkle, op12_token_store, op13_alignment)}
 ORACLES: dict[str, str] = {"op1_warc": sql.OP1, "op5_line_dedup": sql.OP5, "op10_quality_rules": sql.OP10, "op11_merkle": sql.OP11}
