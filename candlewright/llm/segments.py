@@ -9,41 +9,33 @@ not be encoded again. Segments are kept with their leading space left out; ``REM
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Characters of segments that are kept, with 60 more for each; beyond it the memory begins anew.
-REMEMBERED = 30_000_000
-#: Characters of segments joined for one call of an encoder.
-JOINED = 20_000
+REMEMBERED = 60_000_000
+#: Segments joined for one call of an encoder.
+JOINED = 2_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s | \s|\A | \Z")
+_ODD = re.compile(r" (?:(?=\s)|(?<=\s ))")
 
 
 def segments(text: str) -> list[str]:
     """``" ".join(segments(text)) == text``; tokens end at every joint."""
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    odd = text.startswith(" ") or text.endswith(" ") or _ODD.search(text)
+    return _CUT.split(text) if odd else text.split(" ")
 
 
-def plain(segment: str) -> bool:
-    """May be joined with others by a space without a change of tokens."""
-    return segment != "" and not segment[0].isspace() and not segment[-1].isspace()
-
-
-def runs(found: list[str]) -> list[list[str]]:
-    """Segments in groups of about ``JOINED`` characters; those that can't be joined stand alone."""
-    out, current, size = [], [], 0
-    for s in found:
-        if not plain(s):
-            out.append([s])
-            continue
-        current.append(s)
-        size += len(s) + 1
-        if size >= JOINED:
-            out.append(current)
-            current, size = [], 0
-    return out + ([current] if current else [])
+def runs(found: Iterable[str]) -> list[list[str]]:
+    """Segments in groups that may be joined by single spaces without a change of tokens; others stand alone."""
+    found = list(found)
+    alone = [s for s in found if not s or s[0].isspace() or s[-1].isspace()]
+    if alone:
+        apart = set(alone)
+        found = [s for s in found if s not in apart]
+    return [found[a:a + JOINED] for a in range(0, len(found), JOINED)] + [[s] for s in alone]
 
 
 def byte_level() -> dict[str, int]:
@@ -72,9 +64,13 @@ class ByteLevel:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def ends_in(run: list[str], lengths: np.ndarray) -> np.ndarray:
-    """How many tokens of a joined run lie up to the end of each segment; ``lengths`` are the bytes of its tokens."""
-    places = np.cumsum(np.fromiter((len(s.encode()) + 1 for s in run), np.int64, len(run)))
+def ends_in(run: list[str], data: bytes, lengths: np.ndarray) -> np.ndarray:
+    """How many tokens of a joined run (``data`` is its text with a space before it) lie up to the end of each segment."""
+    spaces = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    if len(spaces) == len(run):
+        places = np.append(spaces[1:], len(data))
+    else:  # segments hold spaces of their own
+        places = np.cumsum(np.fromiter((len(s.encode()) + 1 for s in run), np.int64, len(run)))
     ends = np.cumsum(lengths)
     upto = np.searchsorted(ends, places)
     if len(ends) == 0 or ends[-1] != places[-1] or (ends[upto] != places).any():

@@ -56,22 +56,25 @@ class Encoder:
         self.model, self.known, self.held = S.ByteLevel(path, specials_as_text=False), {}, 0
 
     def _fresh(self, found: set[str]) -> None:
-        for run in S.runs(sorted(found)):
-            ids = np.array(self.model.encode([" " + " ".join(run)])[0], "<u4")
-            ends = S.ends_in(run, self.model.lengths[ids]) * 4
-            data = ids.tobytes()
-            for s, a, b in zip(run, [0, *ends.tolist()], ends.tolist()):
-                self.known[s] = data[a:b]
-            self.held += sum(map(len, run)) + 60 * len(run)
+        for run in S.runs(found):
+            text = " " + " ".join(run)
+            ids = np.array(self.model.encode([text])[0], "<u4")
+            ends = (S.ends_in(run, text.encode(), self.model.lengths[ids]) * 4).tolist()
+            data, begin = ids.tobytes(), 0
+            for s, end in zip(run, ends):
+                self.known[s] = data[begin:end]
+                begin = end
+            self.held += len(text) + 60 * len(run)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self.held > S.REMEMBERED:
             self.known, self.held = {}, 0
         whole = [any(x in t for x in self.model.specials) for t in texts]
         cut = [[t] if w else S.segments(t) for t, w in zip(texts, whole)]
-        firsts = [np.array(ids, "<u4").tobytes() for ids in self.model.encode([c[0] for c in cut])]
-        self._fresh({s for c in cut for s in c[1:]} - self.known.keys())
-        return [first + b"".join(map(self.known.__getitem__, c[1:])) for first, c in zip(firsts, cut)]
+        firsts = [np.array(ids, "<u4").tobytes() for ids in self.model.encode([c.pop(0) for c in cut])]
+        self._fresh(set().union(*cut).difference(self.known))
+        of = self.known.__getitem__
+        return [first + b"".join(map(of, c)) for first, c in zip(firsts, cut)]
 
 
 @lru_cache(maxsize=2)
