@@ -16,6 +16,8 @@ from candlewright.operators.series import (
     ema_columns,
     positions,
     running_totals,
+    time_bounds,
+    with_range,
 )
 
 WILDER = 1.0 / 14
@@ -75,14 +77,11 @@ def daily_indicators(bars: DataFrame, include_vwap: bool = True) -> DataFrame:
     return out.drop("_pos", "_delta", "_gain", "_loss", "_avg_gain", "_avg_loss").withColumnRenamed("volume", "total_volume")
 
 
-def hour_of(column: str) -> Column:
-    return F.date_trunc("hour", F.col(column))
-
-
-def candle_positions(candles: DataFrame, key: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Candles numbered within their symbol."""
+def candle_positions(candles: DataFrame, key: Sequence[str] = ("symbol",), bounds: Sequence[float] | None = None) -> DataFrame:
+    """Candles numbered within their symbol. ``bounds``: see ``time_bounds``, which runs a job if they aren't given."""
     order = ["candle_time"] + (["received_at"] if "received_at" in candles.columns else [])
-    return positions(candles, key, order, hour_of("candle_time"))
+    ranged = with_range(candles, "candle_time", time_bounds(candles, "candle_time") if bounds is None else bounds)
+    return positions(ranged, key, order, F.col("_range")).drop("_range")
 
 
 def rsi_simple(w: WindowSpec, delta: str = "_delta", period: int = 14) -> Column:
@@ -174,10 +173,11 @@ def session_vwap(
     open_time: str = "09:00:00",
     close_time: str = "14:45:00",
     number: bool = False,
+    bounds: Sequence[float] | None = None,
 ) -> DataFrame:
     """Running volume-weighted price and deviation per (symbol, local day).
 
-    With ``session_only`` rows outside the trading hours keep their place but add nothing; before
+    ``bounds``: see ``time_bounds``, which runs a job if they aren't given. With ``session_only`` rows outside the trading hours keep their place but add nothing; before
     the first row of the session the result is null.
     """
     clock = F.date_format("candle_time", "HH:mm:ss.SSSSSS")
@@ -185,12 +185,12 @@ def session_vwap(
     volume = F.when(inside, F.col("volume")).otherwise(0).cast("double")
     price = typical_price()
     order = ["candle_time"] + (["received_at"] if "received_at" in candles.columns else [])
+    ranged = with_range(candles, "candle_time", time_bounds(candles, "candle_time") if bounds is None else bounds)
     summed = running_totals(
-        candles.withColumn("session_date", F.to_date("candle_time")),
-        ["symbol"], order, hour_of("candle_time"),
+        ranged.withColumn("session_date", F.to_date("candle_time")), ["symbol"], order, F.col("_range"),
         {"_v": volume, "_pv": price * volume, "_p2v": price * price * volume},
         within=["session_date"], number=number,
-    )
+    ).drop("_range")
     vwap = F.when(F.col("_v") > 0, F.try_divide(F.col("_pv"), F.col("_v")))
     spread = F.try_divide(F.col("_p2v"), F.col("_v"))
     return (

@@ -3,6 +3,8 @@
 A symbol may own a large share of all rows, so no window here is partitioned by the key alone
 unless the series is bounded by the calendar. Three building blocks are enough:
 
+* ``time_bounds``    cuts time where the rows are: between two bounds lies about the same number of rows, so not even
+                     a symbol that has all rows of an hour, or of the table, puts more than that into one window;
 * ``positions``      numbers the rows of every key (counts per time bucket, then ranks inside it);
 * ``blocks``         cuts the numbered rows into blocks that overlap by a fixed number of rows, so
                      any frame no longer than the overlap can be evaluated inside one block;
@@ -14,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -23,6 +26,29 @@ _CORE = "_core"
 _POS = "_pos"
 
 
+def time_bounds(df: DataFrame, time: str, parts: int | None = None) -> list[float]:
+    """Microseconds that cut the times of ``df`` into ranges of about equally many rows, by approximate quantiles.
+
+    Runs a job that reads the time column only. Any frame of the same times will do: bounds decide how work is dealt out,
+    never what comes out. ``parts`` ranges, four for every shuffle partition if not given, 10,000 at most.
+    """
+    spark = df.sparkSession
+    parts = min(10_000, parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("double")
+    cuts = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(micros, cuts, 10 * parts).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
+
+
+def with_range(df: DataFrame, time: str, bounds: Sequence[float], name: str = "_range") -> DataFrame:
+    """Add the number of the range that a row's time lies in; numbers grow with time."""
+    if not bounds:
+        return df.withColumn(name, F.lit(0))
+    splits = [-math.inf, *bounds, math.inf]
+    cut = Bucketizer(splits=splits, inputCol="_micros", outputCol=name, handleInvalid="keep")
+    return cut.transform(df.withColumn("_micros", F.unix_micros(F.col(time).cast("timestamp")).cast("double"))).drop("_micros")
+
+
 def positions(
     df: DataFrame,
     key: Sequence[str],
@@ -32,7 +58,7 @@ def positions(
     """Add ``_pos``, the zero-based position of a row inside its key.
 
     Without ``bucket`` each key is ranked in one window: use it only where a key is bounded, as with
-    one row per trading day. With ``bucket`` (non-decreasing in ``order``, e.g. the hour) only the
+    one row per trading day. With ``bucket`` (non-decreasing in ``order``: the range of ``with_range``) only the
     rows of one bucket meet in a task; the counts of earlier buckets give the offset.
     """
     if bucket is None:

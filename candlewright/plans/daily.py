@@ -1,7 +1,8 @@
 """The daily jobs. Each step is published behind its gate and read back by the next.
 
-Stage 1 is merged day by day, touching only the months of the new rows; indicators need the whole
-history of a symbol and are rebuilt from the merged table.
+Stage 1 is merged day by day, touching only the months of the new rows. Indicators go on from the state that the symbols
+had at the end of an earlier month, so a daily run reads the bars of its own month; a backfill goes back to the newest
+state before its first day.
 """
 
 from __future__ import annotations
@@ -13,48 +14,104 @@ from pyspark.sql import functions as F
 
 from candlewright import schemas
 from candlewright.functions.cleanse import conform
-from candlewright.operators import dims, lookups
+from candlewright.operators import carry, dims, lookups
 from candlewright.operators.bars import daily_bars
+from candlewright.operators.carry import month_of
 from candlewright.operators.sector import sector_daily
 from candlewright.plans import flows
 from candlewright.quality.gates import GATES
 from candlewright.quality.suite import gate
+from candlewright.session import pinned
 from candlewright.sources import lifecycle
-from candlewright.sources.files import exists
+from candlewright.sources.files import delete, exists
 from candlewright.sources.writers import Store, align_to_schema, append_merge
 
 _KEY = ["symbol", "trade_date"]
 
 
-def merge_stage(store: Store, name: str, rows: DataFrame) -> DataFrame:
-    """Check new daily rows and merge them into a stage 1 table, the new row winning."""
-    gate(rows, GATES[name], name)
-    month = rows.withColumn("trade_month", F.date_format("trade_date", "yyyy-MM"))
-    append_merge(month, store.path(name), _KEY, ["trade_month"])
-    return store.read(name).drop("trade_month")
+def merge_stage(store: Store, name: str, rows: DataFrame) -> list[str]:
+    """Check new daily rows and merge them into a stage 1 table, the new row winning; returns the months they touch.
+
+    The rows are written aside first: what they are made of is read once.
+    """
+    month = rows.withColumn("trade_month", month_of("trade_date"))
+    written, staged = store.aside(month, name)
+    try:
+        gate(written.drop("trade_month"), GATES[name], name)
+        append_merge(written, store.path(name), _KEY, ["trade_month"])
+        return sorted(r[0] for r in written.select("trade_month").distinct().collect())
+    finally:
+        delete(store.spark, staged)
+
+
+def _since(store: Store, name: str, month: str | None) -> DataFrame:
+    """A table by months, those after ``month`` only; the folders of earlier ones are not opened."""
+    table = store.read(name)
+    kept = table if month is None else table.where(F.col("trade_month") > month)
+    return kept.drop("trade_month")
+
+
+def _begin(store: Store, name: str, touched: list[str], rebuild: bool) -> tuple[str | None, str | None]:
+    """(first month to publish anew, month of the state to go on from); both None for everything.
+
+    A run that didn't come to its end left a mark: its months are done again. Without new rows nothing is left to do.
+    """
+    had = store.partitions(f"{name}_state", "state_month")
+    first = "" if rebuild or not had else min(touched + [m.removeprefix("m") for m in store.marks(name)], default="9999-12")
+    store.mark(name, f"m{first}")
+    return first or None, max((m for m in had if m < first), default=None)
+
+
+def _state(store: Store, name: str, month: str | None) -> DataFrame | None:
+    return None if month is None else store.read(f"{name}_state").where(F.col("state_month") == month).drop("state_month")
+
+
+def _publish_states(store: Store, name: str, rows: DataFrame, base: str | None) -> None:
+    """The states of the months of ``rows``, and none other after ``base``: older ones would no longer hold."""
+    months = carry.kept_months([r[0] for r in rows.select(month_of("trade_date")).distinct().collect()])
+    if not months:
+        return
+    for month in store.partitions(f"{name}_state", "state_month"):
+        if month not in months and month > (base or ""):
+            delete(store.spark, f"{store.path(name)}_state/state_month={month}")
+    store.publish_parts(carry.states(rows, _state(store, name, base), months), f"{name}_state", "state_month", ["symbol"], checks=[])
+
+
+def by_month(store: Store, df: DataFrame, name: str, first: str | None, key: str, day: str) -> DataFrame:
+    """Publish a table by months from ``first`` on."""
+    month = month_of(day) if day == "trade_date" else F.format_string("%04d-%02d", (F.col(day) / 10000).cast("int"), (F.col(day) / 100).cast("int") % 100)
+    dated = df.withColumn("trade_month", month)
+    return store.publish_parts(dated if first is None else dated.where(F.col("trade_month") >= first), name, "trade_month", [key, day])
 
 
 def equity_daily(
-    store: Store, prints: DataFrame, raw_summary: DataFrame | None = None, order: str | Column = "time", name_bars=None
+    store: Store, prints: DataFrame, raw_summary: DataFrame | None = None, order: str | Column = "time", name_bars=None, rebuild: bool = False
 ) -> dict[str, DataFrame]:
     """Prints and fundamentals of any days to indicators, signals, star facts and sectors.
 
     ``name_bars`` may attach symbols to bars that were reduced by another key. Needs the published
-    stock and sector dimensions.
+    stock and sector dimensions. Months from the first touched one on are calculated anew, going on from the state of
+    the symbols before them; earlier months stay as they were published, also where a dimension changed since
+    (``rebuild`` does all months from the first bar).
     """
     fresh = daily_bars(prints, order)
-    bars = merge_stage(store, "stage_1.fact_market_equity", fresh if name_bars is None else name_bars(fresh))
-    summary = None
+    bars_name, summary_name, name = "stage_1.fact_market_equity", "stage_1.fact_equity_summary", "stage_2.fact_market_equity"
+    touched = merge_stage(store, bars_name, fresh if name_bars is None else name_bars(fresh))
     if raw_summary is not None:
-        summary = merge_stage(store, "stage_1.fact_equity_summary", flows.clean_summary(raw_summary))
-    elif store.has("stage_1.fact_equity_summary"):
-        summary = store.read("stage_1.fact_equity_summary").drop("trade_month")
+        touched = touched + merge_stage(store, summary_name, flows.clean_summary(raw_summary))
+    first, base = _begin(store, name, touched, rebuild)
+    bars, state = _since(store, bars_name, base), _state(store, name, base)
+    summary = _since(store, summary_name, base) if store.has(summary_name) else None
     stocks, sectors = store.read("master.dim_stock"), store.read("master.dim_sector")
-    equity = store.publish(flows.equity_indicators(bars, summary), "stage_2.fact_market_equity")
-    signals = store.publish(flows.stock_signals(equity, stocks), "stage_2.fact_stock_signals")
-    fact = store.publish(lookups.resolve_fact_keys(equity, stocks, "stock_key"), "master.fact_market_equity")
-    labels = store.publish(lookups.resolve_fact_keys(signals, stocks, "stock_key"), "master.fact_stock_signals")
-    by_sector = store.publish(sector_daily(fact, stocks, sectors), "master.fact_market_sector")
+    rows = pinned(flows.continued_equity(bars, summary, state))
+    equity = by_month(store, rows.select(*schemas.EQUITY_COLUMNS), name, first, "symbol", "trade_date")
+    signals = by_month(store, flows.signals_of(rows, stocks), "stage_2.fact_stock_signals", first, "symbol", "trade_date")
+    new = lambda df: (df if first is None else df.where(F.col("trade_month") >= first)).drop("trade_month")
+    fact = by_month(store, lookups.resolve_fact_keys(new(equity), stocks, "stock_key"), "master.fact_market_equity", first, "stock_key", "date_key")
+    labels = by_month(store, lookups.resolve_fact_keys(new(signals), stocks, "stock_key"), "master.fact_stock_signals", first, "stock_key", "date_key")
+    by_sector = by_month(store, sector_daily(new(fact), stocks, sectors), "master.fact_market_sector", first, "sector_key", "date_key")
+    _publish_states(store, name, rows, base)
+    store.unmark(name)
     return {"equity": fact, "signals": labels, "sector": by_sector}
 
 
@@ -69,14 +126,22 @@ def equity_backfill(
     return equity_daily(store, some, figures, order, name_bars)
 
 
-def index_daily(store: Store, prints: DataFrame, order: str | Column = "time") -> dict[str, DataFrame]:
-    bars = merge_stage(store, "stage_1.fact_market_index", daily_bars(prints, order))
+def index_daily(store: Store, prints: DataFrame, order: str | Column = "time", rebuild: bool = False) -> dict[str, DataFrame]:
+    """As ``equity_daily``, for indices."""
+    bars_name, name = "stage_1.fact_market_index", "stage_2.fact_market_index"
+    first, base = _begin(store, name, merge_stage(store, bars_name, daily_bars(prints, order)), rebuild)
+    state = _state(store, name, base)
+    rows = pinned(carry.continued_indicators(_since(store, bars_name, base), state, include_vwap=False))
+    index = by_month(store, rows.select(*schemas.INDEX_COLUMNS), name, first, "symbol", "trade_date")
+    new = (index if first is None else index.where(F.col("trade_month") >= first)).drop("trade_month")
+    signals = by_month(store, flows.index_signals(new), "stage_2.fact_index_signals", first, "symbol", "trade_date")
+    new_signals = (signals if first is None else signals.where(F.col("trade_month") >= first)).drop("trade_month")
     indices = store.read("master.dim_index")
-    index = store.publish(flows.index_indicators(bars), "stage_2.fact_market_index")
-    signals = store.publish(flows.index_signals(index), "stage_2.fact_index_signals")
     keyed = {"dim_natural": "index_symbol", "on_orphan": "keep"}
-    fact = store.publish(lookups.resolve_fact_keys(index, indices, "index_key", **keyed), "master.fact_market_index")
-    labels = store.publish(lookups.resolve_fact_keys(signals, indices, "index_key", **keyed), "master.fact_index_signals")
+    fact = by_month(store, lookups.resolve_fact_keys(new, indices, "index_key", **keyed), "master.fact_market_index", first, "index_key", "date_key")
+    labels = by_month(store, lookups.resolve_fact_keys(new_signals, indices, "index_key", **keyed), "master.fact_index_signals", first, "index_key", "date_key")
+    _publish_states(store, name, rows, base)
+    store.unmark(name)
     return {"index": fact, "signals": labels}
 
 

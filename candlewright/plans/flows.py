@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions import labels as L
 from candlewright.functions.cleanse import clean_symbol, metric_columns, one_per_key, require_columns, with_date
+from candlewright.operators.carry import continued_indicators
 from candlewright.operators.indicators import daily_indicators
 from candlewright.operators.lookups import join_summary, lookup_join
 from candlewright.operators.quantiles import exact_quantiles
@@ -43,6 +44,13 @@ def equity_indicators(bars: DataFrame, summary: DataFrame | None = None) -> Data
     return daily_indicators(join_summary(bars, summary)).select(*EQUITY_COLUMNS)
 
 
+def continued_equity(bars: DataFrame, summary: DataFrame | None, state: DataFrame | None) -> DataFrame:
+    """``equity_indicators`` that goes on from a state, with the averages behind it and macd_prev."""
+    if summary is None:
+        return continued_indicators(bars, state).withColumns({m: F.lit(None).cast("double") for m in SUMMARY_METRICS})
+    return continued_indicators(join_summary(bars, summary), state)
+
+
 def index_indicators(bars: DataFrame) -> DataFrame:
     return daily_indicators(bars, include_vwap=False).select(*INDEX_COLUMNS)
 
@@ -90,8 +98,12 @@ def label_stocks(equity: DataFrame) -> DataFrame:
 
 
 def stock_signals(equity: DataFrame, dim_stock: DataFrame) -> DataFrame:
-    ready = with_sector_median(with_previous_macd(equity), dim_stock)
-    return label_stocks(ready).select("symbol", "trade_date", *STOCK_SIGNAL_COLUMNS)
+    return signals_of(with_previous_macd(equity), dim_stock)
+
+
+def signals_of(rows: DataFrame, dim_stock: DataFrame) -> DataFrame:
+    """As ``stock_signals``, of rows that carry macd_prev already."""
+    return label_stocks(with_sector_median(rows, dim_stock)).select("symbol", "trade_date", *STOCK_SIGNAL_COLUMNS)
 
 
 def index_signals(index: DataFrame) -> DataFrame:

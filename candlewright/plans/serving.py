@@ -5,6 +5,8 @@ Every parameter is bound as a literal; none becomes part of SQL text.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,14 +55,79 @@ def total_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 
 
+MONTH = "trade_month"
+_MONTH_FOLDER = re.compile(f"/{MONTH}=([0-9]{{4}}-[0-9]{{2}})/")
+
+
+def months_of(fact: DataFrame) -> list[str]:
+    """Months of a fact that is partitioned by them, newest first, from the names of its folders; none for other facts."""
+    if MONTH not in fact.columns:
+        return []
+    return sorted({m for f in fact.inputFiles() for m in _MONTH_FOLDER.findall(f)}, reverse=True)
+
+
+def _growing(months: Sequence[str]) -> Iterator[tuple[str, str]]:
+    """(oldest, newest) of 1, 1, 2, 4, ... months in turn."""
+    begin, size = 0, 1
+    while begin < len(months):
+        part = months[begin:begin + size]
+        yield part[-1], part[0]
+        begin, size = begin + size, max(1, begin + size)
+
+
+def in_months(fact: DataFrame, oldest: str | None, newest: str | None) -> DataFrame:
+    """Rows of a span of months: a partition filter."""
+    if oldest:
+        fact = fact.where(F.col(MONTH) >= oldest)
+    return fact.where(F.col(MONTH) <= newest) if newest else fact
+
+
 def latest_date_key(fact: DataFrame, dates: DataFrame) -> Column:
-    """Scalar subquery: the last day of a fact that the calendar knows."""
-    days = fact.select("date_key").distinct()
-    return days.join(dates.select("date_key"), "date_key", "left_semi").agg(F.max("date_key")).scalar()
+    """The last day of a fact that the calendar knows.
+
+    Of a fact by months the newest month is asked first, in a small job of its own that reads one column of it; earlier
+    months only while no known day was found. Of other facts it is a scalar subquery over all days.
+    """
+    def last(part: DataFrame) -> DataFrame:
+        return part.select("date_key").distinct().join(dates.select("date_key"), "date_key", "left_semi").agg(F.max("date_key"))
+
+    months = months_of(fact)
+    if not months:
+        return last(fact).scalar()
+    for oldest, newest in _growing(months):
+        found = last(in_months(fact, oldest, newest)).first()[0]
+        if found is not None:
+            return F.lit(found)
+    return F.lit(None).cast(fact.schema["date_key"].dataType)
+
+
+def on_day_key(fact: DataFrame, key: Column) -> DataFrame:
+    """Rows of one day; of a fact by months only its month is read."""
+    rows = fact.where(F.col("date_key") == key)
+    if MONTH not in fact.columns:
+        return rows
+    year, month = (key.cast("int") / 10000).cast("int"), (key.cast("int") / 100).cast("int") % 100
+    return rows.where(F.col(MONTH) == F.format_string("%04d-%02d", year, month))
 
 
 def on_latest(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    return fact.where(F.col("date_key") == latest_date_key(fact, dates))
+    return on_day_key(fact, latest_date_key(fact, dates))
+
+
+def newest_part(fact: DataFrame, dates: DataFrame, limit: int, start: str | None, end: str | None) -> DataFrame:
+    """So many of the newest months of a fact (by months) between two days that ``limit`` rows of known days lie in them.
+
+    ``fact`` holds the rows of one key; counting takes small jobs over ever larger spans of months.
+    """
+    months = [m for m in months_of(fact) if (not start or m >= start[:7]) and (not end or m <= end[:7])]
+    fact = in_months(fact, start[:7] if start else None, end[:7] if end else None)
+    known, seen = dates.select("date_key", "trade_date"), 0
+    for oldest, newest in _growing(months):
+        rows = between_dates(in_months(fact, oldest, newest).select("date_key").join(known, "date_key"), start, end)
+        seen += rows.limit(limit).count()
+        if seen >= limit:
+            return in_months(fact, oldest, None)
+    return fact
 
 
 def between_dates(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -110,8 +177,18 @@ def stock_detail(star: Star, symbol: str) -> DataFrame:
     return star.dim_stock.where(F.col("symbol") == symbol).limit(1)
 
 
-def _of_symbol(star: Star, fact: DataFrame, symbol: str, date_column: str = "date_key") -> DataFrame:
+def _key_of(dim: DataFrame, natural: str, value: str, key: str) -> Column:
+    """The key of one dimension row as a literal, so that it reaches the scan of a sorted fact."""
+    found = dim.where(F.col(natural) == value).select(key).first()
+    return F.lit(None if found is None else found[0])
+
+
+def _of_symbol(
+    star: Star, fact: DataFrame, symbol: str, date_column: str = "date_key", limit: int = 0, start: str | None = None, end: str | None = None
+) -> DataFrame:
     one = star.dim_stock.where(F.col("symbol") == symbol).select("stock_key", "symbol")
+    if MONTH in fact.columns:
+        fact = newest_part(fact.where(F.col("stock_key") == _key_of(star.dim_stock, "symbol", symbol, "stock_key")), star.dates, limit, start, end)
     dates = star.dates.withColumnRenamed("date_key", date_column)
     return star_join(fact, [(one, "stock_key"), (dates, date_column)])
 
@@ -126,12 +203,12 @@ def stock_history(
     columns = ["symbol", "trade_date", "open", "high", "low", "close", "total_volume", "price_change_pct",
                "sma_20", "sma_50", "ema_12", "ema_26", "rsi_14", "macd", "vwap", "pe", "pb", "roe", "eps",
                "bvps", "market_cap", "dividend_yield", "high_52w", "low_52w", "beta"]
-    rows = between_dates(_of_symbol(star, star.equity, symbol), start, end)
+    rows = between_dates(_of_symbol(star, star.equity, symbol, limit=limit, start=start, end=end), start, end)
     return _newest(rows.select(*columns), limit)
 
 
 def signal_history(star: Star, symbol: str, limit: int = 30) -> DataFrame:
-    rows = _of_symbol(star, star.stock_signals, symbol)
+    rows = _of_symbol(star, star.stock_signals, symbol, limit=limit)
     return _newest(rows.select("symbol", "trade_date", *STOCK_SIGNAL_COLUMNS), limit)
 
 
@@ -155,7 +232,8 @@ def screener_matches(
     ranges: dict[str, tuple[float | None, float | None]] | None = None,
 ) -> DataFrame:
     """Latest facts that satisfy every filter; ``ranges`` maps a measure to inclusive bounds."""
-    facts = on_latest(star.equity, star.dates)
+    latest = latest_date_key(star.equity, star.dates)
+    facts = on_day_key(star.equity, latest)
     for measure, (low, high) in (ranges or {}).items():
         if low is not None:
             facts = facts.where(F.col(measure) >= F.lit(low))
@@ -166,11 +244,8 @@ def screener_matches(
         stocks = stocks.where(F.col("sector") == sector)
     if exchange:
         stocks = stocks.where(F.col("exchange") == exchange)
-    labels = star.stock_signals.select("stock_key", "date_key", "label_stock_class", "label_trading_action")
-    out = star_join(
-        facts, [(stocks, "stock_key"), (star.dates, "date_key")],
-        labels.where(F.col("date_key") == latest_date_key(star.equity, star.dates)), ["stock_key", "date_key"],
-    )
+    labels = on_day_key(star.stock_signals, latest).select("stock_key", "date_key", "label_stock_class", "label_trading_action")
+    out = star_join(facts, [(stocks, "stock_key"), (star.dates, "date_key")], labels, ["stock_key", "date_key"])
     return out.where(contains_ignoring_case("label_trading_action", signal)) if signal else out
 
 
@@ -192,10 +267,11 @@ def screener_total(star: Star, **filters) -> DataFrame:
 
 
 def indices_latest(star: Star) -> DataFrame:
+    latest = latest_date_key(star.index, star.dates)
     rows = star_join(
-        on_latest(star.index, star.dates),
+        on_day_key(star.index, latest),
         [(star.dim_index.select("index_key", "index_symbol", "index_name"), "index_key"), (star.dates, "date_key")],
-        star.index_signals, ["index_key", "date_key"],
+        on_day_key(star.index_signals, latest).drop(MONTH), ["index_key", "date_key"],
     )
     return rows.select(
         "index_symbol", "index_name", "trade_date", "open", "high", "low", "close", "price_change_pct",
@@ -207,9 +283,14 @@ def index_history(
     star: Star, symbol: str, start: str | None = None, end: str | None = None, limit: int = 90
 ) -> DataFrame:
     one = star.dim_index.where(F.col("index_symbol") == symbol).select("index_key", F.col("index_symbol").alias("symbol"))
-    rows = star_join(
-        star.index, [(one, "index_key"), (star.dates, "date_key")], star.index_signals, ["index_key", "date_key"]
-    )
+    facts, signals = star.index, star.index_signals
+    if MONTH in facts.columns:
+        key = _key_of(star.dim_index, "index_symbol", symbol, "index_key")
+        facts = newest_part(facts.where(F.col("index_key") == key), star.dates, limit, start, end)
+    if MONTH in facts.columns and MONTH in signals.columns:  # the same folders on both sides
+        rows = star_join(facts, [(one, "index_key"), (star.dates, "date_key")], signals.where(F.col("index_key") == key), ["index_key", "date_key", MONTH])
+    else:
+        rows = star_join(facts, [(one, "index_key"), (star.dates, "date_key")], signals.drop(MONTH), ["index_key", "date_key"])
     columns = ["symbol", "trade_date", "open", "high", "low", "close", "total_volume", "price_change_pct",
                "sma_20", "sma_50", "ema_12", "ema_26", "rsi_14", "macd", *INDEX_SIGNAL_COLUMNS]
     return _newest(between_dates(rows, start, end).select(*columns), limit)
@@ -279,9 +360,10 @@ def sector_history(
     star: Star, sector_key: int, start: str | None = None, end: str | None = None, limit: int = 90
 ) -> DataFrame:
     one = star.dim_sector.where(F.col("sector_key") == sector_key).select("sector_key", F.col("sector").alias("sector_name"))
-    rows = star_join(
-        star.sector.where(F.col("sector_key") == sector_key), [(one, "sector_key"), (star.dates, "date_key")]
-    )
+    facts = star.sector.where(F.col("sector_key") == sector_key)
+    if MONTH in facts.columns:
+        facts = newest_part(facts, star.dates, limit, start, end)
+    rows = star_join(facts, [(one, "sector_key"), (star.dates, "date_key")])
     return _newest(between_dates(rows, start, end).select("sector_name", "trade_date", *_SECTOR_MEASURES), limit)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampType
 
 from candlewright.functions.cleanse import drop_audit_columns, normalise_summary, to_datetime_any
-from candlewright.sources.files import delete, exists, swap_in
+from candlewright.sources.files import delete, exists, heal, make_folder, partition_values, swap_in, swap_partitions
 
 DATE_MIN, DATE_MAX = "1970-01-01", "2149-06-06"
 DAY_PARTITIONS = ["year", "month", "day"]
@@ -242,11 +242,62 @@ class Store:
         return f"{self.root}/{name.replace('.', '/')}"
 
     def has(self, name: str) -> bool:
+        heal(self.spark, self.path(name))
         return exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
+        heal(self.spark, self.path(name))
         return self.spark.read.parquet(self.path(name))
 
+    def aside(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+        """``df`` written beside the table, and where."""
+        staged = f"{self.path(name)}__{uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(staged)
+        return self.spark.read.schema(df.schema).parquet(staged), staged
+
+    def partitions(self, name: str, column: str) -> list[str]:
+        """Partition values of a table in order, from its folders."""
+        heal(self.spark, self.path(name))
+        return partition_values(self.spark, self.path(name), column)
+
+    def mark(self, name: str, value: str) -> None:
+        """Note that work on ``name`` has begun from ``value`` on; the note stays until ``unmark``."""
+        make_folder(self.spark, f"{self.root}/_begun/{name}/from={value}")
+
+    def marks(self, name: str) -> list[str]:
+        return partition_values(self.spark, f"{self.root}/_begun/{name}", "from")
+
+    def unmark(self, name: str) -> None:
+        delete(self.spark, f"{self.root}/_begun/{name}")
+
+    def publish_parts(self, df: DataFrame, name: str, column: str, order: Sequence[str], checks=None) -> DataFrame:
+        """Replace the partitions of ``column`` that ``df`` holds; inside them rows are range-sorted by ``order``.
+
+        Files then hold short ranges of ``order``, so a reader of one key opens few of them. Written aside and checked
+        first; partitions are swapped one by one, so a lost driver leaves whole partitions, older or newer.
+        """
+        from candlewright.quality.gates import GATES
+        from candlewright.quality.suite import gate
+
+        checks = GATES.get(name, []) if checks is None else checks
+        sort = [column, *order]
+        spread = drop_audit_columns(df).repartitionByRange(*sort).sortWithinPartitions(*sort)
+        written, staged = self.aside(spread, name, [column])
+        if checks:
+            try:
+                gate(written.drop(column), checks, name)
+            except Exception:
+                delete(self.spark, staged)
+                raise
+        if self.partitions(name, column):
+            swap_partitions(self.spark, staged, self.path(name))
+        else:
+            if not partition_values(self.spark, staged, column):  # no rows at all: a file that holds the schema
+                delete(self.spark, staged)
+                df.limit(0).write.parquet(staged)
+            swap_in(self.spark, staged, self.path(name))
+        return self.read(name)
+
     def publish(self, df: DataFrame, name: str, checks=None) -> DataFrame:
         """Write aside, check what was written, then swap it in: a failing table changes nothing."""
         from candlewright.quality.gates import GATES

@@ -11,7 +11,7 @@ import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -195,12 +195,31 @@ def _slim(candles: DataFrame, cfg: AlertConfig, warm: bool) -> DataFrame:
     )
 
 
+#: How far a candle may be ahead of the moment it was received; below ``LATEST``, so that none makes true candles late.
+AHEAD = "1 day"
+
+
+def is_ahead(tolerance: str = AHEAD) -> Column:
+    """A candle dated later than it was received (or than now, where that isn't known), beyond the tolerance.
+
+    One such candle would move the watermark of all symbols on, and their true candles would be late from then on.
+    """
+    received = F.coalesce(F.col("received_at").cast("timestamp"), F.current_timestamp())
+    return F.coalesce(F.col("candle_time").cast("timestamp") > received + F.expr(f"interval {tolerance}"), F.lit(False))
+
+
+def set_aside(candles: DataFrame, tolerance: str = AHEAD) -> DataFrame:
+    """The candles that ``detect_alerts`` doesn't take because they are ahead of time, for a table of their own."""
+    return candles.where(is_ahead(tolerance))
+
+
 def detect_alerts(
     candles: DataFrame,
     cfg: AlertConfig = AlertConfig(),
     rules: Sequence[Callable[[AlertConfig], Rule]] = (combined_rule,),
     warm_up: DataFrame | None = None,
     idle_hours: float = 48.0,
+    ahead: str = AHEAD,
 ) -> DataFrame:
     """Alerts of the given rules over a stream of (possibly revised) candles.
 
@@ -208,10 +227,11 @@ def detect_alerts(
     day of the candle table, say): they fill sessions and buffers and raise nothing. Read it in one batch, so that it
     comes with, or before, the first new candles. A symbol without candles for ``idle_hours`` of candle time loses its
     state; candles older than ``LATEST`` before the newest of an earlier batch belong to expired sessions and are skipped.
+    Candles ``ahead`` of the moment they were received are left out before the watermark sees them (``set_aside``).
     """
-    slim = _slim(candles, cfg, False)
+    slim = _slim(candles.where(~is_ahead(ahead)), cfg, False)
     if warm_up is not None:
-        slim = slim.unionByName(_slim(warm_up, cfg, True))
+        slim = slim.unionByName(_slim(warm_up.where(~is_ahead(ahead)), cfg, True))
     raised = slim.withWatermark("candle_time", LATEST).groupBy("symbol").applyInPandasWithState(
         _on_candles(cfg, [rule(cfg).name for rule in rules], idle_hours), _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )

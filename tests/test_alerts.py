@@ -163,3 +163,27 @@ def test_stream_equals_replay_and_restarts_clean(spark, tmp_path, slices):
     got = sorted(map(tuple, spark.read.parquet(f"{out}/alerts_v2").select(*columns).collect()))
     want = sorted(map(tuple, replay_alerts(ST.candle_stream(all_messages.select("value")), cfg).select(*columns).collect()))
     assert got == want and len(got) > 5
+
+
+def test_a_candle_from_the_future_silences_nobody(spark, tmp_path):
+    cfg = R.AlertConfig(sigma_k=1.0, rsi_overbought=55.0, rsi_oversold=45.0, volume_spike=2.0)
+    all_messages = messages(spark).cache()
+    start = datetime(2024, 1, 2, 9)
+    ahead = all_messages.limit(1).select(F.to_json(F.struct(
+        F.lit("2024-01-02T09:00:00").alias("received_at"), F.lit("FPT").alias("symbol"), F.lit("1").alias("resolution"),
+        *[F.lit(50.0).alias(c) for c in ("open", "high", "low", "close")], F.lit(5).alias("volume"), F.lit("STOCK").alias("type"),
+        F.unix_seconds(F.lit(start + timedelta(days=400)).cast("timestamp")).alias("time"))).alias("value"))
+    counts = {}
+    for name, extra in (("with", ahead), ("without", ahead.limit(0))):
+        landing, out, seen = str(tmp_path / name / "in"), str(tmp_path / name / "out"), []
+        for i in range(3):
+            low, high = (start + timedelta(minutes=90 * k) for k in (i, i + 1))
+            part = all_messages.where((F.col("candle_time") >= F.lit(low)) & (F.col("candle_time") < F.lit(high))).select("value")
+            (part.union(extra) if i == 0 else part).coalesce(1).write.mode("append").text(landing)
+            stream = ST.candle_stream(ST.message_lines(spark, landing))
+            detector.sink_alerts(detector.detect_alerts(stream, cfg), out, f"{out}/checkpoint").awaitTermination()
+            seen.append(spark.read.parquet(f"{out}/alerts_v2").count())
+        counts[name] = seen
+    assert counts["with"] == counts["without"] and counts["with"][0] < counts["with"][2]
+    candles = ST.candle_stream(all_messages.select("value").union(ahead))
+    assert detector.set_aside(candles).count() == 1

@@ -11,7 +11,7 @@ from candlewright.functions.text import fixed, round_exact
 from candlewright.operators import indicators as I
 from candlewright.operators.cooldown import apply_cooldown
 from candlewright.operators.quantiles import exact_quantiles
-from candlewright.operators.series import blocks, ema_columns, positions, running_totals
+from candlewright.operators.series import blocks, ema_columns, positions, running_totals, time_bounds, with_range
 
 START = datetime(2020, 1, 1)
 
@@ -221,3 +221,54 @@ def test_exact_rounding_follows_the_binary_value(spark):
         v = r["v"]
         assert r["r2"] == round(v, 2) and r["f0"] == f"{v:.0f}" and r["f1"] == f"{v:.1f}"
         assert r["n2"] == (f"{-v:.2f}" if v > 0 else "0.00")
+
+
+def candles_of_one_hour(spark, n):
+    """All rows belong to one symbol and hour."""
+    i = F.col("id")
+    return spark.range(n).select(
+        F.lit("HOT").alias("symbol"), (F.lit(START) + F.make_dt_interval(secs=(i * 3600 / n).cast("decimal(18,6)"))).cast("timestamp").alias("candle_time"),
+        (F.lit(START) + F.make_dt_interval(secs=(i * 3600 / n).cast("decimal(18,6)"))).cast("timestamp").alias("received_at"),
+        *[(50 + (i * 37 % 101) / 10).alias(c) for c in ("open", "high", "low", "close")], (1 + i * 13 % 97).alias("volume"),
+    )
+
+
+def test_a_hot_symbol_is_cut_where_its_rows_are(spark):
+    n = 40_000
+    candles = candles_of_one_hour(spark, n).repartition(7)
+    bounds = time_bounds(candles, "candle_time", 16)
+    sizes = [r["count"] for r in with_range(candles, "candle_time", bounds).groupBy("symbol", "_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.2 * n / 16
+    got = I.session_vwap(candles, number=True).select("_pos", "volume", "close", "vwap").orderBy("_pos").collect()
+    v = pv = 0.0
+    assert [r["_pos"] for r in got] == list(range(n))
+    for i, r in enumerate(got):
+        assert r["volume"] == 1 + i * 13 % 97
+        v, pv = v + r["volume"], pv + r["volume"] * r["close"]
+        assert near(r["vwap"], pv / v)
+
+
+def test_ranges_of_nothing_and_of_one_moment(spark):
+    candles = candles_of_one_hour(spark, 50)
+    assert time_bounds(candles.limit(0), "candle_time") == [] and I.session_vwap(candles.limit(0)).count() == 0
+    same = candles.withColumn("candle_time", F.lit(START).cast("timestamp"))
+    assert sorted(r["_pos"] for r in I.candle_positions(same).collect()) == list(range(50))
+
+
+def test_a_key_that_never_pauses(spark):
+    """60,000 candidates a second apart and a key with nulls, without any array of a key's times."""
+    long = spark.range(60_000).select(F.lit("A").alias("symbol"), F.lit("x").alias("alert_type"), F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id")).alias("alert_time"))
+    other = spark.range(900).select(F.lit(None).cast("string").alias("symbol"), F.lit("x").alias("alert_type"), F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 7).alias("alert_time"))
+    fired = apply_cooldown(long.union(other))
+    assert "collect_list" not in fired._jdf.queryExecution().toString()
+    got = {}
+    for r in fired.select("symbol", F.unix_seconds("alert_time").alias("t")).collect():
+        got.setdefault(r["symbol"], []).append(r["t"] - 1_600_000_000)
+    assert sorted(got["A"]) == list(range(0, 60_000, 300)) and sorted(got[None]) == fires([i * 7 for i in range(900)], 300)
+
+
+def test_cooldown_of_equal_alerts_and_of_none(spark):
+    rows = [("A", "x", START), ("A", "x", START), ("A", "x", None), ("A", "x", START + timedelta(seconds=10))]
+    df = spark.createDataFrame(rows, "symbol string, alert_type string, alert_time timestamp")
+    assert [r["alert_time"] for r in apply_cooldown(df).collect()] == [START, START]
+    assert apply_cooldown(df.limit(0)).count() == 0

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from candlewright import schemas
 from candlewright.operators import dims, lookups
 from candlewright.operators.sector import sector_daily
-from candlewright.plans import flows
+from candlewright.plans import daily, flows
 from candlewright.plans.serving import Star
 from candlewright.session import ensure_checkpoint_dir
 from candlewright.sources.writers import Store, align_to_schema
@@ -37,6 +37,9 @@ class Stage:
     def _publish(self, name: str, df: DataFrame) -> DataFrame:
         return self.store.publish(df, name)
 
+    def _publish_months(self, name: str, df: DataFrame, key: str) -> DataFrame:
+        return daily.by_month(self.store, df, name, None, key, "date_key")
+
     @cached_property
     def bars(self) -> DataFrame:
         return self._publish("stage_1.fact_market_equity", M.bars(self.spark, self.d))
@@ -87,25 +90,25 @@ class Stage:
 
     @cached_property
     def fact_equity(self) -> DataFrame:
-        return self._publish("master.fact_market_equity", lookups.resolve_fact_keys(self.equity, self.dim_stock, "stock_key"))
+        return self._publish_months("master.fact_market_equity", lookups.resolve_fact_keys(self.equity, self.dim_stock, "stock_key"), "stock_key")
 
     @cached_property
     def fact_signals(self) -> DataFrame:
-        return self._publish("master.fact_stock_signals", lookups.resolve_fact_keys(self.signals, self.dim_stock, "stock_key"))
+        return self._publish_months("master.fact_stock_signals", lookups.resolve_fact_keys(self.signals, self.dim_stock, "stock_key"), "stock_key")
 
     @cached_property
     def fact_index(self) -> DataFrame:
-        return self._publish("master.fact_market_index", lookups.resolve_fact_keys(
-            self.index, self.dim_index, "index_key", dim_natural="index_symbol", on_orphan="keep"))
+        return self._publish_months("master.fact_market_index", lookups.resolve_fact_keys(
+            self.index, self.dim_index, "index_key", dim_natural="index_symbol", on_orphan="keep"), "index_key")
 
     @cached_property
     def fact_index_signals(self) -> DataFrame:
-        return self._publish("master.fact_index_signals", lookups.resolve_fact_keys(
-            self.index_signals, self.dim_index, "index_key", dim_natural="index_symbol", on_orphan="keep"))
+        return self._publish_months("master.fact_index_signals", lookups.resolve_fact_keys(
+            self.index_signals, self.dim_index, "index_key", dim_natural="index_symbol", on_orphan="keep"), "index_key")
 
     @cached_property
     def fact_sector(self) -> DataFrame:
-        return self._publish("master.fact_market_sector", sector_daily(self.fact_equity, self.dim_stock, self.dim_sector))
+        return self._publish_months("master.fact_market_sector", sector_daily(self.fact_equity, self.dim_stock, self.dim_sector), "sector_key")
 
     @cached_property
     def company_stocks(self) -> DataFrame:
