@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.functions.cleanse import require_columns, to_datetime_any, to_double
@@ -48,3 +48,13 @@ def latest_revisions(
         *[F.max_by(v, "received_at").alias(v) for v in values],
         F.max("received_at").alias("received_at"),
     )
+
+
+def last_candles(candles: DataFrame, size: int = 50) -> DataFrame:
+    """The last ``size`` candles of every symbol, each in the revision received last.
+
+    Spark limits a symbol to ``size`` rows in every map task before the shuffle, so a hot symbol isn't sorted in one task.
+    """
+    values = [c for c in candles.columns if c not in ("symbol", "candle_time", "received_at")]
+    newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("candle_time").desc()))
+    return latest_revisions(candles, values).withColumn("_k", newest).where(F.col("_k") <= size).drop("_k")

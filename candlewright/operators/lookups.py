@@ -19,6 +19,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def hot_keys(facts: DataFrame, on: Sequence[str], share: float, most: int = 64) -> list[int]:
+    """Hashes of the keys that hold at least ``share`` of the facts; a sketch of bounded size finds them in one pass.
+
+    Runs a job that reads the key columns. Equal hashes of different keys do no harm: both count as hot.
+    """
+    top = facts.agg(F.expr(f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in on)}), {most}, {64 * most})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [r["item"] for r in top["top"] or [] if r["count"] >= share * top["n"]]
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -28,17 +37,24 @@ def lookup_join(
 ) -> DataFrame:
     """Join facts to a lookup with unique keys, however the keys of the facts are distributed.
 
-    A lookup whose estimated size is under ``broadcast_bytes`` is broadcast. A larger one is
-    replicated over a few salts, so the rows of one hot fact key spread over as many tasks.
+    A lookup whose estimated size is under ``broadcast_bytes`` is broadcast. For a larger one the keys that hold more
+    than their task's share of the facts are found first (``hot_keys``); their rows spread over ``SALTS`` tasks and their
+    rows of the lookup are copied as often. All other rows of the lookup stay single; without a hot key the join is plain.
     """
     on = list(on)
     if estimated_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on, how)
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(facts, on, 1 / max(2, partitions))
+    if not hot:
+        return facts.join(lookup, on, how)
+    kinds = {c: facts.schema[c].dataType for c in on}
+    own, theirs = F.xxhash64(*on), F.xxhash64(*[F.col(c).cast(t) for c, t in kinds.items()])
     # The input partition joins the hash, so that equal copies of one row spread as well.
     mixed = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns])
-    spread = F.pmod(mixed, F.lit(SALTS)).cast("int")
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return facts.withColumn("_salt", spread).join(copies, [*on, "_salt"], how).drop("_salt")
+    salt = F.when(own.isin(hot), F.pmod(mixed, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(theirs.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return facts.withColumn("_salt", salt).join(lookup.withColumn("_salt", F.explode(salts)), [*on, "_salt"], how).drop("_salt")
 
 
 def unique_lookup(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:

@@ -192,7 +192,7 @@ def archive_then_purge(
     """Archive one day of a table partitioned by date, then drop its archived days past the retention."""
     status = {}
     if exists(spark, table_path):
-        table = spark.read.parquet(table_path).drop("date")
+        table = spark.read.parquet(table_path)
         status["archived"] = {r["date"]: r["status"] for r in lifecycle.archive(table, column, archive_root, day).collect()}
         status["purged"] = lifecycle.purge_partitions(spark, table_path, archive_root, today, retention_days)
     return status

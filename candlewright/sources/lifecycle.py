@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.sources.files import delete, exists, partition_values
+from candlewright.sources.files import delete, heal, partition_values, swap_partitions
 
 
 def archived_days(spark, root: str) -> DataFrame:
@@ -31,10 +32,13 @@ def archive_plan(table: DataFrame, column: str, archived: DataFrame, overwrite:
 def archive(table: DataFrame, column: str, root: str, day: str | None = None, overwrite: bool = False) -> DataFrame:
     """Copy whole days to ``date=YYYY-MM-DD`` folders; returns (date, n, status) per day.
 
-    Days archived before are skipped. A single day without rows is reported as empty.
+    Days archived before are skipped. A single day without rows is reported as empty. Of a table partitioned by ``date``
+    a single day opens its own folder only.
     """
     spark = table.sparkSession
     rows = table if day is None else table.where(F.to_date(column) == F.lit(day).cast("date"))
+    if "date" in table.columns:
+        rows = (rows if day is None else rows.where(F.col("date").cast("string") == day)).drop("date")
     archived = archived_days(spark, root)
     plan = archive_plan(rows, column, archived, overwrite)
     dated = rows.where(F.col(column).isNotNull()).withColumn("date", F.date_format(column, "yyyy-MM-dd"))
@@ -44,7 +48,7 @@ def archive(table: DataFrame, column: str, root: str, day: str | None = None, ov
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root)
     if day is None:
         return plan
-    asked = table.agg(F.count(F.lit(1)).alias("_all")).select(F.lit(day).alias("date"))
+    asked = spark.range(1).select(F.lit(day).alias("date"))
     return asked.join(plan, "date", "left").select(
         "date", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("status", F.lit("empty")).alias("status")
     )
@@ -89,5 +93,42 @@ def unexpired(table: DataFrame, column: str, today: date, days: int = 45) -> Dat
     return table.where(F.to_date(column) + F.expr(f"interval {int(days)} days") > F.lit(today))
 
 
-def has_archive(spark, root: str, day: str) -> bool:
-    return exists(spark, f"{root.rstrip('/')}/date={day}")
+def span_of(value: str) -> tuple[date, date]:
+    """First and last day of a partition named by a day or a month."""
+    first = date.fromisoformat(value if len(value) == 10 else f"{value}-01")
+    return first, first if len(value) == 10 else (first.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+
+
+def expire(spark, path: str, column: str, today: date, days: int = 45, partition: str = "date") -> dict[str, str]:
+    """Remove the rows past their time to live from a table partitioned by day or month; status per partition touched.
+
+    Whole expired partitions are dropped by name, unread. The one partition that lies across the limit is written anew
+    without its expired rows and swapped in. Running it again changes nothing; rows without a readable time go with
+    their partition.
+    """
+    heal(spark, path)
+    limit = today - timedelta(days=days)  # the last day that has expired
+    status = {}
+    for value in partition_values(spark, path, partition):
+        try:
+            first, last = span_of(value)
+        except ValueError:
+            continue  # not a day, such as the partition of nulls
+        if last <= limit:
+            delete(spark, f"{path.rstrip('/')}/{partition}={value}")
+            status[value] = "dropped"
+        elif first <= limit:
+            table = spark.read.parquet(path)
+            part = table.where(F.col(partition).cast("string") == value)
+            expired = F.coalesce(F.to_date(column) <= F.lit(limit), F.lit(False))
+            if part.where(expired).isEmpty():
+                continue
+            staged = f"{path.rstrip('/')}__{uuid4().hex}"
+            part.where(~expired).write.partitionBy(partition).parquet(staged)
+            if partition_values(spark, staged, partition):
+                swap_partitions(spark, staged, path)
+            else:
+                delete(spark, staged)
+                delete(spark, f"{path.rstrip('/')}/{partition}={value}")
+            status[value] = "rewritten"
+    return status

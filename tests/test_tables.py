@@ -140,6 +140,63 @@ def test_lookup_join_is_the_same_salted(spark):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+def test_only_hot_keys_are_copied(spark):
+    even = spark.range(4000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("v"))
+    hot = even.union(spark.range(2000).select(F.lit(7).alias("k"), F.col("id").alias("v"))).union(spark.range(9).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v")))
+    dim = spark.range(900).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("d"))
+    assert lookups.hot_keys(even, ["k"], 0.25) == [] and len(lookups.hot_keys(hot, ["k"], 0.25)) == 1
+    plain = lookups.lookup_join(even, dim, ["k"], "left", broadcast_bytes=0)
+    assert "_salt" not in plain._jdf.queryExecution().toString()
+    for how in ("left", "inner"):
+        got = lookups.lookup_join(hot, dim, ["k"], how, broadcast_bytes=0)
+        assert sorted(map(str, got.collect())) == sorted(map(str, lookups.lookup_join(hot, dim, ["k"], how).collect()))
+    salted = lookups.lookup_join(hot, dim, ["k"], "inner", broadcast_bytes=0)
+    assert "_salt" in salted._jdf.queryExecution().toString()
+
+
+def test_a_folder_of_drifting_types(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from datetime import datetime
+
+    moment = datetime(2024, 1, 5, 13, 30)
+    columns = {
+        "day=01/a": {"date": pa.array([date(2024, 1, 5)]), "v": pa.array([1], pa.int32())},
+        "day=01/b": {"date": pa.array(["2024-01-05 10:00:00"]), "v": pa.array([2.5])},
+        "day=02/c": {"date": pa.array([moment], pa.timestamp("ns")), "v": pa.array([3], pa.int64()), "at": pa.array([moment], pa.timestamp("ns"))},
+        "day=02/d": {"date": pa.array([moment], pa.timestamp("us")), "only": pa.array(["x"])},
+        "day=02/e": {"date": pa.array([1704450600000], pa.int64()), "only": pa.array([5])},
+    }
+    for name, cols in columns.items():
+        path = tmp_path / f"{name}.parquet"
+        path.parent.mkdir(exist_ok=True)
+        pq.write_table(pa.table(cols), path)
+    (tmp_path / "day=02/f.parquet").write_bytes(b"broken")
+    (tmp_path / "day=02/notes.txt").write_text("other")
+    got = scan.scan_drifting(spark, str(tmp_path))
+    assert {f.name: f.dataType.simpleString() for f in got.schema}["date"] == "date" and set(got.columns) == {"date", "v", "at", "only", "day"}
+    rows = got.select("date", "v", "only", F.col("at").cast("string").alias("at")).collect()
+    assert {r["date"] for r in rows} == {date(2024, 1, 5)} and len(rows) == 5
+    assert sorted(r["v"] for r in rows if r["v"] is not None) == [1.0, 2.5, 3.0] and sorted(r["only"] for r in rows if r["only"]) == ["5", "x"]
+    assert [r["at"] for r in rows if r["at"]] == ["2024-01-05 13:30:00"]
+    assert scan.scan_drifting(spark, str(tmp_path), "*.none").count() == 0
+
+
+@pytest.mark.parametrize("pattern, partition", [("yyyy-MM-dd", "date"), ("yyyy-MM", "month")])
+def test_expired_rows_leave_the_disk(spark, tmp_path, pattern, partition):
+    import os
+
+    path = str(tmp_path / "t")
+    rows = spark.range(100).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).alias("t"), "id")
+    rows.withColumn(partition, F.date_format("t", pattern)).union(spark.createDataFrame([(None, -1, None)], f"t timestamp, id long, {partition} string")).write.partitionBy(partition).parquet(path)
+    status = lifecycle.expire(spark, path, "t", date(2024, 4, 1), 45, partition)
+    kept = spark.read.parquet(path)
+    # 2024-02-16 is the last day past its time: day 46 from the first of January.
+    assert sorted(r["id"] for r in kept.collect()) == [-1, *range(47, 100)]
+    assert set(status.values()) == ({"dropped"} if partition == "date" else {"dropped", "rewritten"}) and f"{partition}=2024-01-01" not in os.listdir(path)
+    assert lifecycle.expire(spark, path, "t", date(2024, 4, 1), 45, partition) == {}
+
+
 def test_merge_keeps_new_rows_and_padded_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     row = lambda *r: spark.createDataFrame([r], "symbol string, time string, v int")

@@ -1,11 +1,10 @@
 """Bars, aggregates, indicators, labels."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candlewright.operators import indicators as I
 from candlewright.operators import latency as T
-from candlewright.operators.bars import latest_revisions
+from candlewright.operators.bars import last_candles, latest_revisions
 from candlewright.operators.sector import breadth, sector_daily
 from candlewright.plans import flows
 from candlewright.schemas import STOCK_SIGNAL_COLUMNS
@@ -237,9 +236,7 @@ def _(spark, d):
 SELECT symbol, candle_time, close, volume FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY candle_time DESC) AS k FROM latest) WHERE k <= 50""")
 def _(spark, d):
-    latest = latest_revisions(M.revised_candles(spark, d), ("close", "volume"))
-    newest = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("candle_time").desc()))
-    return latest.withColumn("_k", newest).where("_k <= 50").select("symbol", "candle_time", "close", "volume")
+    return last_candles(M.revised_candles(spark, d)).select("symbol", "candle_time", "close", "volume")
 
 
 # labels ---------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from candlewright.operators import dims
 from candlewright.operators.lookups import join_summary
 from candlewright.plans import flows
 from candlewright.sources import lifecycle, scan, stream, writers
+from candlewright.sources.replacing import ReplacingTable, star_table
 from workbench import mapping as M
 from workbench import sqlparts as S
 from workbench.catalog import query, r, rounded, rx
@@ -61,6 +62,18 @@ def _(spark, d):
     ])
 
 
+@query("src_3_drifting_folder", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 3 AS DOUBLE) AS kind,
+CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS note FROM orders""")
+def _(spark, d):
+    """The folder holds files of three types of date and of two number types; it is read by its path alone."""
+    path, orders = fresh(spark), M.table(spark, d, "orders")
+    dates = [F.col("o_orderdate"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.unix_millis(F.col("o_orderdate").cast("timestamp"))]
+    for i, day in enumerate(dates):
+        rows = orders.where(F.col("o_orderkey") % 3 == i).select("o_orderkey", day.alias("date"), F.lit(i).cast("double" if i else "int").alias("kind"), F.col("o_orderpriority").alias("note"))
+        (rows if i == 1 else rows.drop("note")).write.parquet(f"{path}/part{i}")
+    return scan.scan_drifting(spark, path)
+
+
 @query("src_4_projected_distinct", """SELECT DISTINCT o_orderstatus, CASE WHEN k = 0 THEN o_orderpriority END AS o_orderpriority
 FROM orders, (VALUES (0), (1)) t(k)""")
 def _(spark, d):
@@ -214,9 +227,18 @@ def _(spark, d):
     return spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
 
 
-@query("snk_11_archive_one_day", "SELECT '2024-02-09' AS date, 0::BIGINT AS n, 'empty' AS status FROM events LIMIT 1")
+@query("snk_11_archive_one_day", """SELECT k AS run, '2024-01-09' AS date, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-09') AS n,
+CASE WHEN k = 1 THEN 'archived' ELSE 'skipped' END AS status FROM (VALUES (1), (2)) t(k)
+UNION ALL SELECT 3, '2023-12-31', (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = DATE '2023-12-31'), 'empty'""")
 def _(spark, d):
-    return lifecycle.archive(M.candles(spark, d), "candle_time", fresh(spark), day="2024-02-09")
+    """One day of a table by days: archived, then skipped; a day without rows is empty."""
+    table, kept, candles = fresh(spark), fresh(spark), M.candles(spark, d)
+    lifecycle.archive(candles.select("event_id", "candle_time"), "candle_time", table)
+    runs = [lifecycle.archive(spark.read.parquet(table), "candle_time", kept, day=day).withColumn("run", F.lit(i))
+            for i, day in ((1, "2024-01-09"), (3, "2023-12-31"))]
+    done = [spark.createDataFrame(r.collect(), r.schema) for r in runs]
+    again = lifecycle.archive(spark.read.parquet(table), "candle_time", kept, day="2024-01-09").withColumn("run", F.lit(2))
+    return done[0].unionByName(again).unionByName(done[1])
 
 
 def _archived(spark, d):
@@ -250,12 +272,49 @@ def _(spark, d):
     return lifecycle.unexpired(M.candles(spark, d), "candle_time", date(2024, 3, 1)).select("event_id", "candle_time")
 
 
+@query("snk_13_expired_rows", "SELECT event_id, ts AS candle_time FROM events WHERE CAST(ts AS DATE) + 45 > DATE '2024-03-01'")
+def _(spark, d):
+    """Expired days are gone from the table itself; a second run finds nothing to do."""
+    table = fresh(spark)
+    lifecycle.archive(M.candles(spark, d).select("event_id", "candle_time"), "candle_time", table)
+    lifecycle.expire(spark, table, "candle_time", date(2024, 3, 1))
+    if lifecycle.expire(spark, table, "candle_time", date(2024, 3, 1)):
+        raise ValueError("the second run found expired rows")
+    return spark.read.parquet(table).select("event_id", "candle_time")
+
+
 @query("snk_14_latest_per_key", f"""WITH {S.REVISED}
 SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, candle_time ORDER BY received_at DESC) AS k FROM revised) WHERE k = 1""")
 def _(spark, d):
     return writers.latest_per_key(M.revised_candles(spark, d), ["symbol", "candle_time"], "received_at")
 
 
+@query("snk_14_replacing_table", """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderkey <= (SELECT quantile_disc(o_orderkey, 0.01) FROM orders) THEN o_totalprice + 1
+WHEN o_orderkey % 50 = 7 THEN o_totalprice - 1 ELSE o_totalprice END AS o_totalprice FROM orders""")
+def _(spark, d):
+    """Loaded whole, one in fifty keys again, brought together, and one per cent of the keys, in a row, once more."""
+    orders = M.table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_totalprice")
+    table = ReplacingTable(spark, fresh(spark), orders.schema, ["o_orderkey"])
+    moved = lambda rows, by: rows.withColumn("o_totalprice", F.col("o_totalprice") + by)
+    table.replace(orders)
+    table.upsert(moved(orders.where("o_orderkey % 50 = 7"), -1))
+    table.compact()
+    first = orders.agg(F.expr("percentile_disc(0.01) WITHIN GROUP (ORDER BY o_orderkey)")).first()[0]
+    table.upsert(moved(orders.where(F.col("o_orderkey") <= first), 1))
+    return table.read()
+
+
+@query("snk_10_star_bindings", f"""WITH {S.SECTOR} SELECT CAST(sector_key AS INTEGER) AS sector_key, CAST(date_key AS INTEGER) AS date_key, stock_count FROM sector""")
+def _(spark, d):
+    """The sector facts through their own binding: half of the days, then all of them, the later load winning."""
+    facts = stage(spark, d).fact_sector
+    table = star_table(spark, fresh(spark), "fact_market_sector")
+    table.replace(facts.where("date_key % 2 = 0").withColumn("stock_count", F.lit(-1)))
+    table.upsert(facts)
+    table.compact()
+    return table.read().select(F.col("sector_key").cast("int").alias("sector_key"), F.col("date_key").cast("int").alias("date_key"), F.col("stock_count").cast("int").alias("stock_count"))
+
+
 # cleansing ------------------------------------------------------------------------------------
 
 @query("prj_1_symbols", "SELECT DISTINCT upper(c_mktsegment) AS symbol FROM customer")
