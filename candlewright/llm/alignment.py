@@ -20,13 +20,13 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, reduce
+from functools import cached_property, lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -37,7 +37,11 @@ from candlewright.llm.base import saved
 
 CHUNK, WINDOW, FAN = 1 << 15, 1 << 10, 8
 FREQUENT = 1 << 18
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
+#: Segments up to this length go through the faster library for A.
+SHORT = 1000
+#: Segments kept by a worker in each of two generations: those not met for a generation are forgotten.
+REMEMBERED = 100_000
 MARK = "▁"
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -94,78 +98,129 @@ def fragment(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: n
     if not len(at_a):
         return Fragment(n_a=len(a), n_b=len(b), head_a=",".join(a), head_b=",".join(b))
     cuts_a, cuts_b = (at_a + 1).tolist(), (at_b + 1).tolist()
-    groups = [",".join(a[i:j]) + "|" + ",".join(b[k:m]) for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
+    groups = Aligner._named(a, b, cuts_a, cuts_b)
     links = np.stack([ids_a[at_a], ids_b[at_b]], axis=1).astype("<u4").tobytes()
     return Fragment(True, True, len(a), len(b), len(groups), ",".join(a[:cuts_a[0]]), ",".join(b[:cuts_b[0]]), ";".join(groups), ",".join(a[cuts_a[-1]:]), ",".join(b[cuts_b[-1]:]), links)
 
 
 class Aligner:
-    """Both tokenizers, and the segments met before: (ids of A, ids of B, groups, links, number of groups), None where B fails."""
+    """Both tokenizers, and the segments met before: per segment a number, by which its groups, links and counts are kept."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a = S.ByteLevel(path_a, specials_as_text=True)
+        self.path_a, self.fast = path_a, S.as_ranks(path_a)
+        self.bytes_a = [self.fast.decode_single_token_bytes(i) for i in range(self.fast.n_vocab)] if self.fast else self.slow.bytes
+        self.lengths_a = np.fromiter(map(len, self.bytes_a), np.int64, len(self.bytes_a))
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         size = self.b.get_piece_size()
         self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace(MARK, " ").encode() for i in range(size)]
         self.lengths_b = np.fromiter(map(len, self.bytes_b), np.int64, size)
+        self.text_a, self.text_b = list(map(str, range(len(self.bytes_a)))), list(map(str, range(size)))
         if any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(size)):
             raise ValueError("pieces run across word marks: texts can't be cut at them")
-        self.known: dict[str, tuple | None] = {}
-        self.held = 0
+        self.known: dict[str, int] = {}
+        self.groups, self.links, self.counts = [], [], np.zeros((3, 0), np.int32)
+        self._turn()
+
+    def _turn(self) -> None:
+        """Begin a new generation; what is met again comes over from the one before."""
+        self.before = self.known, self.groups, self.links, self.counts
+        self.known: dict[str, int] = {}  # -1: B doesn't give the segment back
+        self.groups: list[str] = []
+        self.links: list[bytes] = []
+        self.counts = np.zeros((3, 1 << 16), np.int32)  # tokens of A, of B, groups
+
+    def _numbers(self, n: int) -> range:
+        """Numbers for so many more segments."""
+        first = len(self.groups)
+        while first + n > self.counts.shape[1]:
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)], axis=1)
+        return range(first, first + n)
+
+    def _recalled(self, found: set[str]) -> None:
+        known, groups, links, counts = self.before
+        again = [s for s in found if s in known]
+        good = [s for s in again if known[s] >= 0]
+        numbers, old = self._numbers(len(good)), [known[s] for s in good]
+        self.counts[:, numbers.start:numbers.stop] = counts[:, old]
+        self.groups += map(groups.__getitem__, old)
+        self.links += map(links.__getitem__, old)
+        self.known.update(dict.fromkeys(again, -1))
+        self.known.update(zip(good, numbers))
+
+    @cached_property
+    def slow(self) -> S.ByteLevel:
+        return S.ByteLevel(self.path_a, specials_as_text=True)
+
+    def encode(self, text: str, longest: int) -> tuple[bytes, np.ndarray, np.ndarray] | None:
+        """Space + text in bytes, and the ids of both; None where B doesn't give it back. ``longest``: of its segments."""
+        whole, ids_b = (" " + text).encode(), self.b.encode(text)
+        if b"".join(map(self.bytes_b.__getitem__, ids_b)) != whole:
+            return None
+        ids_a = self.fast.encode_ordinary(" " + text) if self.fast and longest <= SHORT else self.slow.encode([" " + text])[0]
+        ids_a = np.array(ids_a, np.int64)
+        if self.lengths_a[ids_a].sum() != len(whole):
+            raise ValueError("the byte-level tokens don't add up to the text")
+        return whole, ids_a, np.array(ids_b, np.int64)
 
     def _align(self, run: list[str]) -> None:
-        text = " ".join(run)
-        ids_a, ids_b = np.array(self.a.encode([" " + text])[0], np.int64), np.array(self.b.encode(text), np.int64)
-        whole = (" " + text).encode()
-        if b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != whole or b"".join(map(self.a.bytes.__getitem__, ids_a.tolist())) != whole:
+        encoded = self.encode(" ".join(run), max(map(len, run)))
+        if encoded is None:
             if len(run) == 1:
-                self.known[text] = None
+                self.known[run[0]] = -1
             else:
                 for s in run:
                     self._align([s])
             return
-        lengths_a, lengths_b = self.a.lengths[ids_a], self.lengths_b[ids_b]
-        upto_a, upto_b = S.ends_in(run, lengths_a), S.ends_in(run, lengths_b)
+        whole, ids_a, ids_b = encoded
+        lengths_a, lengths_b = self.lengths_a[ids_a], self.lengths_b[ids_b]
+        upto_a, upto_b = S.ends_in(run, whole, lengths_a), S.ends_in(run, whole, lengths_b)
         _, at_a, at_b = np.intersect1d(np.cumsum(lengths_a), np.cumsum(lengths_b), assume_unique=True, return_indices=True)
         links = np.stack([ids_a[at_a], ids_b[at_b]], axis=1).astype("<u4").tobytes()
-        data_a, data_b = ids_a.astype("<u4").tobytes(), ids_b.astype("<u4").tobytes()
-        a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        cuts_a, cuts_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
-        groups = [",".join(a[i:j]) + "|" + ",".join(b[k:m]) for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
+        a, b = list(map(self.text_a.__getitem__, ids_a.tolist())), list(map(self.text_b.__getitem__, ids_b.tolist()))
+        groups = self._named(a, b, [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()])
         upto_g = np.searchsorted(at_a, upto_a)  # the joint ends a group of both
-        i = k = g = 0
-        for s, j, m, h in zip(run, upto_a.tolist(), upto_b.tolist(), upto_g.tolist()):
-            self.known[s] = data_a[4 * i:4 * j], data_b[4 * k:4 * m], ";".join(groups[g:h]), links[8 * g:8 * h], h - g
-            i, k, g = j, m, h
-
-    def of(self, texts: list[str]) -> list[list[tuple | None]]:
-        """The segments of each text, every one with the space before it."""
-        if self.held > S.REMEMBERED:
-            self.known, self.held = {}, 0
+        numbers = self._numbers(len(run))
+        self.counts[:, numbers.start:numbers.stop] = [np.diff(x, prepend=0) for x in (upto_a, upto_b, upto_g)]
+        self.known.update(zip(run, numbers))
+        g = 0
+        for h in upto_g.tolist():
+            self.groups.append(";".join(groups[g:h]) if h - g > 1 else groups[g])
+            self.links.append(links[8 * g:8 * h])
+            g = h
+
+    @staticmethod
+    def _named(a: list[str], b: list[str], cuts_a: list[int], cuts_b: list[int]) -> list[str]:
+        return [(a[i] if j - i == 1 else ",".join(a[i:j])) + "|" + (b[k] if m - k == 1 else ",".join(b[k:m])) for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
+
+    def of(self, texts: list[str]) -> list[list[int]]:
+        """The numbers of the segments of each text, every one with the space before it."""
+        if len(self.known) > REMEMBERED:
+            self._turn()
         cut = [S.segments(t) for t in texts]
-        for run in S.runs(sorted({s for c in cut for s in c} - self.known.keys())):
+        fresh = set().union(*cut).difference(self.known)
+        self._recalled(fresh)
+        for run in S.runs(fresh.difference(self.known)):
             self._align(run)
-            self.held += 4 * sum(map(len, run)) + 300 * len(run)
         return [list(map(self.known.__getitem__, c)) for c in cut]
 
     def whole(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
         """``closed`` of whole texts."""
         out = []
         for text, found in zip(texts, self.of(texts)):
-            if not text or None in found:
+            if not text or -1 in found:
                 out.append((0, 0, 0, "", b""))
                 continue
-            a, b, groups, links, n = zip(*found)
-            out.append((sum(map(len, a)) // 4, sum(map(len, b)) // 4, sum(n), ";".join(groups), b"".join(links)))
+            counts = self.counts[:, found].sum(axis=1, dtype=np.int64).tolist()
+            out.append((*counts, ";".join(map(self.groups.__getitem__, found)), b"".join(map(self.links.__getitem__, found))))
         return out
 
     def part(self, text: str, low: int, high: int) -> Fragment:
         """The fragment of a byte range of the text, a space before it included."""
-        found = self.of([text])[0]
-        if None in found:
+        encoded = self.encode(text, max(map(len, S.segments(text))))
+        if encoded is None:
             return Fragment(ok=False)
-        ids_a, ids_b = (np.frombuffer(b"".join(x[k] for x in found), "<u4").astype(np.int64) for k in (0, 1))
-        return fragment(ids_a, np.cumsum(self.a.lengths[ids_a]), ids_b, np.cumsum(self.lengths_b[ids_b]), low, high)
+        _, ids_a, ids_b = encoded
+        return fragment(ids_a, np.cumsum(self.lengths_a[ids_a]), ids_b, np.cumsum(self.lengths_b[ids_b]), low, high)
 
 
 @lru_cache(maxsize=2)
@@ -197,8 +252,17 @@ def ranges(text: str, chunk: int | None = None, window: int | None = None) -> It
 # Spark
 
 
-def _batches(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches. Arrow's pool keeps what was freed; it is given back, as it would add up to a third of a worker's memory."""
     for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+            pa.default_memory_pool().release_unused()
+
+
+def _batches(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of the batches of up to 256 rows and about ``BATCH_CHARS`` characters; texts become Python strings part by part."""
+    for batch in _sliced(batches, 256):
         texts, begin, size = [t or "" for t in batch.column(text).to_pylist()], 0, 0
         for i, t in enumerate(texts):
             size += len(t)
@@ -211,9 +275,13 @@ ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, groups string, links
 _KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
 
 
-def _whole(batches, paths: tuple[str, str]):
+def _digested(row: tuple, digest: bool) -> tuple:
+    return (*row[:3], hashlib.sha256(row[3].encode()).hexdigest() if row[3] else "", row[4]) if digest else row
+
+
+def _whole(batches, paths: tuple[str, str], digest: bool):
     for batch, texts in _batches(batches, "text"):
-        columns = zip(*aligner(*paths).whole(texts))
+        columns = zip(*(_digested(x, digest) for x in aligner(*paths).whole(texts)))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, _KINDS)]], ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
 
 
@@ -233,36 +301,43 @@ def _parts(batches, paths: tuple[str, str]):
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("row", "k", "doc_id")] + [pa.array(c, t) for c, t in zip(zip(*made), _FRAGMENT_KINDS)], ["row", "k", "doc_id", *Fragment._fields])
 
 
-def _composed(rows: pd.DataFrame) -> pd.DataFrame:
+def _fragments(rows: pa.RecordBatch | pa.Table) -> Iterator[Fragment]:
+    return (Fragment(*r) for r in zip(*(rows.column(c).to_pylist() for c in Fragment._fields)))
+
+
+def _composed(rows: pa.Table) -> pa.Table:
     """Neighbouring fragments of one text as one."""
-    rows = rows.sort_values("k")
-    made = reduce(compose, (Fragment(*r) for r in rows[list(Fragment._fields)].itertuples(index=False)))
-    ids = rows["doc_id"].iloc[:1].reset_index(drop=True)
-    return pd.concat([pd.DataFrame({"row": rows["row"].iloc[:1].to_numpy(), "k": [rows["k"].iloc[0] // FAN]}), ids, pd.DataFrame([made])], axis=1)
+    rows = rows.sort_by("k")
+    made = reduce(compose, _fragments(rows))
+    first = rows.slice(0, 1)
+    own = [first.column("row"), pa.array([first.column("k")[0].as_py() // FAN]), first.column("doc_id")]
+    return pa.Table.from_arrays(own + [pa.array([x], t) for x, t in zip(made, _FRAGMENT_KINDS)], ["row", "k", "doc_id", *Fragment._fields])
 
 
-def _closed(batches):
-    for batch in batches:
-        fragments = [Fragment(*r) for r in zip(*(batch.column(c).to_pylist() for c in Fragment._fields))]
-        columns = zip(*map(closed, fragments))
+def _closed(batches, digest: bool):
+    for batch in _sliced(batches, 16):
+        columns = zip(*(_digested(x, digest) for x in map(closed, _fragments(batch))))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, _KINDS)]], ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_a, n_b, n_groups, groups ("a1,a2|b1;a3|b2,b3"), and links (pairs of ids, binary)."""
+def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_a, n_b, n_groups, groups ("a1,a2|b1;a3|b2,b3"), and links (pairs of ids, binary).
+
+    With ``digest`` groups is the SHA-256 of that text, or "" where there is none, made where the text is made.
+    """
     paths = path_a, path_b
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     long = F.coalesce(F.length("text") > CHUNK, F.lit(False))
-    short = rows.where(~long).mapInArrow(lambda b: _whole(b, paths), ALIGNED)
+    short = rows.where(~long).mapInArrow(lambda b: _whole(b, paths, digest), ALIGNED)
     parts = rows.where(long).withColumn("row", F.monotonically_increasing_id()).mapInArrow(_cut, "row long, k long, doc_id long, part string, low long, high long")
     # Written once: from here on a row's number stands, and its ranges lie in any task.
     spread = saved(parts.repartition("row", "k"), "alignment-ranges")
-    fragments = saved(spread.mapInArrow(lambda b: _parts(b, paths), f"row long, k long, doc_id long, {FIELDS}"), "alignment-fragments")
-    most = fragments.agg(F.max("k")).first()[0] or 0
+    fragments = spread.mapInArrow(lambda b: _parts(b, paths), f"row long, k long, doc_id long, {FIELDS}")
+    most = spread.agg(F.max("k")).first()[0] or 0
     while most > 0:
-        fragments = fragments.groupBy("row", F.expr(f"k div {FAN}").alias("up")).applyInPandas(_composed, fragments.schema)
+        fragments = fragments.groupBy("row", F.expr(f"k div {FAN}").alias("up")).applyInArrow(_composed, fragments.schema)
         most //= FAN
-    return short.unionByName(fragments.mapInArrow(_closed, ALIGNED))
+    return short.unionByName(fragments.mapInArrow(lambda b: _closed(b, digest), ALIGNED))
 
 
 def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -273,7 +348,8 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pairs(batches):
-    for batch in batches:
+    aligner.cache_clear()  # a worker of the stage before doesn't need its memory of segments any more
+    for batch in _sliced(batches, 1000):
         codes, n = np.unique(_codes(batch.column("links"))[0], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], ["pair", "n"])
 
@@ -286,19 +362,21 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     return saved(counted.withColumn("b", b).join(top, "b").select("pair", "n", (F.col("n") == F.col("top")).alias("best")), "alignment-pairs")
 
 
-def _frequent(pairs: DataFrame) -> pd.DataFrame:
+def _frequent(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The pairs above the least power of two that not more than ``FREQUENT`` pairs reach."""
     sizes = {r[0]: r[1] for r in pairs.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).count().collect()}
     power, total = 63, 0
     while power > 0 and total + sizes.get(power - 1, 0) <= FREQUENT:
         power -= 1
         total += sizes.get(power, 0)
-    return pairs.where(F.col("n") >= 2**power).toPandas().sort_values("pair")
+    common = pairs.where(F.col("n") >= 2**power).select("pair", "n", F.col("best").cast("long")).toArrow().sort_by("pair")
+    return tuple(common.column(i).to_numpy() for i in range(3))
 
 
 def _looked_up(batches, shared, others: list[str]):
     codes, n, best = shared.value
-    for batch in batches:
+    aligner.cache_clear()
+    for batch in _sliced(batches, 1000):
         found, sizes = _codes(batch.column("links"))
         at = np.minimum(np.searchsorted(codes, found), max(len(codes) - 1, 0))
         hit = codes[at] == found if len(codes) else np.zeros(len(found), bool)
@@ -312,8 +390,7 @@ def _looked_up(batches, shared, others: list[str]):
 def linked(rows: DataFrame) -> DataFrame:
     """``rows`` with n_links, count_sum (corpus-wide counts of the pairs of its links) and n_best in the place of links. ``rows`` should be a written table."""
     pairs = pair_counts(rows)
-    common = _frequent(pairs)
-    shared = rows.sparkSession.sparkContext.broadcast((common["pair"].to_numpy(), common["n"].to_numpy(), common["best"].to_numpy(np.int64)))
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(pairs))
     others = [c for c in rows.columns if c != "links"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "links")
     known = rows.mapInArrow(lambda b: _looked_up(b, shared, others), f"{fields}, n_links long, _sum long, _best long, _rare array<long>")

@@ -101,9 +101,8 @@ def op12_token_store(spark: SparkSession, d: str) -> DataFrame:
 
 def op13_alignment(spark: SparkSession, d: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    rows = alignment.aligned(table(spark, d, "documents"), *paths)
-    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
-    return alignment.linked(saved(rows.withColumn("groups_sha256", digest).drop("groups"), "alignment"))
+    rows = alignment.aligned(table(spark, d, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+    return alignment.linked(saved(rows, "alignment"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_url_filter, op3_license_scan, op4_decontamination, op5_line_dedup, op6_sentencepiece, op7_secret_scan, op8_near_dedup, op9_lm_score, op10_quality_rules, op11_merkle, op12_token_store, op13_alignment)}

@@ -8,12 +8,17 @@ not be encoded again. Segments are kept with their leading space left out; ``REM
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
 
 import numpy as np
+import tiktoken
 from tokenizers import Tokenizer
 
+# The first cut of byte-level tokenizer files, and the pattern behind its use_regex.
+FIRST_CUT = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of segments that are kept, with 60 more for each; beyond it the memory begins anew.
 REMEMBERED = 60_000_000
 #: Segments joined for one call of an encoder.
@@ -76,3 +81,21 @@ def ends_in(run: list[str], data: bytes, lengths: np.ndarray) -> np.ndarray:
     if len(ends) == 0 or ends[-1] != places[-1] or (ends[upto] != places).any():
         raise ValueError("a token runs across segments")
     return upto + 1
+
+
+def as_ranks(path: str) -> tiktoken.Encoding | None:
+    """The same tokenizer for the faster library, special tokens as plain text; None where its ids aren't its merge order.
+
+    Its time grows with the square of a run without a joint, so it is for segments of bounded length.
+    """
+    with open(path, encoding="utf-8") as opened:
+        stored = json.load(opened)
+    decoded, vocabulary = byte_level(), stored["model"]["vocab"]
+    if stored["normalizer"] is not None or stored["pre_tokenizer"] != FIRST_CUT:
+        return None
+    special = {t["content"] for t in stored["added_tokens"]}
+    ranks = {bytes(decoded[c] for c in text): i for text, i in vocabulary.items() if text not in special}
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in stored["model"]["merges"]]
+    if sorted(ranks.values()) != list(range(len(ranks))) or merged != list(range(256, 256 + len(merged))):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})

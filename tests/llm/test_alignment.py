@@ -114,6 +114,16 @@ def test_fragments_are_a_monoid(f, g, h):
     assert compose(f, Fragment()) == f == compose(Fragment(), f)
 
 
+def test_generations_of_segments(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 40)
+    mine = alignment.Aligner(*PATHS)
+    for i in range(12):
+        texts = [sentence(30, i) + " the same words again ▁ x", sentence(30, i // 3)]
+        for text, got in zip(texts, mine.whole(texts)):
+            assert got[:4] == (*groups(text)[:2], len(groups(text)[2]), text_of(groups(text)[2]))
+    assert len(mine.known) < 200
+
+
 def test_bounds_lie_inside_words():
     parts = list(alignment.ranges(sentence(500, 1), 99, 20))
     made = [alignment.aligner(*PATHS).part(*p) for p in parts]
@@ -133,6 +143,8 @@ def test_query(spark, tmp_path, monkeypatch):
     rows = AWKWARD + [(100 + i, sentence(40, i % 17)) for i in range(60)] + [(200, "<|endoftext|> plain </s> text"), (201, "x" * 70000 + " end")]
     rows += [(300 + i, sentence(9000 * i, i)) for i in range(1, 4)]
     assert query(spark, tmp_path, documents(spark, rows)) == expected(rows)
+    texts = {r["doc_id"]: r["groups"] for r in alignment.aligned(documents(spark, rows[-4:]), *PATHS).collect()}
+    assert texts == {r[0]: text_of(groups(r[1])[2]) for r in rows[-4:]}
 
 
 def test_no_rows(spark, tmp_path):
