@@ -30,6 +30,7 @@ class Measure:
     keys: tuple[str, ...] | None = None  # value counts of these columns
     source: DataFrame | None = None  # another reduced frame
     bad: Column | None = field(default=None)  # predicate of unexpected rows
+    rows: Callable[[DataFrame], DataFrame] | None = None  # unexpected rows, where no predicate of a row finds them
 
 
 def need(config: Config, *keys: str) -> list[Any]:
@@ -106,11 +107,13 @@ def fact(column: str, success: bool, observed: float | None = None) -> list[Meas
         F.lit(bool(success)), get("n"), observed=None if observed is None else F.lit(float(observed))))]
 
 
-def counts_measure(df: DataFrame, config: Config, aggregates: Callable[[Column], dict[str, Column]], judge: Judge) -> list[Measure]:
+def counts_measure(
+    df: DataFrame, config: Config, aggregates: Callable[[Column], dict[str, Column]], judge: Judge, rows: Callable[[DataFrame], DataFrame] | None = None
+) -> list[Measure]:
     """Over value counts: rows (value, _n), the null value included."""
     (column,) = need(config, "column")
     present(df, column)
-    return [Measure(column, {"n": F.sum("_n"), **aggregates(F.col(column))}, judge, keys=(column,))]
+    return [Measure(column, {"n": F.sum("_n"), **aggregates(F.col(column))}, judge, keys=(column,), rows=rows)]
 
 
 # completeness ---------------------------------------------------------------------------------
@@ -191,6 +194,7 @@ def group_consistency(df, config):
         f"{group},{value}",
         {"n": F.sum("_n"), "bad": F.coalesce(F.sum(F.when(mixed, F.col("_n"))), F.lit(0)), "groups": F.count_if(mixed)},
         lambda get: verdict(get("groups") == 0, get("n"), get("bad"), get("groups")), source=per_group,
+        rows=lambda rows: inconsistent_rows(rows, group, value),
     )]
 
 
@@ -299,12 +303,13 @@ def column_value_zscores_to_be_less_than(df, config):
     column, threshold = need(config, "column", "threshold")
     present(df, column)
     c = F.col(column)
-    mean, spread = df.agg(F.avg(column)).scalar(), df.agg(F.stddev_samp(column)).scalar()
-    z = F.try_divide(c - mean, spread)
+    # Both moments from one pass over the column; the second pass counts.
+    moments = df.agg(F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("spread"))).scalar()
+    z = F.try_divide(c - moments["mean"], moments["spread"])
     size = F.abs(z) if config.get("double_sided", True) else z
-    scored = df.select(c.isNull().alias("_null"), (~(size < F.lit(float(threshold)))).alias("_bad"))
+    bad = ~(size < F.lit(float(threshold)))
     measure = rows_measure(column, F.col("_bad"), F.col("_null"), config.get("mostly", 1.0))
-    measure.source, measure.bad = scored, None
+    measure.source, measure.bad = df.select(c.isNull().alias("_null"), bad.alias("_bad")), c.isNotNull() & F.coalesce(bad, F.lit(True))
     return [measure]
 
 
@@ -468,6 +473,7 @@ def column_values_unique(df, config):
         lambda c: {"filled": F.coalesce(F.sum(F.when(c.isNotNull(), F.col("_n"))), F.lit(0)),
                    "bad": F.coalesce(F.sum(F.when(c.isNotNull() & (F.col("_n") > 1), F.col("_n"))), F.lit(0))},
         lambda get: verdict(get("bad") == 0, get("n"), get("bad"), considered=get("filled")),
+        lambda rows: repeated_rows(rows.where(F.col(config["column"]).isNotNull()), [config["column"]]),
     )
 
 
@@ -478,7 +484,7 @@ def compound_columns_unique(df, config):
     return [Measure(
         ",".join(columns),
         {"n": F.sum("_n"), "bad": F.coalesce(F.sum(F.when((F.col("_n") > 1) & ~skip, F.col("_n"))), F.lit(0))},
-        lambda get: verdict(get("bad") == 0, get("n"), get("bad")), keys=tuple(columns),
+        lambda get: verdict(get("bad") == 0, get("n"), get("bad")), keys=tuple(columns), rows=lambda rows: repeated_rows(rows.where(~skip), columns),
     )]
 
 
@@ -492,7 +498,7 @@ def repeated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.join(twice.drop("_n").withColumnsRenamed(renamed), condition, "left_semi")
 
 
-def _distinct_sets(df, config, ok):
+def _distinct_sets(df, config, ok, rows=None):
     (values,) = need(config, "value_set")
     wanted = list(dict.fromkeys(values))
 
@@ -502,15 +508,19 @@ def _distinct_sets(df, config, ok):
 
     return counts_measure(df, config, lambda c: {
         "inside": F.count_if(c.isNotNull() & c.isin(*wanted)), "outside": F.count_if(c.isNotNull() & ~c.isin(*wanted)),
-    }, judge)
+    }, judge, rows)
+
+
+def _outside(config):
+    return lambda rows: rows.where(F.col(config["column"]).isNotNull() & ~F.col(config["column"]).isin(*config["value_set"]))
 
 
 def column_distinct_values_in_set(df, config):
-    return _distinct_sets(df, config, lambda outside, missing: outside == 0)
+    return _distinct_sets(df, config, lambda outside, missing: outside == 0, _outside(config))
 
 
 def column_distinct_values_to_equal_set(df, config):
-    return _distinct_sets(df, config, lambda outside, missing: (outside == 0) & (missing == 0))
+    return _distinct_sets(df, config, lambda outside, missing: (outside == 0) & (missing == 0), _outside(config))
 
 
 def column_distinct_values_contain_set(df, config):

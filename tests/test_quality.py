@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from candlewright.quality.checks import CHECKS
-from candlewright.quality.suite import QualityError, check, gate, report, unexpected_rows
+from candlewright.quality.suite import report_with_samples, QualityError, check, gate, report, unexpected_rows
 
 CASES = {
     "column_not_null": ({"column": "id"}, {"column": "gap"}),
@@ -108,3 +108,28 @@ def test_empty_frame_passes_row_checks(frame):
 def test_samples_of_unexpected_rows(frame):
     assert [r["id"] for r in unexpected_rows(frame, "column_not_null", column="gap").collect()] == [3]
     assert unexpected_rows(frame, "column_values_unique", column="grp").count() == 4
+
+
+def test_failed_checks_carry_rows(spark):
+    import json
+
+    rows = [(i, "a" if i < 40 else "b", 1.0 + i % 3, "x" if i != 7 else "y") for i in range(60)] + [(60, "c", 999.0, None), (60, None, None, None)]
+    df = spark.createDataFrame(rows, "id int, grp string, v double, same string")
+    checks = [
+        ("column_values_between", {"column": "id", "min_value": 0, "max_value": 9}), ("column_value_zscores_to_be_less_than", {"column": "v", "threshold": 5.0}),
+        ("group_consistency", {"group_col": "grp", "value_col": "same"}), ("column_values_unique", {"column": "id"}),
+        ("column_distinct_values_in_set", {"column": "grp", "value_set": ["a", "b"]}), ("column_mean_between", {"column": "v", "max_value": 1.0}),
+        ("column_not_null", {"column": "id"}),
+    ]
+    got = {r["check"]: (r["success"], [json.loads(x) for x in r["sample"]]) for r in report_with_samples(df, checks).collect()}
+    assert [c for c, (ok, _) in got.items() if ok] == ["column_not_null"] and got["column_not_null"][1] == []
+    assert len(got["column_values_between"][1]) == 20 and all(r["id"] > 9 for r in got["column_values_between"][1])
+    assert [r["v"] for r in got["column_value_zscores_to_be_less_than"][1]] == [999.0]
+    assert len(got["group_consistency"][1]) == 20 and {r["grp"] for r in got["group_consistency"][1]} == {"a"}
+    assert [r["id"] for r in got["column_values_unique"][1]] == [60, 60] and [r["grp"] for r in got["column_distinct_values_in_set"][1]] == ["c"]
+    assert got["column_mean_between"][1] == []
+    with pytest.raises(QualityError) as error:
+        gate(df, checks)
+    assert len(error.value.samples[("column_values_between", "id")]) == 20 and '"v":999.0' in str(error.value)
+    assert unexpected_rows(df, "column_value_zscores_to_be_less_than", column="v", threshold=5.0).count() == 1
+    assert unexpected_rows(df, "group_consistency", group_col="grp", value_col="same").count() == 20
