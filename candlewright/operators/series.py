@@ -170,7 +170,8 @@ def running_totals(
     """Running sums from the start of each (key, within) to the current row, in two levels.
 
     Only the rows of one bucket meet in a task; the sums of earlier buckets are added from one small
-    row per bucket. ``number`` also adds ``_pos``, the position inside ``key``, from the same pass.
+    row per bucket. ``number`` also adds ``_pos``, the position inside ``key``, from the same pass. Like ``bucket``, the
+    columns of ``within`` don't decrease in ``order``.
     """
     group = [*key, *within, "_bucket"]
     tagged = df.withColumn("_bucket", bucket)
@@ -179,7 +180,8 @@ def running_totals(
     )
 
     def before(scope: Sequence[str], column: str) -> Column:
-        w = Window.partitionBy(*scope).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        # A bucket may lie across two parts of ``within``; these follow each other in time.
+        w = Window.partitionBy(*scope).orderBy("_bucket", *within).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(column).over(w), F.lit(0))
 
     base = sums.select(

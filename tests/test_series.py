@@ -248,6 +248,23 @@ def test_a_hot_symbol_is_cut_where_its_rows_are(spark):
         assert near(r["vwap"], pv / v)
 
 
+def test_a_range_across_two_days(spark):
+    """Few ranges over many days: positions go on, sums begin anew every day."""
+    rows = [("A" if i % 3 else "B", START + timedelta(hours=i), 10.0, 10.0, 10.0, 10.0 + i % 7, 1 + i % 5) for i in range(300)]
+    candles = spark.createDataFrame(rows, "symbol string, candle_time timestamp, open double, high double, low double, close double, volume bigint").repartition(5)
+    for n in (2, 5):
+        got = I.session_vwap(candles, number=True, bounds=time_bounds(candles, "candle_time", n)).collect()
+        for s in "AB":
+            mine = sorted((r for r in got if r["symbol"] == s), key=lambda r: r["candle_time"])
+            assert [r["_pos"] for r in mine] == list(range(len(mine)))
+            v = pv = 0.0
+            for a, r in zip([None, *mine], mine):
+                if a is None or a["candle_time"].date() != r["candle_time"].date():
+                    v = pv = 0.0
+                v, pv = v + r["volume"], pv + r["volume"] * (20.0 + r["close"]) / 3
+                assert near(r["vwap"], pv / v)
+
+
 def test_ranges_of_nothing_and_of_one_moment(spark):
     candles = candles_of_one_hour(spark, 50)
     assert time_bounds(candles.limit(0), "candle_time") == [] and I.session_vwap(candles.limit(0)).count() == 0
