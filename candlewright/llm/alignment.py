@@ -37,17 +37,19 @@ from candlewright.llm.base import saved
 
 CHUNK, WINDOW, FAN = 1 << 15, 1 << 10, 8
 FREQUENT = 1 << 18
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 #: Segments up to this length go through the faster library for A.
 SHORT = 1000
 #: Segments kept by a worker in each of two generations: those not met for a generation are forgotten.
-REMEMBERED = 100_000
+REMEMBERED = 70_000
 MARK = "▁"
+#: Links are pairs of unsigned 16-bit ids; vocabularies up to 65,536 ids.
+LINK = np.dtype("<u2")
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Fragment(NamedTuple):
-    """Ids are decimal and joined by commas; ``groups`` as in the result; ``links`` are pairs of unsigned 32-bit ids."""
+    """Ids are decimal and joined by commas; ``groups`` as in the result; ``links`` are pairs of ids."""
 
     ok: bool = True
     matched: bool = False  # a common end lies in the range; without one all tokens are in the head
@@ -99,7 +101,7 @@ def fragment(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: n
         return Fragment(n_a=len(a), n_b=len(b), head_a=",".join(a), head_b=",".join(b))
     cuts_a, cuts_b = (at_a + 1).tolist(), (at_b + 1).tolist()
     groups = Aligner._named(a, b, cuts_a, cuts_b)
-    links = np.stack([ids_a[at_a], ids_b[at_b]], axis=1).astype("<u4").tobytes()
+    links = np.stack([ids_a[at_a], ids_b[at_b]], axis=1).astype(LINK).tobytes()
     return Fragment(True, True, len(a), len(b), len(groups), ",".join(a[:cuts_a[0]]), ",".join(b[:cuts_b[0]]), ";".join(groups), ",".join(a[cuts_a[-1]:]), ",".join(b[cuts_b[-1]:]), links)
 
 
@@ -117,6 +119,8 @@ class Aligner:
         self.text_a, self.text_b = list(map(str, range(len(self.bytes_a)))), list(map(str, range(size)))
         if any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(size)):
             raise ValueError("pieces run across word marks: texts can't be cut at them")
+        if max(size, len(self.bytes_a)) > 1 << 16:
+            raise ValueError("a vocabulary has more than 65,536 ids")
         self.known: dict[str, int] = {}
         self.groups, self.links, self.counts = [], [], np.zeros((3, 0), np.int32)
         self._turn()
@@ -175,7 +179,7 @@ class Aligner:
         lengths_a, lengths_b = self.lengths_a[ids_a], self.lengths_b[ids_b]
         upto_a, upto_b = S.ends_in(run, whole, lengths_a), S.ends_in(run, whole, lengths_b)
         _, at_a, at_b = np.intersect1d(np.cumsum(lengths_a), np.cumsum(lengths_b), assume_unique=True, return_indices=True)
-        links = np.stack([ids_a[at_a], ids_b[at_b]], axis=1).astype("<u4").tobytes()
+        links = np.stack([ids_a[at_a], ids_b[at_b]], axis=1).astype(LINK).tobytes()
         a, b = list(map(self.text_a.__getitem__, ids_a.tolist())), list(map(self.text_b.__getitem__, ids_b.tolist()))
         groups = self._named(a, b, [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()])
         upto_g = np.searchsorted(at_a, upto_a)  # the joint ends a group of both
@@ -185,7 +189,7 @@ class Aligner:
         g = 0
         for h in upto_g.tolist():
             self.groups.append(";".join(groups[g:h]) if h - g > 1 else groups[g])
-            self.links.append(links[8 * g:8 * h])
+            self.links.append(links[4 * g:4 * h])
             g = h
 
     @staticmethod
@@ -343,8 +347,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) ->
 def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A code per link, a in the upper half, and the number of links per row."""
     data = [x or b"" for x in column.to_pylist()]
-    pairs = np.frombuffer(b"".join(data), "<u4").astype(np.int64).reshape(-1, 2)
-    return pairs[:, 0] << 32 | pairs[:, 1], np.fromiter(map(len, data), np.int64, len(data)) // 8
+    pairs = np.frombuffer(b"".join(data), LINK).astype(np.int64).reshape(-1, 2)
+    return pairs[:, 0] << 32 | pairs[:, 1], np.fromiter(map(len, data), np.int64, len(data)) // 4
 
 
 def _pairs(batches):

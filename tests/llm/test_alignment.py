@@ -85,7 +85,7 @@ TEXTS = st.lists(SIGNS, max_size=40).map("".join)
 def test_whole_texts(texts):
     for text, (n_a, n_b, n, found, links) in zip(texts, alignment.aligner(*PATHS).whole(texts)):
         assert (n_a, n_b, n, found) == (*groups(text)[:2], len(groups(text)[2]), text_of(groups(text)[2]))
-        assert len(links) == 8 * n
+        assert len(links) == 4 * n
 
 
 @settings(max_examples=300, deadline=None)
