@@ -27,8 +27,9 @@ def ascii_lower(c: Column) -> Column:
 
 
 def row_key(*columns: str) -> Column:
-    """Tells rows apart that share an id but not their content."""
-    return F.xxhash64(*columns)
+    """128 bits of the content of some columns: tells rows apart that share an id, or have none. Null and empty differ."""
+    value = lambda c: F.col(c).cast("string")
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.octet_length(value(c)).cast("string"), F.lit(":"), value(c)), F.lit("-")) for c in columns]))
 
 
 _27, _30, _31 = np.uint64(27), np.uint64(30), np.uint64(31)

@@ -17,7 +17,8 @@ From there on an alignment also has to score as much as ``LEAST_WORDS`` words, o
 three words makes a leak.
 
 Defined cases: null or empty texts hold no item; items without words match nothing; equal items each get their rows; repeated documents give repeated rows; a document without id keeps a null id; empty tables give
-an empty result; other columns are not read.
+an empty result; other columns are not read. ``clean_documents`` judges rows by id and text: rows that share an id, or
+have none, each go by their own text.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewright.llm.base import saved
+from candlewright.llm.base import row_key, saved
 
 MIN_WORDS, LEAST_WORDS = 5, 6
 MATCH, MISS, GAP = 2, -1, 1
@@ -191,30 +192,35 @@ class Block:
 
 
 LEAKS = "doc_id long, item_id long, similarity double, first_word int, end_word int"
+KEYED = f"{LEAKS}, row string"
 
 
 def _leaks(batches, block, threshold: float):
     block = block.value
     for batch in batches:
         rows = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc, text, key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             words = words_of(text.as_py())
             coded = block.coded(words)
-            rows += [(doc, block.ids[k], 1.0, at, at + len(block.words[k])) for k, at in block.alone(coded, text.as_py() or "")]
+            rows += [(doc, block.ids[k], 1.0, at, at + len(block.words[k]), key) for k, at in block.alone(coded, text.as_py() or "")]
             for k, spans in block.windows(coded).items():
                 item = block.words[k]
                 best = max((align(item, coded[a:b], block.least[k]) + (a,) for a, b in spans), key=lambda x: x[0])
                 similarity = best[0] / (MATCH * len(item))
                 if similarity >= threshold and best[0] >= block.least[k]:
-                    rows.append((doc, block.ids[k], similarity, best[3] + best[1], best[3] + best[2]))
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [f.split()[0] for f in LEAKS.split(", ")])
+                    rows.append((doc, block.ids[k], similarity, best[3] + best[1], best[3] + best[2], key))
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [f.split()[0] for f in KEYED.split(", ")])
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, end_word) of every copy, the words counted as ``words_of`` cuts them."""
+    return _found(documents, benchmark, threshold, F.lit(None).cast("string")).drop("row")
+
+
+def _found(documents: DataFrame, benchmark: DataFrame, threshold: float, key: Column) -> DataFrame:
     spark = documents.sparkSession
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", key.alias("row"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
     blocks = max(1, ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / BLOCK_CHARS))
     found = None
@@ -222,12 +228,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about BLOCK_CHARS characters
         block = sorted(((r["item_id"], ws) for r in rows if (ws := words_of(r["text"]))), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         ready = spark.sparkContext.broadcast(Block(block, threshold))
-        part = saved(texts.mapInArrow(lambda x, s=ready: _leaks(x, s, threshold), LEAKS), "leaks")
+        part = saved(texts.mapInArrow(lambda x, s=ready: _leaks(x, s, threshold), KEYED), "leaks")
         found = part if found is None else found.unionAll(part)
     return found
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, with all their columns, that hold no copy of an item."""
-    bad = leaks(documents, benchmark, threshold).select(F.col("doc_id").alias("__leaked")).distinct()
-    return documents.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__leaked")), "left_anti")
+    """The documents, with all their columns, that hold no copy of an item; rows of one id, or of none, go one by one."""
+    bad = _found(documents, benchmark, threshold, row_key("doc_id", "text")).select(F.col("row").alias("__leaked")).distinct()
+    return documents.withColumn("__row", row_key("doc_id", "text")).join(bad, F.col("__row") == F.col("__leaked"), "left_anti").drop("__row")

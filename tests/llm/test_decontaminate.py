@@ -133,3 +133,13 @@ def test_short_and_unspaced_items(spark):
     rows = [(100 * i + j, t) for i, (_, yes, no) in cases.items() for j, t in enumerate(yes + [None, ""] + no)]
     got = {(r["doc_id"], r["item_id"]) for r in D.leaks(documents(spark, rows), bench).collect()}
     assert got == {(100 * i + j, i) for i, (_, yes, _) in cases.items() for j in range(len(yes))}
+
+
+def test_clean_rows_keep_their_ids(spark):
+    """A leak takes its own row only, not others without an id or with the same one."""
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, item), (None, "a clean text"), (None, None), (5, f"so {item} then"), (5, "another clean text"), (6, "")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = D.clean_documents(documents(spark, rows), bench)
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == sorted((str(a), str(b)) for a, b in rows if item not in (b or ""))
+    assert kept.columns == documents(spark, rows).columns
