@@ -1,9 +1,10 @@
 """Quality rules with thresholds learned per language and source (operator 10, DataFrame functions only).
 
 Every document gets a few integer figures. Their distribution per (language, source) is kept in a mergeable
-quantile sketch: counts per bin of fixed width, so partial sketches of any split of the rows add up to the same
-sketch, and the quantile of a rank is off by one bin at most. Thresholds are read from the sketches and joined
-back to the documents.
+quantile sketch: counts per bin, so partial sketches of any split of the rows add up to the same sketch, whatever the
+order. Bins are exact below 2^12; above they keep the 12 leading bits, so a quantile is low by a factor of 2^-11 at
+most, without an upper end: a figure of b bits has at most 2^12 + 2^11 (b - 12) bins. Thresholds are read from the
+sketches and joined back to the documents.
 
 Defined cases: a null text is an empty one (no words, fails the base rule); null language or source is a group of
 its own, shared with the empty string; repeated rows are judged separately and alike; an empty table gives an
@@ -12,24 +13,24 @@ empty result; further columns are ignored by ``judged`` and kept by ``kept_docum
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewright.llm.base import SPACE, row_key, saved
+from candlewright.llm.base import SPACE, saved
 
 WINDOW = 8
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A figure per document as an integer, at most ``top``, and how far from the middle half of its group it may lie."""
+    """A figure per document as an integer, and how far from the middle half of its group it may lie."""
 
     name: str
     figure: str
-    top: int
     least_spread: int
     spreads: int = 3
     low: bool = False
@@ -37,13 +38,13 @@ class Rule:
 
 #: Ratios are in thousandths, word lengths in hundredths of a character.
 RULES = (
-    Rule("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 1000, 20),
-    Rule("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 1000, 150),
-    Rule("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 1000, 90),
-    Rule("stutter", "1000 * n_stutter div greatest(n_words, 1)", 1000, 70),
-    Rule("capitals", "1000 * n_capitals div greatest(word_chars, 1)", 1000, 40),
-    Rule("word_length", "100 * word_chars div greatest(n_words, 1)", 5000, 60, 5),
-    Rule("short_words", "100 * word_chars div greatest(n_words, 1)", 5000, 60, 5, True),
+    Rule("symbols", "1000 * n_symbols div greatest(word_chars, 1)", 20),
+    Rule("dup_lines", "1000 * n_dup_lines div greatest(n_lines, 1)", 150),
+    Rule("repeats", "1000 * n_repeat_words div greatest(n_words, 1)", 90),
+    Rule("stutter", "1000 * n_stutter div greatest(n_words, 1)", 70),
+    Rule("capitals", "1000 * n_capitals div greatest(word_chars, 1)", 40),
+    Rule("word_length", "100 * word_chars div greatest(n_words, 1)", 60, 5),
+    Rule("short_words", "100 * word_chars div greatest(n_words, 1)", 60, 5, True),
 )
 #: A group's thresholds are mixed with those of its language, which count as this many documents.
 PRIOR = 50
@@ -61,11 +62,11 @@ def repeat_words(hashes: Column, sorted_: Column) -> tuple[Column, Column]:
     return positions, covered
 
 
-def figures(documents: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines, n_repeat_words, n_capitals and n_stutter (words like the one before) to ``doc_id``, ``lang``, ``source``, ``key``."""
+def figures(documents: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines, n_repeat_words, n_capitals and n_stutter (words like the one before) to ``doc_id``, ``lang`` and ``source``; __row holds the columns that are ``carried``."""
     at = documents.select(
         "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
-        F.coalesce("text", F.lit("")).alias("text"), row_key("doc_id", "text").alias("key"),
+        F.coalesce("text", F.lit("")).alias("text"), *([F.struct(*carried).alias("__row")] if carried else []),
     )
     at = at.withColumns({
         "words": F.filter(F.split("text", SPACE + "+"), lambda w: w != ""),
@@ -78,7 +79,7 @@ def figures(documents: DataFrame) -> DataFrame:
     windows = F.transform(F.sequence(F.lit(0), F.col("n") - WINDOW), lambda i: F.xxhash64(F.slice("hashed", i + 1, WINDOW)))
     stutter = F.size(F.filter("hashed", lambda h, i: (i > 0) & (F.get(F.col("hashed"), i - 1) == h))).cast("long")
     at = at.select(
-        "doc_id", "lang", "source", "key", "word_chars", stutter.alias("n_stutter"), "n_symbols", "n_capitals", F.col("n").cast("long").alias("n_words"),
+        "doc_id", "lang", "source", *(["__row"] if carried else []), "word_chars", stutter.alias("n_stutter"), "n_symbols", "n_capitals", F.col("n").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("n") >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")).alias("hashes"),
     )
@@ -89,14 +90,20 @@ def figures(documents: DataFrame) -> DataFrame:
     return at.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("hashes", "sorted")
 
 
+def bin_of(figure: Column) -> Column:
+    """The figure with its 12 leading bits, the others zero."""
+    rest = F.greatest(F.length(F.bin(figure)) - 12, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", figure, rest), rest)
+
+
 def sketches(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts per (lang, source, rule, bin); sketches of parts are merged by adding counts."""
-    bins = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.least(F.expr(r.figure), F.lit(r.top)).cast("int").alias("bin")) for r in rules])
+    bins = F.array(*[F.struct(F.lit(r.name).alias("rule"), bin_of(F.expr(r.figure)).alias("bin")) for r in rules])
     return measured.select("lang", "source", F.inline(bins)).groupBy("lang", "source", "rule", "bin").agg(F.count("*").alias("c"))
 
 
 def quartiles(bins: DataFrame, by: list[str]) -> DataFrame:
-    """First and third quartile and the number of documents per group; a group has at most ``top`` + 1 bins."""
+    """First and third quartile and the number of documents per group; a group has some thousand bins at most."""
     merged = bins.groupBy(*by, "rule", "bin").agg(F.sum("c").alias("c"))
     whole = Window.partitionBy(*by, "rule")
     ranked = merged.withColumns({"upto": F.sum("c").over(whole.orderBy("bin")), "n": F.sum("c").over(whole)})
@@ -124,12 +131,12 @@ def thresholds(bins: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return mixed.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == r.name, F.col("bound"))).alias(f"{r.name}_bound") for r in rules])
 
 
-def judged(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Per row of ``documents``: doc_id, key, the figures, base_failed, the names of the adaptive rules it breaks, and kept."""
-    measured = saved(figures(documents), "quality-figures")
+def judged(documents: DataFrame, rules: tuple[Rule, ...] = RULES, carried: Sequence[str] = ()) -> DataFrame:
+    """Per row of ``documents``: doc_id, the figures, base_failed, the names of the adaptive rules it breaks, and kept."""
+    measured = saved(figures(documents, carried), "quality-figures")
     bounds = saved(thresholds(sketches(measured, rules), rules), "quality-bounds")
     broken = F.filter(F.array(*[
-        F.when(F.least(F.expr(r.figure), F.lit(r.top)) < F.col(f"{r.name}_bound") if r.low else F.least(F.expr(r.figure), F.lit(r.top)) > F.col(f"{r.name}_bound"), F.lit(r.name))
+        F.when(F.expr(r.figure) < F.col(f"{r.name}_bound") if r.low else F.expr(r.figure) > F.col(f"{r.name}_bound"), F.lit(r.name))
         for r in rules
     ]), lambda x: x.isNotNull())
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
@@ -139,6 +146,5 @@ def judged(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def kept_documents(documents: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    bad = judged(documents).where(~F.col("kept")).select(F.col("key").alias("__rejected")).distinct()
-    return documents.withColumn("__key", row_key("doc_id", "text")).join(bad, F.col("__key") == F.col("__rejected"), "left_anti").drop("__key")
+    """The documents that pass, with all their columns: these are written beside the figures, no text is shuffled to find its verdict."""
+    return judged(documents, carried=documents.columns).where("kept").select("__row.*")

@@ -2,12 +2,14 @@
 
 SPACES = "'[\\x20\\x09-\\x0D]+'"
 
-#: Names of the rules, their figures, tops, least spreads, spreads and side, as in quality_rules.RULES.
+#: Names of the rules, their figures, least spreads, spreads and side, as in quality_rules.RULES.
 _FIGURES = """
-  SELECT *, least(1000 * n_symbols // greatest(word_chars, 1), 1000) AS symbols, least(1000 * n_dup_lines // greatest(n_lines, 1), 1000) AS dup_lines,
-    least(1000 * n_repeat_words // greatest(n_words, 1), 1000) AS repeats, least(1000 * n_stutter // greatest(n_words, 1), 1000) AS stutter, least(1000 * n_capitals // greatest(word_chars, 1), 1000) AS capitals,
-    least(100 * word_chars // greatest(n_words, 1), 5000) AS word_length, least(100 * word_chars // greatest(n_words, 1), 5000) AS short_words
+  SELECT *, 1000 * n_symbols // greatest(word_chars, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines,
+    1000 * n_repeat_words // greatest(n_words, 1) AS repeats, 1000 * n_stutter // greatest(n_words, 1) AS stutter, 1000 * n_capitals // greatest(word_chars, 1) AS capitals,
+    100 * word_chars // greatest(n_words, 1) AS word_length, 100 * word_chars // greatest(n_words, 1) AS short_words
   FROM counted"""
+#: The 12 leading bits of a figure.
+_BIN = "((fig >> greatest(length(bin(fig)) - 12, 0)) << greatest(length(bin(fig)) - 12, 0))"
 
 OP10 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
@@ -22,14 +24,14 @@ counted AS (SELECT w.rid, doc_id, lang, source, len(words)::BIGINT AS n_words, l
     len([1 FOR x, i IN words IF i > 1 AND words[i - 1] = x])::BIGINT AS n_stutter
   FROM w LEFT JOIN cover USING (rid)),
 figures AS ({_FIGURES}),
-long AS (UNPIVOT figures ON symbols, dup_lines, repeats, stutter, capitals, word_length, short_words INTO NAME rule VALUE bin),
+long AS (UNPIVOT figures ON symbols, dup_lines, repeats, stutter, capitals, word_length, short_words INTO NAME rule VALUE fig),
 params(rule, least_spread, spreads, side) AS (VALUES ('symbols', 20, 3, 1), ('dup_lines', 150, 3, 1), ('repeats', 90, 3, 1), ('stutter', 70, 3, 1), ('capitals', 40, 3, 1), ('word_length', 60, 5, 1), ('short_words', 60, 5, -1)),
-own AS (SELECT lang, source, rule, count(*) AS n, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM long GROUP BY ALL),
-wide AS (SELECT lang, rule, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM long GROUP BY ALL),
+own AS (SELECT lang, source, rule, count(*) AS n, quantile_disc({_BIN}, 0.25) AS q1, quantile_disc({_BIN}, 0.75) AS q3 FROM long GROUP BY ALL),
+wide AS (SELECT lang, rule, quantile_disc({_BIN}, 0.25) AS q1, quantile_disc({_BIN}, 0.75) AS q3 FROM long GROUP BY ALL),
 bounds AS (SELECT own.lang, own.source, rule, side, floor((own.n * (if(side = 1, own.q3, own.q1) + side * spreads * greatest(own.q3 - own.q1, least_spread))
     + 50 * (if(side = 1, wide.q3, wide.q1) + side * spreads * greatest(wide.q3 - wide.q1, least_spread))) / (own.n + 50)) AS bound
   FROM own JOIN wide USING (lang, rule) JOIN params USING (rule)),
-broken AS (SELECT rid, bool_or(if(side = 1, bin > bound, bin < bound)) AS broken FROM long JOIN bounds USING (lang, source, rule) GROUP BY rid)
+broken AS (SELECT rid, bool_or(if(side = 1, fig > bound, fig < bound)) AS broken FROM long JOIN bounds USING (lang, source, rule) GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT broken AS kept
 FROM counted JOIN broken USING (rid)"""

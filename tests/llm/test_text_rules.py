@@ -72,6 +72,18 @@ def test_quality_sketches_merge(spark):
     assert key(whole) == key(halves)
 
 
+def test_quality_has_no_upper_end(spark):
+    """Texts without spaces: a group of long words has its own bound, and words far above it break the rule."""
+    rng = random.Random(7)
+    text = lambda low, high: " ".join("".join(chr(rng.randrange(0x4e00, 0x9000)) for _ in range(rng.randrange(low, high))) for _ in range(30))
+    rows = [(i, text(60, 106), "zh", "web") for i in range(300)] + [(1000 + i, text(800, 880), "zh", "web") for i in range(3)]
+    broken = {r["doc_id"]: r["broken"] for r in quality_rules.judged(documents(spark, rows)).collect()}
+    assert all(("word_length" in b) == (d >= 1000) for d, b in broken.items())
+    values = [0, 1, 4095, 4096, 4097, 8191, 8192, 8195, 10**6, 2**40 + 5]
+    got = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality_rules.bin_of(F.col("v")).alias("b")).collect()
+    assert all(r["b"] <= r["v"] and r["v"] - r["b"] <= r["v"] / 2048 and (r["v"] >= 4096 or r["b"] == r["v"]) for r in got)
+
+
 def test_quality_keeps_columns_and_empty(spark):
     docs = documents(spark, AWKWARD)
     assert quality_rules.kept_documents(docs).columns == docs.columns
