@@ -46,6 +46,38 @@ def test_same_bytes_again(spark, tmp_path):
     assert a == b
 
 
+def test_files_follow_from_the_rows(spark, tmp_path):
+    """Other partitions and settings give the same files; small shards hold ascending ranges of pages, all rows once."""
+    rows = [(i * 10**14 if i % 7 else None, f"u{i}", f"payload {i} " * 12) for i in range(-30, 60)]
+    out, setting = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for n, parts in enumerate((1, 7)):
+        spark.conf.set("spark.sql.shuffle.partitions", str(3 + n))
+        df = spark.createDataFrame([(*r, 9, "f") for r in rows], SCHEMA).repartition(parts)
+        out.append(sorted(map(tuple, warc.write_archive(df, str(tmp_path / str(n)), shard_bytes=1500).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", setting)
+    strip = lambda files: [(f[0], *f[2:]) for f in files]
+    assert strip(out[0]) == strip(out[1]) and len(out[0]) > 5 and sum(f[2] for f in out[0]) == len(rows)
+    spans = [f[5:] for f in out[0] if f[5] is not None]
+    assert spans == sorted(spans) and all(a <= b for a, b in spans)
+    assert warc.read_archive(spark, str(tmp_path / "1")).count() == len(rows)
+
+
+def test_revisits_refer_to_the_record_of_their_payload(spark, tmp_path):
+    """A page id with several payloads: each revisit names the record that holds its own."""
+    rows = [(1, "u", "A" * 200), (1, "u", "B" * 200), (2, "u", "B" * 200), (3, "u", "A" * 200), (3, "u", "A" * 200)]
+    write(spark, rows, tmp_path / "w")
+    found = {}
+    for file in glob.glob(str(tmp_path / "w" / "pages-*")):
+        with open(file, "rb") as stream:
+            for headers, _ in map(warc.parsed, warc.members(stream)):
+                assert headers["WARC-Record-ID"] not in found
+                found[headers["WARC-Record-ID"]] = headers
+    revisits = [h for h in found.values() if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 3
+    for h in revisits:
+        assert found[h["WARC-Refers-To"]]["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and found[h["WARC-Refers-To"]]["WARC-Type"] == "response"
+
+
 def test_files_outside_the_manifest_are_not_read(spark, tmp_path):
     write(spark, ROWS[:4], tmp_path / "w")
     (tmp_path / "w" / "pages-99999-00000.warc.gz").write_bytes(b"left behind")
