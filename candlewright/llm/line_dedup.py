@@ -3,8 +3,11 @@
 1. Every task hashes the keys of its lines and sends the bits of two Bloom filters, segment by segment: the filter
    of keys seen, and that of keys seen twice. Segments are merged bit by bit; a bit set by two tasks is seen twice.
 2. The merged filter of twice-seen keys, at most ``MAX_FILTER_BITS`` in size whatever the input, goes to all tasks.
-   Only lines that it suspects are shuffled, with their full keys: these are counted exactly.
-3. A key of enough documents keeps its lines in the largest ``doc_id`` that holds it.
+   Only lines that it suspects are shuffled, with their full keys: these are counted exactly, in partial counts first.
+3. A key of enough documents keeps its lines in the largest ``doc_id`` that holds it. The suspected lines, distinct and
+   written, meet the shared keys in a join that adaptive execution may split, so a line that half of the documents hold
+   is not one task.
+4. Documents without a suspected line never leave the task that reads them; the others are joined with their lost lines.
 
 Filters have no false negatives, so the result is exact. Beyond the size bound they suspect more lines; more rows are
 then counted exactly, and the result stays the same.
@@ -149,14 +152,33 @@ def _suspects(batches, bitmap, bits: int, min_chars: int):
 
 def shared_lines(documents: DataFrame, min_chars: int = 20, min_documents: int = 3) -> DataFrame:
     """(doc_id, line_key) of all lines to drop."""
-    spark = documents.sparkSession
     bits = filter_bits(documents)
-    bitmap = spark.sparkContext.broadcast(twice_seen(documents, bits, min_chars))
+    return _shared(documents, documents.sparkSession.sparkContext.broadcast(twice_seen(documents, bits, min_chars)), bits, min_chars, min_documents)
+
+
+def _shared(documents: DataFrame, bitmap, bits: int, min_chars: int, min_documents: int) -> DataFrame:
     rows = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    suspects = saved(rows.mapInArrow(lambda b: _suspects(b, bitmap, bits, min_chars), "doc_id long, line_key binary"), "line-suspects")
-    counted = suspects.distinct().groupBy("line_key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+    found = rows.mapInArrow(lambda b: _suspects(b, bitmap, bits, min_chars), "doc_id long, line_key binary")
+    suspects = saved(found.distinct(), "line-suspects")  # by document and line: no hot key; written, so a hot line can be split
+    counted = suspects.groupBy("line_key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
     shared = saved(counted.where(F.col("n") >= min_documents).select("line_key", "keeper"), "line-shared")
-    return suspects.join(shared, "line_key").where(F.col("doc_id") != F.col("keeper")).select("doc_id", "line_key").distinct()
+    return saved(suspects.join(shared, "line_key").where(F.col("doc_id") != F.col("keeper")).select("doc_id", "line_key"), "line-lost")
+
+
+def _parted(batches, text_at: int, bitmap, bits: int, min_chars: int, suspected: bool):
+    """The rows with a suspected line, or the others."""
+    for batch in batches:
+        texts = batch.column(text_at)
+        owners, hashes = [], []
+        for i, text in enumerate(texts):
+            found = keys_of(text.as_py(), min_chars)
+            hashes += map(xxhash.xxh3_64_intdigest, found)
+            owners += [i] * len(found)
+        at = bit_positions(np.array(hashes, dtype=np.uint64), bits)
+        hit = ((bitmap.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+        chosen = np.zeros(batch.num_rows, bool)
+        chosen[np.array(owners, np.int64)[hit]] = True
+        yield batch.filter(pa.array(chosen if suspected else ~chosen))
 
 
 def _stripped(batches, text_at: int, drop_at: int, min_chars: int):
@@ -180,8 +202,12 @@ def _stripped(batches, text_at: int, drop_at: int, min_chars: int):
 
 def deduplicated(documents: DataFrame, min_chars: int = 20, min_documents: int = 3) -> DataFrame:
     """The documents with their columns, shared lines taken out of ``text``, and __n_lines (before) and __n_dropped."""
-    lost = shared_lines(documents, min_chars, min_documents).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("line_key").alias("__drop"))
-    joined = documents.join(lost, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
+    bits = filter_bits(documents)
+    bitmap = documents.sparkSession.sparkContext.broadcast(twice_seen(documents, bits, min_chars))
+    lost = _shared(documents, bitmap, bits, min_chars, min_documents).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("line_key").alias("__drop"))
     text_at, drop_at = documents.columns.index("text"), len(documents.columns)
+    part = lambda suspected: documents.mapInArrow(lambda b: _parted(b, text_at, bitmap, bits, min_chars, suspected), documents.schema)
+    joined = part(True).join(lost, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
+    rows = joined.unionAll(part(False).withColumn("__drop", F.lit(None).cast("array<binary>")))
     fields = [T.StructField(f.name, f.dataType) for f in documents.schema] + [T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())]
-    return joined.mapInArrow(lambda b: _stripped(b, text_at, drop_at, min_chars), T.StructType(fields))
+    return rows.mapInArrow(lambda b: _stripped(b, text_at, drop_at, min_chars), T.StructType(fields))
