@@ -1,13 +1,18 @@
 """Licence notices in documents (operator 3).
 
 A logistic regression on hashed word n-grams gives every paragraph (line) a probability per licence family, for licence
-text of no known family, and for ordinary text. It is trained in numpy from the templates below, altered at
-random with a fixed seed, and from a bounded sample of paragraphs of the corpus (``MAX_ORDINARY``). One temperature is
-fitted on held-out examples, so that the probabilities mean what they say. A family counts only when its probability is
-at least ``CERTAIN`` and one of its templates is found in the paragraph: most of the template's word pairs. Otherwise the
-paragraph is licence text of an unknown family.
+text of no known family, and for ordinary text. Lines of more words than a window are classified in overlapping windows
+of two lengths (``WINDOWS``), so a notice counts wherever it stands: short ones fill the short windows. A family counts only when its probability is at least ``CERTAIN`` and one of
+its templates is found around the window: most of the template's word pairs. Otherwise it is licence text of an unknown
+family. Of windows that overlap, the best per confirmed family is reported, or the most probable one if none is confirmed.
 
-The whole text of every document is classified, paragraph by paragraph, in numpy batches inside the tasks; nothing is shuffled.
+The model is trained in numpy on the driver from the templates below, altered at random with a fixed seed, and from about
+``MAX_ORDINARY`` different paragraphs of over ``MIN_CHARS`` characters of the corpus, chosen by a threshold on their hash
+(one window of their first ``MAX_CHARS`` characters each). Paragraphs with a word of licence language are not taught as
+ordinary, but a few fixed sentences are. One temperature is fitted on templates that were wholly held out, so that the
+probabilities mean what they say of new wordings; then the model is trained on all.
+
+The whole text of every document is classified, in numpy batches inside the tasks; nothing is shuffled.
 
 Defined cases: null, empty or wordless texts give no row; repeated rows give repeated rows; a document without
 id keeps a null id; an empty table gives an empty result; other columns are not read.
@@ -26,30 +31,94 @@ from pyspark.sql import functions as F
 
 from candlewright.llm.base import mixed
 
-# Families and notices that stand for them.
+# Families and notices that stand for them. The last of a family is held out when the temperature is fitted.
 TEMPLATES = {
-    "mit": ["Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
-    "apache": ["Licensed under the Apache License, Version 2.0.", "Apache License, Version 2.0, January 2004", "you may not use this file except in compliance with the License"],
-    "gpl": ["This work is licensed under the GNU General Public License, version 3.", "redistribute it and/or modify it under the terms of the GNU General Public License"],
-    "lgpl": ["Licensed under the GNU Lesser General Public License, version 2.1.", "under the terms of the GNU Lesser General Public License"],
-    "agpl": ["Licensed under the GNU Affero General Public License, version 3.", "under the terms of the GNU Affero General Public License"],
-    "bsd": ["Licensed under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted", "Released under the BSD license."],
-    "mpl": ["subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License, version 2.0."],
-    "cc-by": ["Licensed under CC BY 4.0.", "licensed under a Creative Commons Attribution 4.0 International License"],
-    "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
-    "cc0": ["Released under CC0 1.0.", "has waived all copyright and related rights to this work", "dedicated to the public domain under CC0"],
-    "reserved": ["All rights reserved.", "No part of this work may be reproduced without written permission"],
+    "mit": [
+        "Released under the MIT License.", "Licensed under the MIT License.", "SPDX-License-Identifier: MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability",
+        "This project is available under the terms of the MIT license.",
+    ],
+    "apache": [
+        "Licensed under the Apache License, Version 2.0.", "Apache License, Version 2.0, January 2004", "you may not use this file except in compliance with the License", "SPDX-License-Identifier: Apache-2.0",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS",
+        "See the License for the specific language governing permissions and limitations under the License.",
+        "This project is released under the Apache 2.0 license.",
+    ],
+    "gpl": [
+        "This work is licensed under the GNU General Public License, version 3.", "redistribute it and/or modify it under the terms of the GNU General Public License", "SPDX-License-Identifier: GPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU General Public License",
+        "You should have received a copy of the GNU General Public License along with this program.", "Licensed under the GPLv3 or later.", "Released under the GNU GPL v2.",
+        "This is free software under the GPL version 2 or any later version.",
+    ],
+    "lgpl": [
+        "Licensed under the GNU Lesser General Public License, version 2.1.", "under the terms of the GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-only",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "Released under the LGPL v3.",
+    ],
+    "agpl": [
+        "Licensed under the GNU Affero General Public License, version 3.", "under the terms of the GNU Affero General Public License", "SPDX-License-Identifier: AGPL-3.0-only",
+        "You should have received a copy of the GNU Affero General Public License along with this program.", "Released under the AGPL v3.",
+    ],
+    "bsd": [
+        "Licensed under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted", "Released under the BSD license.", "SPDX-License-Identifier: BSD-3-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation",
+        "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties are disclaimed",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "mpl": [
+        "subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    ],
+    "cc-by": [
+        "Licensed under CC BY 4.0.", "licensed under a Creative Commons Attribution 4.0 International License", "https://creativecommons.org/licenses/by/4.0/",
+        "This article is distributed under the terms of the Creative Commons Attribution License",
+    ],
+    "cc-by-sa": [
+        "Licensed under CC BY-SA 4.0.", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "https://creativecommons.org/licenses/by-sa/4.0/",
+        "Text is available under the Creative Commons Attribution-ShareAlike License",
+    ],
+    "cc-by-nc": [
+        "Licensed under CC BY-NC 4.0.", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "https://creativecommons.org/licenses/by-nc/4.0/",
+        "shared under the Creative Commons Attribution-NonCommercial License",
+    ],
+    "cc0": [
+        "Released under CC0 1.0.", "has waived all copyright and related rights to this work", "dedicated to the public domain under CC0", "https://creativecommons.org/publicdomain/zero/1.0/",
+        "CC0 1.0 Universal Public Domain Dedication",
+    ],
+    "reserved": ["All rights reserved.", "No part of this work may be reproduced without written permission", "may not be reproduced or distributed in any form without the prior written permission of the publisher"],
 }
-UNKNOWN_NOTICES = ["Licensed under the {} License.", "Released under the {} License, version {}.", "This work is licensed under the terms of the {} {} licence.", "Use is subject to the {} license agreement."]
+UNKNOWN_NOTICES = [
+    "Licensed under the {} License.", "Released under the {} License, version {}.", "This work is licensed under the terms of the {} {} licence.", "Distributed under the {} {} license, see the license file.",
+    "By using {} you accept the terms of this license.", "Use is subject to the {} license agreement.",
+]
+#: Ordinary sentences with words of licence language.
+ORDINARY_SENTENCES = [
+    "He lost his driver's license on the way home.", "They applied for a marriage license at the town hall.", "The license plate of the car was covered with mud.", "The pub had no license to sell wine.",
+    "She asked for permission to leave the room.", "The software was easy to use and free of charge.", "The warranty on the washing machine ran out last year.", "The public library is open under the same terms as before.",
+    "The copyright case was decided by the court in May.", "All rights and duties of the members are listed below.", "The general public was not admitted to the hearing.", "You may not use the lift in case of fire.",
+    "In the morning he went to the office by bus.", "It is one of the oldest houses of the town, and the garden is open to all.", "See the next page for the list of names.", "This work was done by the end of the year.",
+    "The officer asked the driver for the papers of the car.", "The file is on the table in the other room.", "They were all in the park when it began to rain.", "You can find the answer at the end of the book.",
+]
+LICENCE_LIKE = "licen[cs]e|copyright|warrant|redistribut|creative ?commons|public domain|hereby granted|rights reserved|written permission|\\b(a|l)?gpl|\\bspdx|\\bcc0\\b|\\bcc.by"
 
 UNKNOWN, ORDINARY = "unknown", "ordinary"
 CLASSES = (*TEMPLATES, UNKNOWN, ORDINARY)
 DIMENSIONS = 1 << 14
-VARIANTS = 60
-MAX_ORDINARY = 3000
+VARIANTS = 30
+MAX_ORDINARY, MIN_CHARS, MAX_CHARS = 3000, 20, 2000
+WINDOWS = (8, 24)  # words; each with a stride of half of it
+WINDOW = WINDOWS[-1]
 CERTAIN, CONFIRMED = 0.5, 0.6
-EPOCHS, RATE, DECAY = 12, 0.5, 1e-6
+EPOCHS, RATE, DECAY = 8, 0.5, 1e-6
 BATCH_CHARS = 1 << 21
 WORD = re.compile(r"\w+")
 
@@ -105,112 +174,158 @@ def template_share(family: str, words: list[str]) -> float:
     return max(len(t & own) / len(t) for t in TEMPLATE_PAIRS[family])
 
 
-def examples(ordinary: list[list[str]], seed: int = 5) -> tuple[list[list[str]], np.ndarray]:
-    """Altered templates, made-up licences and ordinary paragraphs, with their classes."""
+def examples(ordinary: list[list[str]], seed: int = 5) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
+    """Altered templates, made-up licences and ordinary windows, their classes, and whether their template is to be held out."""
     rng = np.random.default_rng(seed)
-    filler = [w for p in ordinary for w in p][:20000] or ["text"]
-    some = lambda n: [filler[i] for i in rng.integers(0, len(filler), n)]
-    out, labels = [], []
+    filler = [w for p in [*ordinary, *map(words_of, ORDINARY_SENTENCES)] for w in p][:20000]
+    some = lambda n, of=filler: [of[i] for i in rng.integers(0, len(of), n)]
+    different = list(dict.fromkeys(filler))  # so that a word that fills a small corpus isn't all of ordinary text
+    out, labels, held = [], [], []
 
-    def add(words: list[str], label: str) -> None:
+    def add(words: list[str], label: str, last: bool) -> None:
         words = [w for w in words if rng.random() > 0.05] or words
-        out.append(some(rng.integers(0, 9)) * (rng.random() < 0.4) + words + some(rng.integers(0, 9)) * (rng.random() < 0.4))
+        if len(words) > 8 and rng.random() < 0.3:  # what a window cuts off
+            a = rng.integers(0, len(words) // 2)
+            words = words[a:a + max(8, 2 * len(words) // 3)]
+        around = int(rng.integers(0, max(1, rng.choice(WINDOWS) - len(words)) + 1)) if rng.random() < 0.6 else 0
+        before = int(rng.integers(0, around + 1))
+        out.append(some(before) + words[:WINDOW] + some(around - before))
         labels.append(CLASSES.index(label))
+        held.append(last)
 
     for family, notices in TEMPLATES.items():
         for notice in notices:
-            out.append(words_of(notice))
-            labels.append(CLASSES.index(family))
             for _ in range(VARIANTS):
-                add(words_of(notice), family)
-    for _ in range(VARIANTS * 6):
-        notice = UNKNOWN_NOTICES[rng.integers(0, len(UNKNOWN_NOTICES))]
-        add(words_of(notice.format(*some(2))), UNKNOWN)
-    for p in [*ordinary, *(some(rng.integers(1, 30)) for _ in range(300))]:
-        if p and max(template_share(f, p) for f in TEMPLATES) < CONFIRMED:
-            out.append(p)
+                add(words_of(notice), family, notice is notices[-1])
+    for i in range(VARIANTS * 12):
+        notice = UNKNOWN_NOTICES[i % len(UNKNOWN_NOTICES)]
+        add(words_of(notice.format(*some(2))), UNKNOWN, notice is UNKNOWN_NOTICES[-1])
+    for i, sentence in enumerate(ORDINARY_SENTENCES):
+        for _ in range(VARIANTS):
+            add(words_of(sentence), ORDINARY, i % 5 == 4)
+    for i, p in enumerate([*ordinary, *(some(rng.integers(1, WINDOW + 1), of) for of in (filler, different) for _ in range(300))]):
+        if p:
+            n = int(rng.choice(WINDOWS))
+            a = int(rng.integers(0, max(1, len(p) - n + 1)))
+            out.append(p[a:a + n])
             labels.append(CLASSES.index(ORDINARY))
-    return out, np.array(labels)
+            held.append(i % 5 == 4)
+    return out, np.array(labels), np.array(held)
 
 
-def fit(ordinary: list[list[str]]) -> Model:
-    paragraphs, labels = examples(ordinary)
-    held = np.arange(len(labels)) % 5 == 0
+def trained(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     model = Model(np.zeros((len(CLASSES), DIMENSIONS), np.float32), np.zeros(len(CLASSES), np.float32))
-    rows = [features([p])[0] for p in paragraphs]
     square = np.full((len(CLASSES), DIMENSIONS), 1e-3, np.float32)
     rng = np.random.default_rng(1)
+    parts = [np.unique(r) for r in rows]
     for _ in range(EPOCHS):
-        for i in rng.permutation(np.flatnonzero(~held)):
-            buckets = np.unique(rows[i])
+        for i in rng.permutation(len(rows)):
+            buckets = parts[i]
             z = model.weights[:, buckets].sum(axis=1) / np.sqrt(len(rows[i])) + model.bias
             p = np.exp(z - z.max())
             p /= p.sum()
             p[labels[i]] -= 1
-            g = np.repeat((p / np.sqrt(len(rows[i])))[:, None], len(buckets), axis=1) + DECAY * model.weights[:, buckets]
+            g = (p / np.sqrt(len(rows[i])))[:, None] + DECAY * model.weights[:, buckets]
             square[:, buckets] += g * g
             model.weights[:, buckets] -= RATE * g / np.sqrt(square[:, buckets])
             model.bias -= 0.05 * p
-    kept = [p for p, h in zip(paragraphs, held) if h]
-    z, y = model.logits(*features(kept)), labels[held]
+    return model
+
+
+def fit(ordinary: list[list[str]]) -> Model:
+    paragraphs, labels, held = examples(ordinary)
+    rows = [features([p])[0] for p in paragraphs]
+    first = trained([r for r, h in zip(rows, held) if not h], labels[~held])
+    z, y = first.logits(*features([p for p, h in zip(paragraphs, held) if h])), labels[held]
 
     def loss(t: float) -> float:
         s = z / t - (z / t).max(axis=1, keepdims=True)
         return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(y)), y]).mean())
 
+    model = trained(rows, labels)
     model.temperature = float(min(np.geomspace(0.2, 20, 60), key=loss))
     return model
 
 
 def ordinary_sample(documents: DataFrame) -> list[list[str]]:
-    """At most ``MAX_ORDINARY`` paragraphs of the corpus, those with the smallest hash."""
-    lines = documents.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") > 20)
-    chosen = lines.select(F.xxhash64("line").alias("h"), F.substring("line", 1, 2000).alias("line")).orderBy("h", "line").limit(MAX_ORDINARY).collect()
-    return [words_of(r["line"]) for r in chosen]
+    """About ``MAX_ORDINARY`` different paragraphs without licence language, those whose hash is under a threshold; never twice as many."""
+    lines = documents.select(F.explode(F.split("text", "\n")).alias("line")).where((F.length("line") > MIN_CHARS) & ~F.lower("line").rlike(LICENCE_LIKE))
+    lines = lines.select(F.xxhash64("line").alias("h"), F.substring("line", 1, MAX_CHARS).alias("line"))
+    different = lines.agg(F.approx_count_distinct("h")).first()[0]
+    share = min(1.0, MAX_ORDINARY / max(1, different))
+    few = lines.where(F.col("h") <= F.lit(int(-(2**63) + share * (2**64 - 2**12)))).distinct()
+    return [words_of(r["line"]) for r in few.orderBy("h", "line").limit(2 * MAX_ORDINARY).collect()]
 
 
 NOTICES = "doc_id long, paragraph int, start int, end int, family string, predicted string, probability double, template_share double"
 
 
+def windows_of(line: str) -> list[tuple[int, int, list[str], list[str]]]:
+    """(start, end, words, words around) of the windows of a line, in code points; a short line is one window."""
+    words = words_of(line)
+    if len(words) <= WINDOW:
+        return [(0, len(line), words, words)] if words else []
+    spans = [m.span() for m in WORD.finditer(line)]
+    words = [line[a:b].lower() for a, b in spans]
+    places = sorted({(a, a + n) for n in WINDOWS for a in [*range(0, len(words) - n, n // 2), len(words) - n]})
+    return [(spans[a][0], spans[b - 1][1], words[a:b], words[max(0, a - WINDOW):b + WINDOW]) for a, b in places]
+
+
 def _scan(batches, shared):
     model, names = shared.value, np.array(CLASSES)
     ordinary = CLASSES.index(ORDINARY)
     for batch in batches:
         rows: list[tuple] = []
         held: list[tuple] = []
-        chars = 0
+        hits: list[tuple] = []  # windows of one line that overlap
+        line_at: list = [None]
+
+        def report():
+            sure = [h for h in hits if h[-1]]
+            best = {}
+            for h in sure or hits:
+                key = h[4] if sure else None
+                if key not in best or (h[7], h[6]) > (best[key][7], best[key][6]) or (not sure and h[6] > best[key][6]):
+                    best[key] = h
+            rows.extend(sorted(h[:-1] for h in best.values()))
+            hits.clear()
 
         def classify():
             if not held:
                 return
-            p = model.probabilities([h[-1] for h in held])
+            p = model.probabilities([h[4] for h in held])
             for i in np.flatnonzero(p[:, ordinary] < 0.5):
-                doc, paragraph, start, end, words = held[i]
+                line, paragraph, start, end, _, around = held[i]
                 best = int(p[i, :ordinary].argmax())
                 family, share = str(names[best]), 0.0
                 if family != UNKNOWN:
-                    share = template_share(family, words)
-                sure = p[i, best] >= CERTAIN and share >= CONFIRMED
-                rows.append((doc, paragraph, start, end, family if sure else UNKNOWN, family, float(p[i, best]), share))
+                    share = template_share(family, around)
+                sure = bool(p[i, best] >= CERTAIN and share >= CONFIRMED)
+                if hits and (line_at[0] != line or start >= max(h[3] for h in hits)):
+                    report()
+                line_at[0] = line
+                hits.append((docs[line[0]], paragraph, start, end, family if sure else UNKNOWN, family, float(p[i, best]), share, sure))
             held.clear()
 
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        docs, chars = batch.column(0).to_pylist(), 0
+        for d, text in enumerate(batch.column(1)):
             at = 0
             for k, line in enumerate((text.as_py() or "").split("\n")):
-                if words := words_of(line):
-                    held.append((doc, k, at, at + len(line), words))
+                for start, end, words, around in windows_of(line):
+                    held.append(((d, k), k, at + start, at + end, words, around))
+                    chars += end - start
+                    if chars >= BATCH_CHARS:
+                        classify()
+                        chars = 0
                 at += len(line) + 1
-                chars += len(line)
-                if chars >= BATCH_CHARS:
-                    classify()
-                    chars = 0
         classify()
+        report()
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [f.split()[0] for f in NOTICES.split(", ")])
 
 
 def notices(documents: DataFrame, model: Model | None = None) -> DataFrame:
-    """A row per paragraph that reads like a licence notice, with its place in code points."""
+    """A row per stretch of a paragraph that reads like a licence notice, with its place in code points."""
     if model is None:
         model = fit(ordinary_sample(documents))
     shared = documents.sparkSession.sparkContext.broadcast(model)

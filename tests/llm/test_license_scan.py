@@ -43,10 +43,14 @@ def test_held_out_accuracy(model):
 
 
 def test_calibration(model):
-    """Where it says p, it is right about p of the time."""
-    paragraphs, labels = S.examples([S.words_of(prose(random.Random(3), 20)) for _ in range(200)], seed=77)
+    """Of templates that it hasn't seen, it is right about as often as it says; of those it has seen, at least so."""
+    paragraphs, labels, held = S.examples([S.words_of(prose(random.Random(3), 20)) for _ in range(200)], seed=77)
+    first = S.trained([S.features([p])[0] for p, h in zip(paragraphs, held) if not h], labels[~held])
+    first.temperature = model.temperature
+    p = first.probabilities([x for x, h in zip(paragraphs, held) if h])
+    assert abs(p.max(axis=1).mean() - (p.argmax(axis=1) == labels[held]).mean()) < 0.15
     p = model.probabilities(paragraphs)
-    assert abs(p.max(axis=1).mean() - (p.argmax(axis=1) == labels).mean()) < 0.05
+    assert (p.argmax(axis=1) == labels).mean() > max(0.9, p.max(axis=1).mean() - 0.02)
 
 
 def test_notices_and_places(spark, model):
@@ -58,3 +62,59 @@ def test_notices_and_places(spark, model):
     assert {d: r["family"] for d, r in got.items()} == {100: "mit", 101: "cc-by-nc", 102: "unknown"}
     assert all(text[d][r["start"]:r["end"]] == text[d].split("\n")[1] and r["paragraph"] == 1 for d, r in got.items())
     assert S.notices(docs.limit(0), model).count() == 0 and S.notices(docs).where("doc_id = 100").count() == 1
+
+
+def test_notices_within_long_lines(spark, model):
+    """Whatever the number of words around it, a notice is found at its place; lines without one give no row."""
+    rng = random.Random(11)
+    flat = lambda n: prose(rng, n).rstrip(".").lower()
+    rows, expect = [], {}
+    for family, texts in S.TEMPLATES.items():
+        for t in texts[:4]:
+            for around in (40, 80, 200):
+                before = rng.randrange(0, around)
+                line = f"{flat(before)} {t} {flat(around - before)}" if before else f"{t} {flat(around)}"
+                expect[100 + len(rows)] = (family, line.index(t), line.index(t) + len(t))
+                rows.append((100 + len(rows), line))
+    plain = [(10_000 + i, flat(300)) for i in range(100)]
+    found: dict = {}
+    for r in S.notices(documents(spark, rows + plain), model).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    assert not [d for d in found if d >= 10_000]
+    placed = [any(r["start"] < end and start < r["end"] for r in found.get(d, [])) for d, (_, start, end) in expect.items()]
+    right = [any(r["family"] == f for r in found.get(d, [])) for d, (f, _, _) in expect.items()]
+    assert np.mean(placed) > 0.95 and np.mean(right) > 0.9
+    wide = [r for d in expect for r in found.get(d, []) if not (r["start"] < expect[d][2] and expect[d][1] < r["end"])]
+    assert len(wide) < 0.05 * len(rows)
+
+
+def test_windows_cover_every_word():
+    rng = random.Random(2)
+    for n in (1, 7, 23, 24, 25, 36, 37, 48, 49, 200):
+        line = " ".join(f"w{i}," for i in range(n))
+        parts = S.windows_of(line)
+        assert {w for p in parts for w in p[2]} == {f"w{i}" for i in range(n)}
+        assert all(S.words_of(line[a:b]) == words for a, b, words, _ in parts)
+        at = rng.randrange(max(1, n - 11))
+        assert any({f"w{i}" for i in range(at, min(n, at + 12))} <= set(p[2]) for p in parts)
+    assert S.windows_of("") == S.windows_of(" .,") == []
+
+
+def test_new_wordings_are_licence_text(model):
+    """Sentences of known licences that are no template read like licence text, everyday sentences don't."""
+    new = [
+        "This program is free software: you can redistribute it under GPLv3 or later.", "This package is made available under the MIT licence.", "This file is part of a program released under the Apache License.",
+        "Permission to copy, modify and distribute this software is hereby granted without fee.", "The content is licensed under a Creative Commons licence.", "The software is provided as is, without any warranty.",
+    ]
+    everyday = ["He showed a license to the officer in the park.", "He gave her permission to go to the office.", "The warranty of the car had ended.", "The public park is open to all."]
+    of = lambda ts: model.probabilities([S.words_of(t) for t in ts])[:, S.CLASSES.index(S.ORDINARY)]
+    assert (of(new) < 0.5).all(), of(new)
+    assert (of(everyday) > 0.5).all(), of(everyday)
+
+
+def test_sample_is_bounded_and_without_licence_language(spark, monkeypatch):
+    monkeypatch.setattr(S, "MAX_ORDINARY", 50)
+    rng = random.Random(3)
+    rows = [(i, "\n".join(prose(rng, 12) for _ in range(10)) + "\nLicensed under the MIT License.\n" + "the same line in every document of it") for i in range(200)]
+    sample = S.ordinary_sample(documents(spark, rows))
+    assert 15 <= len(sample) <= 100 and not any("mit" in w for w in sample) and len({tuple(w) for w in sample}) == len(sample)
