@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.llm import alignment, decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, token_store, url_filter, warc
+from candlewright.llm import alignment, decontaminate, license_scan, line_dedup, lm_score, merkle, near_dedup, pieces, quality_rules, secret_scan, sql, token_store, url_filter, url_labels, warc
 from candlewright.llm.base import ascii_lower, saved
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,19 +24,15 @@ def op1_warc(spark: SparkSession, d: str) -> DataFrame:
     return warc.read_archive(spark, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-#: Rules of the url query, and the parts of a host that label a page as unwanted in training.
+#: Rules of the url query.
 URL_RULES = (
     url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
     url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/"),
 )
-UNWANTED_HOSTS = ("spam-farm", "cheap-pills", "casino-win", "free-bets")
 
 
 def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages")
-    at = pages.select(url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
-    labelled = at.withColumn("label", F.col("host").rlike("(^|[.])(" + "|".join(UNWANTED_HOSTS) + ")[.]").cast("int"))
-    return url_filter.judged(pages, URL_RULES, url_filter.train(labelled))
+    return url_filter.judged(table(spark, d, "pages"), URL_RULES, url_filter.train(url_labels.labelled(spark)))
 
 
 def op3_license_scan(spark: SparkSession, d: str) -> DataFrame:

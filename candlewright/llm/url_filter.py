@@ -7,7 +7,7 @@ hash. Weights travel as one literal of that fixed length.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and is judged by the model's bias; ties
 between rules of one length go to the greater rule text; repeated rows are judged alike; with no labelled row of one
-class every url without a rule is allowed; an empty table gives an empty result; other columns are not read.
+class nothing can be learnt: every url without a rule is allowed; rows without label are not learnt; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
