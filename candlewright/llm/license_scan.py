@@ -4,7 +4,8 @@ A logistic regression on hashed word n-grams gives every paragraph (line) a prob
 text of no known family, and for ordinary text. Lines of more words than a window are classified in overlapping windows
 of two lengths (``WINDOWS``), so a notice counts wherever it stands: short ones fill the short windows. A family counts only when its probability is at least ``CERTAIN`` and one of
 its templates is found around the window: most of the template's word pairs. Otherwise it is licence text of an unknown
-family. Of windows that overlap, the best per confirmed family is reported, or the most probable one if none is confirmed.
+family, if its probability is at least ``LEAST`` and over that of ordinary text. A window of mostly repeated words is judged
+by its different words. Of windows that overlap, the best per confirmed family is reported, or the most probable one if none is confirmed.
 
 The model is trained in numpy on the driver from the templates below, altered at random with a fixed seed, and from about
 ``MAX_ORDINARY`` different paragraphs of over ``MIN_CHARS`` characters of the corpus, chosen by a threshold on their hash
@@ -117,7 +118,7 @@ VARIANTS = 30
 MAX_ORDINARY, MIN_CHARS, MAX_CHARS = 3000, 20, 2000
 WINDOWS = (8, 24)  # words; each with a stride of half of it
 WINDOW = WINDOWS[-1]
-CERTAIN, CONFIRMED = 0.5, 0.6
+CERTAIN, CONFIRMED, LEAST = 0.5, 0.6, 0.3
 EPOCHS, RATE, DECAY = 8, 0.5, 1e-6
 BATCH_CHARS = 1 << 21
 WORD = re.compile(r"\w+")
@@ -293,11 +294,13 @@ def _scan(batches, shared):
         def classify():
             if not held:
                 return
-            p = model.probabilities([h[4] for h in held])
+            p = model.probabilities([h[4] if 2 * len(different := dict.fromkeys(h[4])) > len(h[4]) else list(different) for h in held])
             for i in np.flatnonzero(p[:, ordinary] < 0.5):
                 line, paragraph, start, end, _, around = held[i]
                 best = int(p[i, :ordinary].argmax())
                 family, share = str(names[best]), 0.0
+                if p[i, best] < max(LEAST, p[i, ordinary]):
+                    continue
                 if family != UNKNOWN:
                     share = template_share(family, around)
                 sure = bool(p[i, best] >= CERTAIN and share >= CONFIRMED)

@@ -118,3 +118,9 @@ def test_sample_is_bounded_and_without_licence_language(spark, monkeypatch):
     rows = [(i, "\n".join(prose(rng, 12) for _ in range(10)) + "\nLicensed under the MIT License.\n" + "the same line in every document of it") for i in range(200)]
     sample = S.ordinary_sample(documents(spark, rows))
     assert 15 <= len(sample) <= 100 and not any("mit" in w for w in sample) and len({tuple(w) for w in sample}) == len(sample)
+
+
+def test_odd_texts_are_no_notices(spark, model):
+    """Unknown words, repeated words, tables and symbols."""
+    odd = ["the " * 300, "zzyx " * 12, "besten, " * 40, "qwx vbn | zxc ghj | rty fgh", "Osrañ.", "*** ### word$$$ other%%%", "1 2 3 4 5 6 7 8 9", "ж щ ю"]
+    assert S.notices(documents(spark, list(enumerate(odd))), model).count() == 0
