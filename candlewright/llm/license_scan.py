@@ -120,7 +120,7 @@ WINDOWS = (8, 24)  # words; each with a stride of half of it
 WINDOW = WINDOWS[-1]
 CERTAIN, CONFIRMED, LEAST = 0.5, 0.6, 0.3
 EPOCHS, RATE, DECAY = 8, 0.5, 1e-6
-BATCH_CHARS = 1 << 21
+BATCH_WORDS = 1 << 16
 WORD = re.compile(r"\w+")
 
 
@@ -156,11 +156,30 @@ class Model:
         sums = np.stack([np.add.reduceat(w[buckets], starts) for w in self.weights], axis=1)
         return sums / np.sqrt(sizes)[:, None] + self.bias
 
-    def probabilities(self, paragraphs: list[list[str]]) -> np.ndarray:
-        z = self.logits(*features(paragraphs)) / self.temperature
+    def softmax(self, z: np.ndarray) -> np.ndarray:
+        z = z / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def probabilities(self, paragraphs: list[list[str]]) -> np.ndarray:
+        return self.softmax(self.logits(*features(paragraphs)))
+
+    def of_windows(self, words: list[str], first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The same for the stretches from ``first`` to ``end`` of a list of words: every n-gram is looked up once, whatever windows hold it."""
+        known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+        hashed = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        sums, sizes, chain, rows = np.zeros((len(first), len(CLASSES))), np.zeros(len(first)), hashed, np.ascontiguousarray(self.weights.T)
+        for k in range(3):
+            if k:
+                chain = mixed(chain[:-1]) + hashed[k:]
+            upto = np.zeros((len(chain) + 1, len(CLASSES)))
+            np.cumsum(rows[(mixed(chain) % np.uint64(DIMENSIONS)).astype(np.int64)], axis=0, dtype=np.float64, out=upto[1:])
+            low = np.minimum(first, len(chain))
+            high = np.maximum(np.minimum(end - k, len(chain)), low)
+            sums += upto[high] - upto[low]
+            sizes += high - low
+        return self.softmax(sums / np.sqrt(sizes)[:, None] + self.bias)
+
 
 def pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:])) or {(w, "") for w in words}
@@ -261,15 +280,16 @@ def ordinary_sample(documents: DataFrame) -> list[list[str]]:
 NOTICES = "doc_id long, paragraph int, start int, end int, family string, predicted string, probability double, template_share double"
 
 
-def windows_of(line: str) -> list[tuple[int, int, list[str], list[str]]]:
-    """(start, end, words, words around) of the windows of a line, in code points; a short line is one window."""
+def windows_of(line: str) -> tuple[list[str], list[tuple[int, int, int, int]]]:
+    """The words of a line, and (first word, end word, start, end) of its windows, in code points; a short line is one window."""
     words = words_of(line)
-    if len(words) <= WINDOW:
-        return [(0, len(line), words, words)] if words else []
+    if len(words) <= WINDOWS[0]:
+        return words, [(0, len(words), 0, len(line))] if words else []
     spans = [m.span() for m in WORD.finditer(line)]
     words = [line[a:b].lower() for a, b in spans]
-    places = sorted({(a, a + n) for n in WINDOWS for a in [*range(0, len(words) - n, n // 2), len(words) - n]})
-    return [(spans[a][0], spans[b - 1][1], words[a:b], words[max(0, a - WINDOW):b + WINDOW]) for a, b in places]
+    n = len(words)
+    places = sorted({(a, a + size) for size in WINDOWS if size < n for a in [*range(0, n - size, size // 2), n - size]} | ({(0, n)} if n <= WINDOW else set()))
+    return words, [(a, b, *((0, len(line)) if b - a == n else (spans[a][0], spans[b - 1][1]))) for a, b in places]
 
 
 def _scan(batches, shared):
@@ -277,50 +297,60 @@ def _scan(batches, shared):
     ordinary = CLASSES.index(ORDINARY)
     for batch in batches:
         rows: list[tuple] = []
-        held: list[tuple] = []
+        words: list[str] = []  # of the lines at hand
+        held: list[tuple] = []  # their windows
         hits: list[tuple] = []  # windows of one line that overlap
-        line_at: list = [None]
+        at_hand: list = [None, 0]  # line and end of the hits
+        docs = batch.column(0).to_pylist()
 
         def report():
             sure = [h for h in hits if h[-1]]
-            best = {}
+            best: dict = {}
             for h in sure or hits:
-                key = h[4] if sure else None
-                if key not in best or (h[7], h[6]) > (best[key][7], best[key][6]) or (not sure and h[6] > best[key][6]):
-                    best[key] = h
-            rows.extend(sorted(h[:-1] for h in best.values()))
+                key, rank = (h[4], (h[7], h[6])) if sure else (None, (h[6], 0.0))
+                if key not in best or rank > best[key][0]:
+                    best[key] = rank, h
+            rows.extend(sorted((h[:-1] for _, h in best.values()), key=lambda r: r[1:5]))
             hits.clear()
 
         def classify():
-            if not held:
-                return
-            p = model.probabilities([h[4] if 2 * len(different := dict.fromkeys(h[4])) > len(h[4]) else list(different) for h in held])
-            for i in np.flatnonzero(p[:, ordinary] < 0.5):
-                line, paragraph, start, end, _, around = held[i]
-                best = int(p[i, :ordinary].argmax())
-                family, share = str(names[best]), 0.0
-                if p[i, best] < max(LEAST, p[i, ordinary]):
-                    continue
-                if family != UNKNOWN:
-                    share = template_share(family, around)
-                sure = bool(p[i, best] >= CERTAIN and share >= CONFIRMED)
-                if hits and (line_at[0] != line or start >= max(h[3] for h in hits)):
-                    report()
-                line_at[0] = line
-                hits.append((docs[line[0]], paragraph, start, end, family if sure else UNKNOWN, family, float(p[i, best]), share, sure))
+            step = 1 << 14
+            for c in range(0, len(held), step):
+                part = held[c:c + step]
+                low, high = min(h[3] for h in part), max(h[4] for h in part)
+                p = model.of_windows(words[low:high], np.array([h[3] - low for h in part]), np.array([h[4] - low for h in part]))
+                for i in np.flatnonzero(p[:, ordinary] < 0.5):
+                    decide(part[i], p[i])
             held.clear()
+            words.clear()
+
+        def decide(window, p):
+            d, k, line, a, b, start, end = window
+            different = list(dict.fromkeys(words[a:b]))
+            if 2 * len(different) <= b - a:
+                p = model.probabilities([different])[0]
+            best = int(p[:ordinary].argmax())
+            family, share = str(names[best]), 0.0
+            if p[best] < max(LEAST, p[ordinary]):
+                return
+            if family != UNKNOWN:
+                share = template_share(family, words[max(line[0], a - WINDOW):min(line[1], b + WINDOW)])
+            sure = bool(p[best] >= CERTAIN and share >= CONFIRMED)
+            if hits and (at_hand[0] != (d, k) or start >= at_hand[1]):
+                report()
+            at_hand[:] = [(d, k), max(end, at_hand[1] if hits else end)]
+            hits.append((docs[d], k, start, end, family if sure else UNKNOWN, family, float(p[best]), share, sure))
 
-        docs, chars = batch.column(0).to_pylist(), 0
         for d, text in enumerate(batch.column(1)):
             at = 0
             for k, line in enumerate((text.as_py() or "").split("\n")):
-                for start, end, words, around in windows_of(line):
-                    held.append(((d, k), k, at + start, at + end, words, around))
-                    chars += end - start
-                    if chars >= BATCH_CHARS:
-                        classify()
-                        chars = 0
+                own, windows = windows_of(line)
+                here = len(words)
+                words += own
+                held += [(d, k, (here, here + len(own)), here + a, here + b, at + start, at + end) for a, b, start, end in windows]
                 at += len(line) + 1
+                if len(words) >= BATCH_WORDS:
+                    classify()
         classify()
         report()
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64()]

@@ -88,16 +88,18 @@ def test_notices_within_long_lines(spark, model):
     assert len(wide) < 0.05 * len(rows)
 
 
-def test_windows_cover_every_word():
+def test_windows_cover_every_word(model):
     rng = random.Random(2)
-    for n in (1, 7, 23, 24, 25, 36, 37, 48, 49, 200):
+    for n in (1, 7, 8, 9, 23, 24, 25, 36, 37, 48, 49, 200):
         line = " ".join(f"w{i}," for i in range(n))
-        parts = S.windows_of(line)
-        assert {w for p in parts for w in p[2]} == {f"w{i}" for i in range(n)}
-        assert all(S.words_of(line[a:b]) == words for a, b, words, _ in parts)
+        words, windows = S.windows_of(line)
+        assert {i for a, b, _, _ in windows for i in range(a, b)} == set(range(n)) and words == S.words_of(line)
+        assert all(S.words_of(line[start:end]) == words[a:b] for a, b, start, end in windows)
         at = rng.randrange(max(1, n - 11))
-        assert any({f"w{i}" for i in range(at, min(n, at + 12))} <= set(p[2]) for p in parts)
-    assert S.windows_of("") == S.windows_of(" .,") == []
+        assert any(a <= at and min(n, at + 12) <= b for a, b, _, _ in windows)
+        fast = model.of_windows(words, *(np.array(x) for x in list(zip(*windows))[:2]))
+        assert np.allclose(fast, model.probabilities([words[a:b] for a, b, _, _ in windows]), atol=1e-4)
+    assert S.windows_of("") == S.windows_of(" .,") == ([], [])
 
 
 def test_new_wordings_are_licence_text(model):
