@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -280,16 +282,32 @@ def ordinary_sample(documents: DataFrame) -> list[list[str]]:
 NOTICES = "doc_id long, paragraph int, start int, end int, family string, predicted string, probability double, template_share double"
 
 
+def lowered(line: str) -> str:
+    """In lower case if that keeps the places of all characters."""
+    low = line.lower()
+    return low if len(low) == len(line) else line
+
+
+@lru_cache(maxsize=4096)
+def places(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end words of the windows of a line of ``n`` words; a short line is one window."""
+    found = {(a, a + size) for size in WINDOWS if size < n for a in [*range(0, n - size, size // 2), n - size]} | ({(0, n)} if 0 < n <= WINDOW else set())
+    both = np.array(sorted(found), np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def span_of(line: str, a: int, b: int, n: int) -> tuple[int, int]:
+    """Where the words from ``a`` to ``b`` of ``n`` stand, in code points; all of them are the whole line."""
+    if b - a == n:
+        return 0, len(line)
+    spans = [m.span() for m in islice(WORD.finditer(lowered(line)), a, b)]
+    return spans[0][0], spans[-1][1]
+
+
 def windows_of(line: str) -> tuple[list[str], list[tuple[int, int, int, int]]]:
-    """The words of a line, and (first word, end word, start, end) of its windows, in code points; a short line is one window."""
-    words = words_of(line)
-    if len(words) <= WINDOWS[0]:
-        return words, [(0, len(words), 0, len(line))] if words else []
-    spans = [m.span() for m in WORD.finditer(line)]
-    words = [line[a:b].lower() for a, b in spans]
-    n = len(words)
-    places = sorted({(a, a + size) for size in WINDOWS if size < n for a in [*range(0, n - size, size // 2), n - size]} | ({(0, n)} if n <= WINDOW else set()))
-    return words, [(a, b, *((0, len(line)) if b - a == n else (spans[a][0], spans[b - 1][1]))) for a, b in places]
+    """The words of a line, and (first word, end word, start, end) of its windows."""
+    words = [w.lower() for w in WORD.findall(lowered(line))]
+    return words, [(a, b, *span_of(line, a, b, len(words))) for a, b in zip(*(x.tolist() for x in places(len(words))))]
 
 
 def _scan(batches, shared):
@@ -298,7 +316,7 @@ def _scan(batches, shared):
     for batch in batches:
         rows: list[tuple] = []
         words: list[str] = []  # of the lines at hand
-        held: list[tuple] = []  # their windows
+        lines: list[tuple] = []  # document, paragraph, place, first word and number of words, text
         hits: list[tuple] = []  # windows of one line that overlap
         at_hand: list = [None, 0]  # line and end of the hits
         docs = batch.column(0).to_pylist()
@@ -314,18 +332,24 @@ def _scan(batches, shared):
             hits.clear()
 
         def classify():
+            windows = [places(line[4]) for line in lines]
+            if not words:
+                lines.clear()
+                return
+            times = np.array([len(w[0]) for w in windows])
+            owner, here = np.repeat(np.arange(len(lines)), times), np.repeat(np.array([line[3] for line in lines]), times)
+            first, end = (np.concatenate([w[i] for w in windows]) + here for i in (0, 1))
             step = 1 << 14
-            for c in range(0, len(held), step):
-                part = held[c:c + step]
-                low, high = min(h[3] for h in part), max(h[4] for h in part)
-                p = model.of_windows(words[low:high], np.array([h[3] - low for h in part]), np.array([h[4] - low for h in part]))
-                for i in np.flatnonzero(p[:, ordinary] < 0.5):
-                    decide(part[i], p[i])
-            held.clear()
+            for c in range(0, len(first), step):
+                low, high = int(first[c]), int(end[c:c + step].max())
+                p = model.of_windows(words[low:high], first[c:c + step] - low, end[c:c + step] - low)
+                for i in np.flatnonzero(p[:, ordinary] < 0.5).tolist():
+                    decide(lines[owner[c + i]], int(first[c + i]), int(end[c + i]), p[i])
+            lines.clear()
             words.clear()
 
-        def decide(window, p):
-            d, k, line, a, b, start, end = window
+        def decide(line, a, b, p):
+            d, k, at, here, n, text = line
             different = list(dict.fromkeys(words[a:b]))
             if 2 * len(different) <= b - a:
                 p = model.probabilities([different])[0]
@@ -334,8 +358,9 @@ def _scan(batches, shared):
             if p[best] < max(LEAST, p[ordinary]):
                 return
             if family != UNKNOWN:
-                share = template_share(family, words[max(line[0], a - WINDOW):min(line[1], b + WINDOW)])
+                share = template_share(family, words[max(here, a - WINDOW):min(here + n, b + WINDOW)])
             sure = bool(p[best] >= CERTAIN and share >= CONFIRMED)
+            start, end = (at + x for x in span_of(text, a - here, b - here, n))
             if hits and (at_hand[0] != (d, k) or start >= at_hand[1]):
                 report()
             at_hand[:] = [(d, k), max(end, at_hand[1] if hits else end)]
@@ -344,10 +369,11 @@ def _scan(batches, shared):
         for d, text in enumerate(batch.column(1)):
             at = 0
             for k, line in enumerate((text.as_py() or "").split("\n")):
-                own, windows = windows_of(line)
-                here = len(words)
-                words += own
-                held += [(d, k, (here, here + len(own)), here + a, here + b, at + start, at + end) for a, b, start, end in windows]
+                low = lowered(line)
+                own = WORD.findall(low) if low is not line else [w.lower() for w in WORD.findall(line)]
+                if own:
+                    lines.append((d, k, at, len(words), len(own), line))
+                    words += own
                 at += len(line) + 1
                 if len(words) >= BATCH_WORDS:
                     classify()
