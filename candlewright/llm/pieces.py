@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from candlewright.llm.base import mixed
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
 MARK = "▁"
 #: Stand-ins that no valid text holds: for a mark in the text itself, and between words.
 OWN_MARK, BETWEEN = "\ud800", "\ud801"
@@ -75,12 +75,24 @@ class Vocabulary:
         self.hashes, self.hashed = hashes[order], np.array(plain)[order]
         self.known = np.zeros(1 << 20, bool)  # a first look before the search
         self.known[hashes >> np.uint64(44)] = True
+        self.begun = self._begun(sums, back, ends)  # per length: hashes with which longer pieces begin
         self.met: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # lattices of words, see _remember
         # A byte below 128 is a character of its own; the others come in runs.
         self.written = [chr(self.bytes_of[i]) if i in self.bytes_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
         self.in_run = np.array([self.bytes_of.get(i, 0) > 127 for i in range(size)])
         self.single = {self.pieces[i] for i in plain if len(self.pieces[i]) == 1}
 
+    def _begun(self, sums: np.ndarray, back: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Per length n from 0 on, marks of the first n characters of all longer pieces; a mark too many only costs a look."""
+        lengths = np.diff(np.r_[0, ends])
+        out = []
+        for n in range(int(lengths.max(initial=0)) + 1):
+            first = (ends - lengths)[lengths > n]
+            marks = np.zeros(1 << 20, bool)
+            marks[(sums[first + n] - sums[first]) * back[first] >> np.uint64(44)] = True
+            out.append(marks)
+        return out
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of any segmentation; the mark that begins every text goes."""
         runs = self.in_run[ids]
@@ -196,15 +208,17 @@ def _arcs(words: list[str], v: Vocabulary, first: np.ndarray, lengths: np.ndarra
     joined = "".join(w + BETWEEN for w in words)
     sums, back = prefixes(joined)
     stop = np.repeat(first + lengths, lengths + 1)
-    at, ends, found = np.arange(len(joined)), [], []
+    at, ends, found, room = np.arange(len(joined)), [], [], stop - np.arange(len(joined))
     for n in range(1, int(min(lengths.max(initial=0), v.lengths.max())) + 1):
-        at = at[stop[at] - at >= n]
-        hashed = (sums[at + n] - sums[at]) * back[at]
-        some = np.flatnonzero(v.known[hashed >> np.uint64(44)])
+        at = at[room.take(at) >= n]
+        hashed = (sums.take(at + n) - sums.take(at)) * back.take(at)
+        top = (hashed >> np.uint64(44)).astype(np.int64)
+        some = np.flatnonzero(v.known.take(top))
         place = np.minimum(np.searchsorted(v.hashes, hashed[some]), len(v.hashes) - 1)
         hit = (v.hashes[place] == hashed[some]) & (v.lengths[v.hashed[place]] == n)
         ends.append(at[some[hit]] + n)
         found.append(v.hashed[place[hit]])
+        at = at[v.begun[n].take(top)]  # places where a longer piece may begin
     end, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ends, found))
     unknown = [(p, c) for c in set(joined) - v.single - {BETWEEN} for p in _places(joined, c)]
     characters = sorted({c for _, c in unknown})
