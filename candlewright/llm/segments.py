@@ -22,7 +22,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Characters of segments that are kept, with 60 more for each; beyond it the memory begins anew.
 REMEMBERED = 60_000_000
 #: Segments joined for one call of an encoder.
-JOINED = 2_000
+JOINED = 300
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" (?:(?=\s)|(?<=\s ))")
 
@@ -36,7 +36,7 @@ def segments(text: str) -> list[str]:
 def runs(found: Iterable[str]) -> list[list[str]]:
     """Segments in groups that may be joined by single spaces without a change of tokens; others stand alone."""
     found = list(found)
-    alone = [s for s in found if not s or s[0].isspace() or s[-1].isspace()]
+    alone = [s for s in found if not s or len(s.strip()) != len(s)]
     if alone:
         apart = set(alone)
         found = [s for s in found if s not in apart]
