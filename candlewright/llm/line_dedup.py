@@ -38,6 +38,8 @@ BITS_PER_LINE, CHARS_PER_LINE = 12, 40
 #: The bound of what is sent to every task: 256 MiB.
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 31
 CHUNK = 1 << 20
+#: Hashes whose bits are worked out together, and documents whose lines are.
+BLOCK, ROWS = 1 << 16, 512
 
 
 def line_key(line: str, min_chars: int) -> bytes | None:
@@ -53,10 +55,25 @@ def keys_of(text: str | None, min_chars: int) -> list[bytes]:
 
 def bit_positions(hashes: np.ndarray, bits: int) -> np.ndarray:
     """One row of positions per hash."""
-    with np.errstate(over="ignore"):
-        other = mixed(hashes) | np.uint64(1)
-        steps = hashes[:, None] + other[:, None] * np.arange(PROBES, dtype=np.uint64)[None, :]
-    return (mixed(steps) & np.uint64(bits - 1)).astype(np.int64)
+    out = np.empty((len(hashes), PROBES), np.int64)
+    for a in range(0, len(hashes), BLOCK):
+        some = hashes[a:a + BLOCK]
+        with np.errstate(over="ignore"):
+            other = mixed(some) | np.uint64(1)
+            steps = some[:, None] + other[:, None] * np.arange(PROBES, dtype=np.uint64)[None, :]
+        out[a:a + BLOCK] = mixed(steps) & np.uint64(bits - 1)
+    return out
+
+
+def _pieces_of(batches) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of ``ROWS`` rows, so that the lines of few documents are held at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            yield batch.slice(a, ROWS)
+
+
+def _hashes(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
 
 
 def _segments(positions: np.ndarray, twice: bool) -> Iterator[tuple[int, bool, bytes]]:
@@ -76,20 +93,32 @@ FILTER_SCHEMA = pa.schema([("segment", pa.int32()), ("twice", pa.bool_()), ("off
 
 
 def _task_filters(batches, bits: int, min_chars: int):
-    def flush(hashes: list[int]):
-        seen, times = np.unique(np.array(hashes, dtype=np.uint64), return_counts=True)
+    def flush(hashes: list[np.ndarray]):
+        seen, times = np.unique(np.concatenate(hashes), return_counts=True)
         at = bit_positions(seen, bits)
-        rows = [*_segments(at.ravel(), False), *_segments(at[times > 1].ravel(), True)]
-        for i in range(0, len(rows), 4096):
-            yield _rows(rows[i:i + 4096], FILTER_SCHEMA)
-
-    hashes: list[int] = []
-    for batch in batches:
+        for positions, twice in ((at, False), (at[times > 1], True)):
+            rows: list[tuple] = []
+            for row in _segments(positions.ravel(), twice):
+                rows.append(row)
+                if len(rows) == 4096:
+                    yield _rows(rows, FILTER_SCHEMA)
+                    rows = []
+            if rows:
+                yield _rows(rows, FILTER_SCHEMA)
+
+    hashes: list[np.ndarray] = []
+    held = 0
+    for batch in _pieces_of(batches):
         for text in batch.column(0):
-            hashes += [xxhash.xxh3_64_intdigest(k) for k in keys_of(text.as_py(), min_chars)]
-            if len(hashes) >= CHUNK:
+            found = keys_of(text.as_py(), min_chars)
+            if found:
+                hashes.append(_hashes(found))
+                held += len(found)
+            if held >= CHUNK:
                 yield from flush(hashes)
-                hashes = []
+                hashes, held = [], 0
+        if hashes:
+            hashes = [np.concatenate(hashes)]
     if hashes:
         yield from flush(hashes)
 
@@ -136,14 +165,14 @@ def twice_seen(documents: DataFrame, bits: int, min_chars: int = 20) -> np.ndarr
 
 
 def _suspects(batches, bitmap, bits: int, min_chars: int):
-    for batch in batches:
+    for batch in _pieces_of(batches):
         owners: list[int] = []
         keys: list[bytes] = []
         for i, text in enumerate(batch.column(1)):
             found = keys_of(text.as_py(), min_chars)
             keys += found
             owners += [i] * len(found)
-        at = bit_positions(np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64), bits)
+        at = bit_positions(_hashes(keys), bits)
         hit = np.flatnonzero(((bitmap.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)) if keys else []
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array([owners[i] for i in hit], pa.int64())), pa.array([keys[i] for i in hit], pa.binary())], ["doc_id", "line_key"]
@@ -167,22 +196,22 @@ def _shared(documents: DataFrame, bitmap, bits: int, min_chars: int, min_documen
 
 def _parted(batches, text_at: int, bitmap, bits: int, min_chars: int, suspected: bool):
     """The rows with a suspected line, or the others."""
-    for batch in batches:
+    for batch in _pieces_of(batches):
         texts = batch.column(text_at)
-        owners, hashes = [], []
+        hashes, counts = [np.zeros(0, np.uint64)], np.zeros(batch.num_rows, np.int64)
         for i, text in enumerate(texts):
             found = keys_of(text.as_py(), min_chars)
-            hashes += map(xxhash.xxh3_64_intdigest, found)
-            owners += [i] * len(found)
-        at = bit_positions(np.array(hashes, dtype=np.uint64), bits)
+            hashes.append(_hashes(found))
+            counts[i] = len(found)
+        at = bit_positions(np.concatenate(hashes), bits)
         hit = ((bitmap.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
         chosen = np.zeros(batch.num_rows, bool)
-        chosen[np.array(owners, np.int64)[hit]] = True
+        chosen[np.repeat(np.arange(batch.num_rows), counts)[hit]] = True
         yield batch.filter(pa.array(chosen if suspected else ~chosen))
 
 
 def _stripped(batches, text_at: int, drop_at: int, min_chars: int):
-    for batch in batches:
+    for batch in _pieces_of(batches):
         columns = batch.columns
         texts, counts, gone = [], [], []
         for text, drop in zip(columns[text_at], columns[drop_at]):
