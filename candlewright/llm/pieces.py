@@ -23,6 +23,7 @@ from __future__ import annotations
 import random
 import re
 from functools import lru_cache
+from itertools import repeat
 from math import exp
 
 import numpy as np
@@ -40,16 +41,19 @@ MARK = "▁"
 #: Stand-ins that no valid text holds: for a mark in the text itself, and between words.
 OWN_MARK, BETWEEN = "\ud800", "\ud801"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-REMEMBERED = 120_000
+#: Words whose lattices are kept, none of them longer than ``SHORT``, and their arcs (16 bytes each).
+REMEMBERED, SHORT, ROOM = 120_000, 64, 3_000_000
+ARENA = {"first": np.int64, "begin": np.int64, "stop": bool, "end": np.int32, "piece": np.int32, "log": np.float64}
+LOOKED, SHIFT = 18, np.uint64(64 - 18)
 FACTOR = 0x5851F42D4C957F2D  # odd, so that it has an inverse
-BYTES = 1 << 30  # arcs from here on stand for a character written as bytes
+BYTES = 1 << 30  # with a code point added, an arc stands for that character written as bytes
 
 
-def prefixes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sums and factors that give the hash of any part: (sums[b] - sums[a]) * factors[a], modulo 2**64."""
+def prefixes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points, and sums and factors that give the hash of any part: (sums[b] - sums[a]) * factors[a], modulo 2**64."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     powers, inverse = (np.cumprod(np.r_[np.uint64(1), np.full(len(codes), b, np.uint64)]) for b in (FACTOR, pow(FACTOR, -1, 1 << 64)))
-    return np.r_[np.uint64(0), np.cumsum(mixed(codes) * powers[:-1])], inverse
+    return codes, np.r_[np.uint64(0), np.cumsum(mixed(codes) * powers[:-1])], inverse
 
 
 class Vocabulary:
@@ -68,31 +72,45 @@ class Vocabulary:
             self.log = np.log(weight / weight.sum())
         self.byte_log = float(self.log[self.byte_ids[0]])
         self.lengths = np.array([len(p) for p in self.pieces])
-        sums, back = prefixes("".join(self.pieces[i] for i in plain))
+        _, sums, back = prefixes("".join(self.pieces[i] for i in plain))
         ends = np.cumsum(self.lengths[plain])
         hashes = (sums[ends] - sums[ends - self.lengths[plain]]) * back[ends - self.lengths[plain]]
         order = np.argsort(hashes)
-        self.hashes, self.hashed = hashes[order], np.array(plain)[order]
-        self.known = np.zeros(1 << 20, bool)  # a first look before the search
-        self.known[hashes >> np.uint64(44)] = True
-        self.begun = self._begun(sums, back, ends)  # per length: hashes with which longer pieces begin
-        self.met: dict[str, tuple[bytes, bytes]] = {}  # lattices of words, see _remember
+        self.hashes, self.hashed = np.append(hashes[order], np.uint64(2**64 - 1)), np.append(np.array(plain, np.int32)[order], np.int32(0))
+        self.place = np.searchsorted(hashes[order], np.arange(1 << LOOKED, dtype=np.uint64) << SHIFT).astype(np.int32)  # where hashes that begin so are
+        self.looks = self._looks(sums, back, ends)
+        self.met: dict[str, int] = {}  # words whose lattices are kept, see Lattice
+        self.kept, self.arena = (0, 0, 0), {name: np.zeros(0, kind) for name, kind in ARENA.items()}
         # A byte below 128 is a character of its own; the others come in runs.
         self.written = [chr(self.bytes_of[i]) if i in self.bytes_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
         self.in_run = np.array([self.bytes_of.get(i, 0) > 127 for i in range(size)])
-        self.single = {self.pieces[i] for i in plain if len(self.pieces[i]) == 1}
+        self.byte_id = np.array([self.byte_ids[b] for b in range(256)], np.int32)
 
-    def _begun(self, sums: np.ndarray, back: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-        """Per length n from 0 on, marks of the first n characters of all longer pieces; a mark too many only costs a look."""
+    def _looks(self, sums: np.ndarray, back: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Per length n from 0 on, by the leading bits of a hash: 1 where a piece of n characters has it, 2 (added) where the first n of a longer one have it.
+
+        A mark too many only costs a look.
+        """
         lengths = np.diff(np.r_[0, ends])
         out = []
         for n in range(int(lengths.max(initial=0)) + 1):
-            first = (ends - lengths)[lengths > n]
-            marks = np.zeros(1 << 20, bool)
-            marks[(sums[first + n] - sums[first]) * back[first] >> np.uint64(44)] = True
+            marks = np.zeros(1 << LOOKED, np.uint8)
+            for bit, chosen in ((1, lengths == n), (2, lengths > n)):
+                first = (ends - lengths)[chosen]
+                marks[(sums[first + n] - sums[first]) * back[first] >> SHIFT] |= np.uint8(bit)
             out.append(marks)
         return out
 
+    def found(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are those of pieces, and these pieces."""
+        place = self.place.take((hashed >> SHIFT).astype(np.int64))
+        some = np.flatnonzero(self.hashes.take(place) < hashed)
+        while len(some):  # hashes that begin alike lie in their order, the last one is a bar
+            place[some] += 1
+            some = some[self.hashes.take(place[some]) < hashed[some]]
+        hit = np.flatnonzero((self.hashes.take(place) == hashed) & (place < len(self.hashes) - 1))
+        return hit, self.hashed.take(place[hit])
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of any segmentation; the mark that begins every text goes."""
         runs = self.in_run[ids]
@@ -117,7 +135,12 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(MARK + text.replace(MARK, OWN_MARK).replace(" ", MARK)) if text else []
+    if not text:
+        return []
+    text = text.replace(MARK, OWN_MARK)
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return WORD.findall(MARK + text.replace(" ", MARK))
+    return [MARK + w for w in text.split(" ")]
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -132,135 +155,155 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + shift
 
 
+def behind(kept: np.ndarray, n: int, new: np.ndarray) -> np.ndarray:
+    """The first ``n`` values and then the new ones, in the same array where it has the room and isn't far too large."""
+    size = n + len(new)
+    if not size <= len(kept) <= 4 * size + (1 << 20):
+        kept, old = np.empty(size + size // 4, kept.dtype), kept
+        kept[:n] = old[:n]
+    kept[n:size] = new
+    return kept
+
+
 class Lattice:
-    """The lattices of distinct words. Nodes are places in the joined words; arcs are pieces, sorted by the node they leave, likely ones first."""
+    """The lattices of words. Nodes are places in the words, one word after another; arcs are pieces, sorted by the node they leave, likely ones first.
+
+    They lie in the arrays of the vocabulary: first those of words kept from former batches, then those of new words. What
+    isn't kept is overwritten by the next lattice.
+    """
 
     def __init__(self, words: list[str], v: Vocabulary):
         self.v = v
-        packed = list(map(v.met.get, words))
-        new = [w for w, x in zip(words, packed) if x is None]
-        packed = [x for x in packed if x is not None]
-        old = len(packed)
-        fresh = np.fromiter(map(v.met.__contains__, words), bool, len(words)) == 0
-        self.word = np.where(fresh, old + np.cumsum(fresh) - 1, np.cumsum(~fresh) - 1)  # words met before come first
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        lengths = np.r_[lengths[~fresh], lengths[fresh]]
-        self.first = np.cumsum(lengths + 1) - lengths - 1  # first node per word
-        shift = int(lengths[:old].sum()) + old
-        start, end, piece, log, self.characters, self.byte_runs = _arcs(new, v, self.first[old:] - shift, lengths[old:])
-        sizes = np.fromiter((len(x[1]) for x in packed), np.int64, len(packed)) // 8
-        known = np.frombuffer(b"".join([x[0] for x in packed]), np.int64)
-        base = np.repeat(self.first[:old], sizes)
-        self.start = np.r_[(known >> 32 & 0xFFFF) + base, start + shift]
-        self.end = np.r_[(known >> 48) + base, end + shift]
-        self.piece = np.r_[known & 0x7FFFFFFF, piece]
-        self.log = np.r_[np.frombuffer(b"".join([x[1] for x in packed]), np.float64), log]
-        self.p = np.exp(self.log)
-        nodes = int(lengths.sum()) + len(words)
-        self.arcs = np.r_[0, np.cumsum(np.bincount(self.start, minlength=nodes + 1))]  # first arc per node
-        self.last = np.zeros(len(self.start), bool)
-        self.last[self.arcs[self.start] - 1] = True
-        self.last[self.arcs[self.start + 1] - 1] = True
-        self.stop = np.zeros(nodes + 1, bool)
-        self.stop[self.first + lengths] = True
-        self.counts = np.where(self.piece >= BYTES, np.array([len(r) for r in self.byte_runs] + [1])[np.minimum(np.maximum(self.piece - BYTES, 0), len(self.byte_runs))], 1)
-        _remember(new, v, start, end, piece, log, self.first[old:] - shift)
-
-    def sample(self, word: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A free sample per occurrence of a word: all arcs one after another, and how many each occurrence has."""
-        node, active, steps = self.first[self.word[word]], np.arange(len(word)), []
-        sizes = np.zeros(len(word), np.int64)
+        number, nodes, arcs = v.kept
+        self.word = np.fromiter(map(v.met.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(self.word < 0)
+        found = [words[i] for i in missing.tolist()]
+        new = sorted(dict.fromkeys(found), key=lambda w: len(w) > SHORT)
+        index = dict(zip(new, range(number, number + len(new))))
+        self.word[missing] = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        first = np.cumsum(lengths + 1) - lengths - 1
+        begin, end, piece, log = _arcs(new, v, first, lengths)
+        stop = np.zeros(len(begin), bool)
+        stop[first + lengths] = True
+        for name, n, values in (("first", number, first + nodes), ("begin", nodes, begin + arcs), ("stop", nodes, stop), ("end", arcs, end + nodes), ("piece", arcs, piece), ("log", arcs, log)):
+            v.arena[name] = behind(v.arena[name], n, values)
+        self.first, self.begin, self.stop, self.end, self.piece, self.log = (
+            v.arena[name][:n] for name, n in zip(ARENA, [number + len(new), *[nodes + len(begin)] * 2, *[arcs + len(end)] * 3])
+        )
+        # Short words are kept as long as there is room.
+        ends = np.append(begin[first[1:]], len(end)) if len(new) else begin
+        keep = int(min((lengths <= SHORT).sum(), max(REMEMBERED - number, 0), np.searchsorted(ends, ROOM - arcs, side="right")))
+        if keep:
+            v.met.update(zip(new[:keep], range(number, number + keep)))
+            v.kept = number + keep, nodes + int(first[keep - 1] + lengths[keep - 1]) + 1, arcs + int(ends[keep - 1])
+
+    @property
+    def start(self) -> np.ndarray:
+        """The node that each arc leaves."""
+        return np.repeat(np.arange(len(self.begin)), np.diff(np.append(self.begin, len(self.end))))
+
+    def left(self, arc: int) -> int:
+        """The node that an arc leaves."""
+        return int(np.searchsorted(self.begin, arc, side="right")) - 1
+
+    def sample(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A free sample per word given: all arcs one after another, and how many each word has."""
+        node, active, steps = self.first.take(self.word), np.arange(len(seeds)), []
+        sizes = np.zeros(len(seeds), np.int64)
         while len(active):
-            left = uniform(seeds[active] + np.uint64(len(steps) * 0x9E3779B9))
-            arc = self.arcs[node]
-            some = np.arange(len(arc))
+            left = uniform(seeds.take(active) + np.uint64(len(steps) * 0x9E3779B9))
+            arc, last = self.begin.take(node), self.begin.take(node + 1) - 1
+            some = np.flatnonzero(arc < last)
             while len(some):  # from the likeliest arc on, until the random number is used up
-                at = arc[some]
-                rest = left[some] - self.p[at]
-                go = (rest >= 0) & ~self.last[at]
-                some = some[go]
-                left[some] = rest[go]
+                at = arc.take(some)
+                rest = left.take(some) - np.exp(self.log.take(at))
+                go = np.flatnonzero((rest >= 0) & (at < last.take(some)))
+                some = some.take(go)
+                left[some] = rest.take(go)
                 arc[some] += 1
             steps.append((active, arc))
             sizes[active] += 1
-            node = self.end[arc]
-            going = ~self.stop[node]
-            active, node = active[going], node[going]
+            node = self.end.take(arc)
+            going = np.flatnonzero(~self.stop.take(node))
+            active, node = active.take(going), node.take(going)
         place = np.cumsum(sizes) - sizes
         arcs = np.zeros(int(sizes.sum()), np.int64)
         for k, (who, arc) in enumerate(steps):
-            arcs[place[who] + k] = arc
+            arcs[place.take(who) + k] = arc
         return arcs, sizes
 
-    def ids(self, arcs: np.ndarray) -> np.ndarray:
-        pieces = self.piece[arcs]
-        if not (pieces >= BYTES).any():
-            return pieces.astype(np.int32)
-        out = np.repeat(pieces, self.counts[arcs])
-        special = np.flatnonzero(out >= BYTES)
-        runs = pieces[pieces >= BYTES] - BYTES
-        out[special] = np.concatenate([self.byte_runs[r] for r in runs])
-        return out.astype(np.int32)
+    def ids(self, arcs: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of arcs, and where among them lie the bounds between arcs."""
+        out = self.piece.take(arcs)
+        odd = np.flatnonzero(out >= BYTES)
+        if not len(odd):
+            return out, bounds
+        codes = out[odd] - BYTES
+        codes[codes == ord(OWN_MARK)] = ord(MARK)
+        counts = np.ones(len(out), np.int64)
+        counts[odd] = bytes_in(codes)
+        out = np.repeat(out, counts)
+        out[out >= BYTES] = self.v.byte_id.take(np.frombuffer("".join(map(chr, codes.tolist())).encode(), np.uint8))
+        return out, np.append(0, np.cumsum(counts))[bounds]
+
+
+def bytes_in(codes: np.ndarray) -> np.ndarray:
+    """How many bytes characters have in UTF-8."""
+    return 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
 
 
 def _arcs(words: list[str], v: Vocabulary, first: np.ndarray, lengths: np.ndarray):
-    """Arcs of new words: start, end, piece, log probability given the start; and the characters that become bytes."""
-    joined = "".join(w + BETWEEN for w in words)
-    sums, back = prefixes(joined)
-    stop = np.repeat(first + lengths, lengths + 1)
-    at, ends, found, room = np.arange(len(joined)), [], [], stop - np.arange(len(joined))
+    """Arcs of new words: the first arc per node; end, piece and log probability given the start per arc."""
+    joined = "".join([w + BETWEEN for w in words])
+    codes, sums, back = prefixes(joined)
+    at, starts, ends, pieces, ranks = np.arange(len(joined)), [], [], [], []
+    many = np.zeros(len(joined), np.int64)  # arcs per node; they are found in the order of their lengths
+    odd = np.zeros(0, np.int64)
     for n in range(1, int(min(lengths.max(initial=0), v.lengths.max())) + 1):
-        at = at[room.take(at) >= n]
+        at = at[:np.searchsorted(at, len(joined) - n, side="right")]
         hashed = (sums.take(at + n) - sums.take(at)) * back.take(at)
-        top = (hashed >> np.uint64(44)).astype(np.int64)
-        some = np.flatnonzero(v.known.take(top))
-        place = np.minimum(np.searchsorted(v.hashes, hashed[some]), len(v.hashes) - 1)
-        hit = (v.hashes[place] == hashed[some]) & (v.lengths[v.hashed[place]] == n)
-        ends.append(at[some[hit]] + n)
-        found.append(v.hashed[place[hit]])
-        at = at[v.begun[n].take(top)]  # places where a longer piece may begin
-    end, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ends, found))
-    unknown = [(p, c) for c in set(joined) - v.single - {BETWEEN} for p in _places(joined, c)]
-    characters = sorted({c for _, c in unknown})
-    code = {c: BYTES + k for k, c in enumerate(characters)}
-    runs = [[v.byte_ids[b] for b in (MARK if c == OWN_MARK else c).encode()] for c in characters]
-    at = np.array([p for p, _ in unknown], np.int64)
-    start = np.r_[end - v.lengths[piece], at]
-    log = np.r_[v.log[piece], np.array([v.byte_log * len(runs[code[c] - BYTES]) for _, c in unknown], np.float64)]
-    end, piece = np.r_[end, at + 1], np.r_[piece, np.array([code[c] for _, c in unknown], np.int64)]
+        look = v.looks[n].take((hashed >> SHIFT).astype(np.int64))
+        some = np.flatnonzero(look & 1)
+        hit, piece = v.found(hashed.take(some))
+        hit = at.take(some.take(hit))
+        for values, x in ((starts, hit), (ends, hit + n), (pieces, piece), (ranks, many.take(hit))):
+            values.append(x)
+        many[hit] += 1
+        if n == 1:  # characters that aren't pieces
+            odd = np.flatnonzero((many == 0) & (codes != ord(BETWEEN)))
+        at = at.take(np.flatnonzero(look & 2))  # places where a longer piece may begin
+    written = codes[odd].astype(np.int64)
+    starts, ends, ranks = (np.concatenate([*x, y]) for x, y in ((starts, odd), (ends, odd + 1), (ranks, many[odd])))
+    log = np.concatenate([*(v.log.take(x) for x in pieces), v.byte_log * bytes_in(np.where(written == ord(OWN_MARK), ord(MARK), written))])
+    pieces = np.concatenate([*pieces, (written + BYTES).astype(np.int32)])
+    many[odd] += 1
+    begin = np.cumsum(many) - many
+    place = begin.take(starts) + ranks
+    end, piece, prior = (np.empty(len(x), x.dtype) for x in (ends, pieces, log))
+    end[place], piece[place], prior[place] = ends, pieces, log
+    start = np.repeat(np.arange(len(joined)), many)
     # Log mass of all ways from a node to the end of its word, nearest nodes first.
-    far = stop[start] - start
-    order = np.lexsort((start, far))
-    mass = np.full(len(joined) + 1, -np.inf)
+    far = (np.repeat(first + lengths, lengths + 1) - np.arange(len(joined))).take(start)
+    furthest = int(far.max(initial=0))
+    order = np.argsort(far.astype(np.uint16) if furthest < 1 << 16 else far, kind="stable")  # 16 bits are sorted by radix
+    mass = np.full(len(joined), -np.inf)
     mass[first + lengths] = 0.0
-    s, e, g = start[order], end[order], log[order]
-    bounds = np.searchsorted(far[order], np.arange(1, (int(far.max()) if len(far) else 0) + 2))
-    for a, b in zip(bounds[:-1], bounds[1:]):
+    s, e, g = start.take(order), end.take(order), prior.take(order)
+    bounds = np.append(0, np.cumsum(np.bincount(far, minlength=furthest + 1)))[1:].tolist()
+    heads = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else order
+    cuts = np.searchsorted(heads, bounds).tolist()
+    for a, b, i, j in zip(bounds[:-1], bounds[1:], cuts[:-1], cuts[1:]):
         if b > a:
-            heads = np.flatnonzero(np.r_[True, s[a + 1:b] != s[a:b - 1]])
-            mass[s[a:b][heads]] = np.logaddexp.reduceat(g[a:b] + mass[e[a:b]], heads)
-    log = np.minimum(log + mass[end] - mass[start], 0.0)
+            mass[s.take(heads[i:j])] = np.logaddexp.reduceat(g[a:b] + mass.take(e[a:b]), heads[i:j] - a)
+    log = np.minimum(prior + mass.take(end) - mass.take(start), 0.0)
     # A node with one way on: its log probability is zero, whatever the sums above were rounded to.
-    log[np.bincount(start, minlength=len(joined) + 1)[start] == 1] = 0.0
-    order = np.lexsort((-log, start))
-    return start[order], end[order], piece[order], log[order], characters, runs
-
-
-def _remember(words: list[str], v: Vocabulary, start, end, piece, log, first) -> None:
-    """Keep the lattices of short words for later batches, a bounded number of them, as bytes: half the memory of arrays."""
-    if len(v.met) >= REMEMBERED:
-        return
-    bounds = np.searchsorted(start, np.r_[first, first[-1:] + len(words[-1]) + 1 if words else 0])
-    packed = piece | start - np.repeat(first, np.diff(bounds)) << 32 | end - np.repeat(first, np.diff(bounds)) << 48
-    odd = np.add.reduceat(piece >= BYTES, bounds[:-1]) if len(piece) else []
-    for i in range(min(len(words), REMEMBERED - len(v.met))):
-        if len(words[i]) <= 64 and not odd[i]:
-            a, b = bounds[i], bounds[i + 1]
-            v.met[words[i]] = packed[a:b].tobytes(), log[a:b].tobytes()
-
-
-def _places(text: str, c: str) -> list[int]:
-    return [m.start() for m in re.finditer(re.escape(c), text)]
+    log[many.take(start) == 1] = 0.0
+    # By node, then log probability, then length. The bits of a positive number of 32 bits are in its order.
+    bits = np.abs(log).astype(np.float32).view(np.uint32).astype(np.int64)
+    rank = np.arange(len(start)) - begin.take(start)
+    order = np.argsort((start << 36) + (bits << 5) + rank) if len(joined) < 1 << 27 and many.max(initial=0) <= 32 else np.lexsort((rank, bits, start))
+    return begin, end.take(order), piece.take(order), log.take(order)
 
 
 def log_rest(log: np.ndarray) -> np.ndarray:
@@ -269,37 +312,16 @@ def log_rest(log: np.ndarray) -> np.ndarray:
         return np.log(-np.expm1(log))
 
 
-#: The greatest Gumbel value of a 52-bit uniform number; decisions looked at together.
-HIGHEST, STEP = 37.0, 200
+#: The greatest Gumbel value of a 52-bit uniform number; decisions looked at together, and texts.
+HIGHEST, STEP, TOGETHER = 37.0, 200, 512
 
 
 class _Sample:
     """A drawn segmentation of one text: its arcs and value, and the sets that remain beside it."""
 
-    def __init__(self, lattice: Lattice, arcs: np.ndarray, sizes: np.ndarray, value: float, branch: int, barred: tuple[int, ...], salt: int, needed: int):
-        self.arcs, self.sizes, self.branch, self.barred = arcs, sizes, branch, barred
-        log = lattice.log.take(arcs)
-        self.log = float(log.sum())
-        # Sets that begin ever later have ever less mass. Those whose mass can't reach the best value so far with the
-        # highest random number, whatever they hold, are never opened nor second: the search stops there.
-        before, parts, best = float(log[:branch].sum()), [], np.zeros(0)
-        for a in range(branch, len(arcs), STEP):
-            some = log[a:a + STEP]
-            rest = log_rest(some)
-            if a == branch and barred:
-                shut, leaves = [*barred, int(arcs[branch])], int(lattice.start[arcs[branch]])
-                left = 1.0 - float(np.exp(lattice.log[shut]).sum())
-                rest[0] = np.log(left) if len(shut) < lattice.arcs[leaves + 1] - lattice.arcs[leaves] and left > 0 else -np.inf
-            noise = uniform(np.arange(salt + a, salt + a + len(some), dtype=np.uint64))
-            loose = np.cumsum(some) - some + before + rest - np.log(-np.log(noise))
-            parts.append(loose)
-            before += float(some.sum())
-            best = np.sort(np.concatenate([best, loose]))[-needed:]
-            if len(best) == needed and before + HIGHEST < best[0]:
-                break
-        loose = np.concatenate(parts) if parts else np.zeros(0)
-        self.sets = -np.logaddexp(-value, -loose)  # minus infinity stays so
-        self.best()
+    def __init__(self, arcs: np.ndarray, sizes: np.ndarray, value: float, branch: int, barred: tuple[int, ...], salt: int):
+        self.arcs, self.sizes, self.value, self.branch, self.barred, self.salt = arcs, sizes, value, branch, barred, salt
+        self.log, self.sets = 0.0, np.zeros(0)
 
     def best(self) -> None:
         i = int(self.sets.argmax()) if len(self.sets) else 0
@@ -311,6 +333,55 @@ class _Sample:
         self.best()
 
 
+def _beside(lattice: Lattice, drawn: list[_Sample], needed: int) -> None:
+    """The sets beside each of the samples, and the sum of its logs.
+
+    Sets that begin ever later have ever less mass. Those whose mass can't reach the best values so far with the highest
+    random number, whatever they hold, are never opened nor second: the search stops there.
+    """
+    lengths = np.array([len(x.arcs) for x in drawn])
+    first = np.cumsum(lengths) - lengths
+    log = lattice.log.take(np.concatenate([x.arcs for x in drawn]))
+    value, branch = np.array([x.value for x in drawn]), np.array([x.branch for x in drawn])
+    salt = np.array([x.salt for x in drawn], np.uint64)
+    for x, total in zip(drawn, np.add.reduceat(log, first).tolist()):
+        x.log = total
+    before = np.array([log[a:a + b].sum() for a, b in zip(first.tolist(), branch.tolist())])
+    best, parts = np.full((len(drawn), needed), -np.inf), [[] for _ in drawn]
+    active, done = np.flatnonzero(branch < lengths), 0
+    while len(active):
+        begin = branch[active] + done
+        left = lengths[active] - begin
+        step = np.arange(min(STEP, int(left.max())))
+        some = log.take(np.minimum((first[active] + begin)[:, None] + step, len(log) - 1))
+        some[step >= left[:, None]] = 0.0  # nothing is left beside a sure decision
+        rest = log_rest(some)
+        if not done:
+            for row, d in enumerate(active.tolist()):
+                if drawn[d].barred:
+                    rest[row, 0] = _not_barred(lattice, drawn[d])
+        noise = uniform((salt[active] + begin.astype(np.uint64))[:, None] + step.astype(np.uint64))
+        sums = np.cumsum(some, axis=1)
+        loose = sums - some + before[active, None] + rest - np.log(-np.log(noise))
+        sets = -np.logaddexp(-value[active, None], -loose)  # minus infinity stays so
+        for d, found, n in zip(active.tolist(), sets, left.tolist()):
+            parts[d].append(found[:n])
+        before[active] += sums[:, -1]
+        best[active] = np.partition(np.concatenate([best[active], loose], axis=1), -needed, axis=1)[:, -needed:]
+        active = active[(left > STEP) & ~(before[active] + HIGHEST < best[active].min(axis=1))]
+        done += STEP
+    for x, found in zip(drawn, parts):
+        x.sets = np.concatenate(found) if found else np.zeros(0)
+        x.best()
+
+
+def _not_barred(lattice: Lattice, x: _Sample) -> float:
+    """Log mass of the ways on from where a sample branches, without the barred ones and its own."""
+    shut, node = [*x.barred, int(x.arcs[x.branch])], lattice.left(int(x.arcs[x.branch]))
+    left = 1.0 - float(np.exp(lattice.log[shut]).sum())
+    return np.log(left) if len(shut) < lattice.begin[node + 1] - lattice.begin[node] and left > 0 else -np.inf
+
+
 def row_seed(doc: int | None, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(f"{seed}:{doc}".encode())
 
@@ -324,19 +395,17 @@ def segmentations(texts: list[str], seeds: list[int], k: int, v: Vocabulary) ->
         begins.append(len(words))
     if not words:
         return [[(np.zeros(0, np.int32), 0.0, 1.0)] for _ in texts]
-    index = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    lattice = Lattice(list(index), v)
-    word, sizes = np.fromiter(map(index.__getitem__, words), np.int64, len(words)), np.diff(begins)
+    lattice, sizes = Lattice(words, v), np.diff(begins)
     base = mixed(np.repeat(np.array(seeds, np.uint64), sizes) + ragged(np.zeros(len(sizes), np.int64), sizes).astype(np.uint64))
+    values = (-np.log(-np.log(uniform(np.array(seeds, np.uint64) + np.uint64(1))))).tolist()
     samples: list[list[_Sample]] = [[] for _ in texts]
     for draw in range(k):
-        arcs, lengths = lattice.sample(word, mixed(base + np.uint64(draw)))
-        at = np.r_[0, np.cumsum(lengths)][begins]
-        for d in range(len(texts)):
-            if not sizes[d] or draw and not samples[d]:
-                continue
+        arcs, lengths = lattice.sample(mixed(base + np.uint64(draw)))
+        at = np.append(0, np.cumsum(lengths))[begins].tolist()
+        drawn: list[tuple[int, _Sample]] = []
+        for d in np.flatnonzero(sizes).tolist():
             own, own_sizes = arcs[at[d]:at[d + 1]], lengths[begins[d]:begins[d + 1]]
-            value, branch, barred = -np.log(-np.log(uniform(np.array([seeds[d] + 1], np.uint64))[0])), 0, ()
+            value, branch, barred = values[d], 0, ()
             if draw:
                 parent = max(samples[d], key=lambda s: s.top)
                 if np.isneginf(parent.top):
@@ -345,15 +414,20 @@ def segmentations(texts: list[str], seeds: list[int], k: int, v: Vocabulary) ->
                 barred = ((*parent.barred, int(parent.arcs[branch])) if parent.barred and branch == parent.branch else (int(parent.arcs[branch]),))
                 own, own_sizes = _branched(lattice, parent, branch, barred, own, own_sizes, seeds[d], draw)
                 parent.open()
-            salt = xxhash.xxh3_64_intdigest(b"%d:%d" % (seeds[d], draw)) >> 1
-            samples[d].append(_Sample(lattice, own, own_sizes, value, branch, barred, salt, k - draw))
-    out = []
+            drawn.append((d, _Sample(own, own_sizes, value, branch, barred, xxhash.xxh3_64_intdigest(b"%d:%d" % (seeds[d], draw)) >> 1)))
+        for a in range(0, len(drawn), TOGETHER):
+            _beside(lattice, [x for _, x in drawn[a:a + TOGETHER]], k - draw)
+        for d, x in drawn:
+            samples[d].append(x)
+    every = [x.arcs for found in samples for x in found]
+    ids, bounds = lattice.ids(np.concatenate(every), np.append(0, np.cumsum([len(x) for x in every])))
+    spans, out = iter(zip(bounds[:-1].tolist(), bounds[1:].tolist())), []
     for drawn in samples:
         if not drawn:
             out.append([(np.zeros(0, np.int32), 0.0, 1.0)])
             continue
         threshold = max(s.top for s in drawn)
-        out.append([(lattice.ids(s.arcs), s.log, 1.0 if np.isneginf(threshold) else float(-np.expm1(-np.exp(min(s.log - threshold, 700.0))))) for s in drawn])
+        out.append([(ids[slice(*next(spans))], s.log, 1.0 if np.isneginf(threshold) else float(-np.expm1(-np.exp(min(s.log - threshold, 700.0))))) for s in drawn])
     return out
 
 
@@ -365,11 +439,11 @@ def _branched(lattice: Lattice, parent: _Sample, branch: int, barred: tuple[int,
     """The parent up to ``branch``, an arc that isn't barred, a free way to the end of the word, and the fresh sample from there."""
     ends = np.cumsum(parent.sizes)
     w = int(np.searchsorted(ends, branch, side="right"))
-    node = int(lattice.start[parent.arcs[branch]])
+    node = lattice.left(int(parent.arcs[branch]))
     tail: list[int] = []
     numbers = random_numbers(seed, draw)
     while not lattice.stop[node]:
-        options = [i for i in range(lattice.arcs[node], lattice.arcs[node + 1]) if tail or i not in barred]
+        options = [i for i in range(lattice.begin[node], lattice.begin[node + 1]) if tail or i not in barred]
         logs = lattice.log[options[0]:options[-1] + 1].tolist()
         logs = [logs[i - options[0]] for i in options]
         weights = [exp(x - max(logs)) for x in logs]
