@@ -79,7 +79,7 @@ class Vocabulary:
         self.hashes, self.hashed = np.append(hashes[order], np.uint64(2**64 - 1)), np.append(np.array(plain, np.int32)[order], np.int32(0))
         self.place = np.searchsorted(hashes[order], np.arange(1 << LOOKED, dtype=np.uint64) << SHIFT).astype(np.int32)  # where hashes that begin so are
         self.looks = self._looks(sums, back, ends)
-        self.met: dict[str, int] = {}  # words whose lattices are kept, see Lattice
+        self.number: dict[str, int] = {}  # words whose lattices are kept, see Lattice
         self.kept, self.arena = (0, 0, 0), {name: np.zeros(0, kind) for name, kind in ARENA.items()}
         # A byte below 128 is a character of its own; the others come in runs.
         self.written = [chr(self.bytes_of[i]) if i in self.bytes_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
@@ -111,6 +111,13 @@ class Vocabulary:
         hit = np.flatnonzero((self.hashes.take(place) == hashed) & (place < len(self.hashes) - 1))
         return hit, self.hashed.take(place[hit])
 
+    @property
+    def met(self) -> dict[str, tuple[bytes, bytes]]:
+        """The words whose lattices are kept, with the pieces and log probabilities of their arcs."""
+        piece, log = self.arena["piece"], self.arena["log"]
+        starts = self.arena["begin"][self.arena["first"][:self.kept[0]]]
+        return {w: (piece[a:b].tobytes(), log[a:b].tobytes()) for w, a, b in zip(self.number, starts, np.append(starts[1:], self.kept[2]))}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of any segmentation; the mark that begins every text goes."""
         runs = self.in_run[ids]
@@ -175,7 +182,7 @@ class Lattice:
     def __init__(self, words: list[str], v: Vocabulary):
         self.v = v
         number, nodes, arcs = v.kept
-        self.word = np.fromiter(map(v.met.get, words, repeat(-1)), np.int64, len(words))
+        self.word = np.fromiter(map(v.number.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(self.word < 0)
         found = [words[i] for i in missing.tolist()]
         new = sorted(dict.fromkeys(found), key=lambda w: len(w) > SHORT)
@@ -195,7 +202,7 @@ class Lattice:
         ends = np.append(begin[first[1:]], len(end)) if len(new) else begin
         keep = int(min((lengths <= SHORT).sum(), max(REMEMBERED - number, 0), np.searchsorted(ends, ROOM - arcs, side="right")))
         if keep:
-            v.met.update(zip(new[:keep], range(number, number + keep)))
+            v.number.update(zip(new[:keep], range(number, number + keep)))
             v.kept = number + keep, nodes + int(first[keep - 1] + lengths[keep - 1]) + 1, arcs + int(ends[keep - 1])
 
     @property
